@@ -78,7 +78,7 @@ def dual_gram(df: DataFrame, features: str, label: str | None = None) -> DualGra
         F.transform(F.sequence(F.lit(0), (F.ceil(F.size(features) / _BLOCK) - 1).cast("int")),
                     lambda b: F.slice(F.col(features), b * _BLOCK + 1, _BLOCK))).alias("_b", "_x"))
 
-    def multiply(key, table: pa.Table) -> pa.Table:
+    def multiply(key, table):
         x = matrix(table.column("_x"))
         i = table.column("_i").to_numpy()
         full = np.zeros((n, x.shape[1]))
