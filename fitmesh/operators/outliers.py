@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.param import TypeConverters
@@ -13,7 +12,8 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasSeed
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitmesh.functions.vectors import as_array, as_vector, list_column, map_rows, matrix, width
+from fitmesh.functions.forest import FlatForest
+from fitmesh.functions.vectors import as_array, as_vector, map_rows, matrix, width
 from fitmesh.models.base import Configurable, StateModel, param
 from fitmesh.operators.knn import BLOCK_ROWS, knn_join
 from fitmesh.operators.lookup import keyed_lookup
@@ -84,24 +84,11 @@ class IsolationForestModel(StateModel, HasFeaturesCol):
 
     def anomaly(self, df: DataFrame) -> DataFrame:
         """Adds ``score`` in (0, 1]; higher is more anomalous."""
-        tree = self.state["tree"].astype(int)
-        feature, cut = self.state["feature"].astype(int), self.state["threshold"]
-        left, right, path = self.state["left"].astype(int), self.state["right"].astype(int), self.state["path"]
-        roots = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
-        depth_norm = float(self.state["norm"])
+        forest = FlatForest(*[self.state[c] for c in ("tree", "feature", "threshold", "left", "right", "path")])
+        norm = float(self.state["norm"])
 
         def score(x):
-            total = np.zeros(len(x))
-            for root in roots:
-                at = np.full(len(x), root)
-                live = np.flatnonzero(feature[at] >= 0)
-                while len(live):
-                    here = at[live]
-                    go_left = x[live, feature[here]] <= cut[here]
-                    at[live] = root + np.where(go_left, left[here], right[here])
-                    live = live[feature[at[live]] >= 0]
-                total += path[at]
-            return 2.0 ** (-(total / len(roots)) / depth_norm)
+            return 2.0 ** (-forest.mean(x) / norm)
 
         return df.withColumn("score", map_rows(score, as_array(df, self.getFeaturesCol())))
 
