@@ -84,9 +84,18 @@ class PCA(Transformer_):
             components = fix_signs((d.back(vectors[:, :k]) / np.sqrt(live)).T)
         else:
             m = moments(df, column)
-            n, mean = m.n, m.mean[:p]
-            values, components = principal_axes(m.scatter[:p, :p] / max(n - 1, 1))
-            ratio = values / values.sum() if values.sum() > 0 else np.zeros(p)
-            k = choose_k(ratio, self.get("n_components"), self.get("variance"), int(min(n, p)))
-            components = components[:k]
+            mean = m.mean[:p]
+            components, ratio = self.solve(m.n, m.scatter[:p, :p])
+            k = len(components)
         return self._hand_over(PCAModel({"components": components, "mean": mean, "ratio": ratio[:k]}))
+
+    def solve(self, n: float, scatter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values, components = principal_axes(scatter / max(n - 1, 1))
+        ratio = values / values.sum() if values.sum() > 0 else np.zeros(len(values))
+        k = choose_k(ratio, self.get("n_components"), self.get("variance"), int(min(n, len(values))))
+        return components[:k], ratio
+
+    def from_moments(self, n: float, mean: np.ndarray, scatter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The fitted map ``a x + c`` from a mean and centred cross products."""
+        components, _ = self.solve(n, scatter)
+        return components, -components @ mean

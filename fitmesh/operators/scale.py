@@ -86,13 +86,22 @@ def mean_and_std(df: DataFrame, column: str) -> tuple[float, np.ndarray, np.ndar
     return acc[0], mean + shift, np.sqrt(var)
 
 
+def divisor(mean: np.ndarray, std: np.ndarray) -> np.ndarray:
+    """The std, or 1 where it is zero up to rounding."""
+    return np.where(std <= 10 * np.finfo(float).eps * np.abs(mean), 1.0, std)
+
+
 class StandardScale(Transformer_):
     """``(x - mean) / std`` with the population std; a constant element becomes 0."""
 
     def _fit(self, df: DataFrame) -> LinearMapModel:
         _, mean, std = mean_and_std(df, self.getInputCol())
-        tiny = std <= 10 * np.finfo(float).eps * np.abs(mean)
-        return self._hand_over(LinearMapModel({"centre": mean, "scale": np.where(tiny | (std == 0), 1.0, std)}))
+        return self._hand_over(LinearMapModel({"centre": mean, "scale": divisor(mean, std)}))
+
+    def from_moments(self, n: float, mean: np.ndarray, scatter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The fitted map ``a x + c`` from a mean and centred cross products."""
+        scale = divisor(mean, np.sqrt(np.clip(np.diag(scatter) / n, 0.0, None)))
+        return np.diag(1.0 / scale), -mean / scale
 
 
 _COLUMN_CHUNK = 64  # vector elements per order-statistics job

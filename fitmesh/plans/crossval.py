@@ -18,20 +18,55 @@ from pyspark.sql import functions as F
 from fitmesh.functions.metrics import cv_summary, fold_scores
 from fitmesh.functions.vectors import NARROW, as_array
 from fitmesh.models.linear import LinearRegressor
-from fitmesh.operators.stats import fold_moments
+from fitmesh.operators.reduce import PCA
+from fitmesh.operators.scale import StandardScale
+from fitmesh.operators.stats import Moments, fold_moments
 from fitmesh.plans.parallel import run_all
 
 
-def linear_fold_fits(estimator: LinearRegressor, df: DataFrame, fold_columns: Sequence[str]) -> list[dict[int, tuple[np.ndarray, float]]]:
+def moment_solver(estimator):
+    """``solve(moments)`` in input space when the estimator can be fitted from sums alone, else ``None``.
+
+    Covers the least-squares family, also behind standard scaling and principal
+    components: both are affine maps that the moments determine.
+    """
+    steps = getattr(estimator, "steps", [])
+    regressor = getattr(estimator, "regressor", estimator)
+    if not isinstance(regressor, LinearRegressor) or not all(type(s) in (StandardScale, PCA) for s in steps):
+        return None
+
+    def solve(m: Moments) -> tuple[np.ndarray, float]:
+        p = len(m.mean) - 1
+        a, c = np.eye(p), np.zeros(p)  # prepared features are a x + c
+        mean, scatter = m.mean, m.scatter
+        for step in steps:
+            step_a, step_c = step.from_moments(m.n, mean[:-1], scatter[:-1, :-1])
+            a, c = step_a @ a, step_a @ c + step_c
+            lift = np.zeros((len(step_a) + 1, len(mean)))
+            lift[:-1, :-1], lift[-1, -1] = step_a, 1.0
+            mean = lift @ mean + np.append(step_c, 0.0)
+            scatter = lift @ scatter @ lift.T
+        w, b = regressor.solve(Moments(m.n, np.zeros(len(mean)), scatter, mean))
+        return a.T @ w, float(b + w @ c)
+
+    return solve if steps else regressor.solve
+
+
+def linear_fold_fits(estimator, df: DataFrame, fold_columns: Sequence[str],
+                     folds: list[dict[int, Moments]] | None = None) -> list[dict[int, tuple[np.ndarray, float]]]:
     """Coefficients and intercept of every (repeat, held-out fold), from one pass."""
-    fits = []
-    for folds in fold_moments(df, estimator.getFeaturesCol(), estimator.getLabelCol(), fold_columns):
-        total = reduce(lambda a, b: a + b, folds.values())
-        fits.append({f: estimator.solve(total - m) for f, m in folds.items() if total.n > m.n})
+    solve, fits = moment_solver(estimator), []
+    for cells in folds or fold_moments(df, features_of(estimator), estimator.getOrDefault("labelCol"), fold_columns):
+        total = reduce(lambda a, b: a + b, cells.values())
+        fits.append({f: solve(total - m) for f, m in cells.items() if total.n > m.n})
     return fits
 
 
-def _fold_prediction(x: Column, fold: Column, fits: dict[int, tuple[np.ndarray, float]]) -> Column:
+def features_of(estimator) -> str:
+    return getattr(estimator, "regressor", estimator).getOrDefault("featuresCol")
+
+
+def fold_prediction(x: Column, fold: Column, fits: dict[int, tuple[np.ndarray, float]]) -> Column:
     """The held-out prediction: coefficients are picked by the row's fold, then one dot product."""
     width = len(next(iter(fits.values()))[0])
     folds = sorted(fits)
@@ -59,13 +94,13 @@ def _fold_prediction(x: Column, fold: Column, fits: dict[int, tuple[np.ndarray,
     return predict(x, fold)
 
 
-def linear_out_of_fold(estimator: LinearRegressor, df: DataFrame, fold_columns: Sequence[str],
+def linear_out_of_fold(estimator, df: DataFrame, fold_columns: Sequence[str],
                        keep: Sequence[str] = ()) -> DataFrame:
     """Long out-of-fold predictions ``(keep..., label, repeat, fold, prediction)`` of a least-squares model."""
     fits = linear_fold_fits(estimator, df, fold_columns)
-    x = as_array(df, estimator.getFeaturesCol())
-    preds = {f"_p{r}": _fold_prediction(x, F.col(c), fits[r]) for r, c in enumerate(fold_columns)}
-    wide = df.select(*keep, F.col(estimator.getLabelCol()).alias("label"), *fold_columns,
+    x = as_array(df, features_of(estimator))
+    preds = {f"_p{r}": fold_prediction(x, F.col(c), fits[r]) for r, c in enumerate(fold_columns)}
+    wide = df.select(*keep, F.col(estimator.getOrDefault("labelCol")).alias("label"), *fold_columns,
                      *[e.alias(k) for k, e in preds.items()])
     pairs = ", ".join(f"{r}, `{c}`, _p{r}" for r, c in enumerate(fold_columns))
     return wide.select(*keep, "label", F.expr(f"stack({len(fold_columns)}, {pairs}) as (repeat, fold, prediction)"))
@@ -74,7 +109,7 @@ def linear_out_of_fold(estimator: LinearRegressor, df: DataFrame, fold_columns:
 def out_of_fold(estimator, df: DataFrame, fold_columns: Sequence[str], keep: Sequence[str] = (),
                 parallelism: int = 4, keep_models: dict | None = None) -> DataFrame:
     """Long out-of-fold predictions of any estimator; every fold is refitted on its own training rows."""
-    if isinstance(estimator, LinearRegressor) and keep_models is None:
+    if keep_models is None and moment_solver(estimator) is not None:
         return linear_out_of_fold(estimator, df, fold_columns, keep)
     label = estimator.getOrDefault("labelCol")
     prediction = estimator.getOrDefault("predictionCol")

@@ -17,7 +17,7 @@ from fitmesh.functions.vectors import assemble
 from fitmesh.models.base import Configurable, param
 from fitmesh.operators.columns import interaction_names, select_by_type
 from fitmesh.operators.encode import TargetEncode, TargetEncodeModel
-from fitmesh.operators.reduce import PCA, PCAModel, choose_k, principal_axes
+from fitmesh.operators.reduce import PCA, PCAModel
 from fitmesh.operators.scale import LinearMapModel, StandardScale
 from fitmesh.operators.stats import MAX_WIDTH, moments
 
@@ -129,18 +129,13 @@ class FeaturePipeline(Configurable, HasLabelCol, Estimator, DefaultParamsReadabl
         wide, made = engineer(df, encoder, numeric)
         vec = assemble(wide, made, out).select(out)
         if len(made) <= MAX_WIDTH // 4:
-            m = moments(vec, out)
-            p = len(made)
-            mean, cov = m.mean[:p], m.scatter[:p, :p] / m.n
-            std = np.sqrt(np.clip(np.diag(cov), 0.0, None))
-            flat = std <= 10 * np.finfo(float).eps * np.maximum(np.abs(mean), 1e-300) * np.sqrt(m.n)
-            scale = np.where(flat | (std == 0), 1.0, std)
-            cov = np.where(np.outer(flat, np.ones(p)) + np.outer(np.ones(p), flat) > 0, 0.0, cov)
-            values, axes = principal_axes(cov / np.outer(scale, scale))
-            ratio = values / values.sum() if values.sum() > 0 else np.zeros(p)
-            k = choose_k(ratio, None, self.get("variance"), int(min(m.n, p)))
-            scaler = LinearMapModel({"centre": mean, "scale": scale})
-            pca = PCAModel({"components": axes[:k], "mean": np.zeros(p), "ratio": ratio[:k]})
+            # scaling and components both follow from one set of sums
+            m, p = moments(vec, out), len(made)
+            scaler_step, pca_step = StandardScale(), PCA(variance=self.get("variance"))
+            unit, _ = scaler_step.from_moments(m.n, m.mean[:p], m.scatter[:p, :p])
+            scaler = LinearMapModel({"centre": m.mean[:p], "scale": 1.0 / np.diag(unit)})
+            axes, ratio = pca_step.solve(m.n, unit @ m.scatter[:p, :p] @ unit)
+            pca = PCAModel({"components": axes, "mean": np.zeros(p), "ratio": ratio[:len(axes)]})
         else:
             scaler = StandardScale(inputCol=out, outputCol=out).fit(vec)
             pca = PCA(inputCol=out, outputCol=out, variance=self.get("variance")).fit(scaler.transform(vec))

@@ -22,7 +22,7 @@ from fitmesh.models.trees import RandomForest
 from fitmesh.operators.splits import holdout_split, repeated_kfold
 from fitmesh.operators.stats import fold_moments
 from fitmesh.plans.chain import LIGHT_DEFAULT, MODELS, PREPARATIONS, Chain, clean_names, make
-from fitmesh.plans.crossval import _fold_prediction, cross_validate
+from fitmesh.plans.crossval import cross_validate, features_of, fold_prediction, linear_fold_fits
 from fitmesh.plans.parallel import run_limited
 from fitmesh.plans.selection import champion_row, leaderboard
 
@@ -69,15 +69,14 @@ def linear_grid_scores(estimators: Sequence[LinearRegressor], names: Sequence[st
                        fold_columns: Sequence[str]) -> DataFrame:
     """Fold scores of many least-squares candidates from two scans in total: one of sums, one of predictions."""
     first = estimators[0]
-    folds = fold_moments(df, first.getFeaturesCol(), first.getLabelCol(), fold_columns)
-    x, entries = as_array(df, first.getFeaturesCol()), []
+    label = first.getOrDefault("labelCol")
+    folds = fold_moments(df, features_of(first), label, fold_columns)
+    x, entries = as_array(df, features_of(first)), []
     for name, e in zip(names, estimators):
-        for r, cells in enumerate(folds):
-            total = reduce(lambda a, b: a + b, cells.values())
-            fits = {f: e.solve(total - m) for f, m in cells.items()}
+        for r, fits in enumerate(linear_fold_fits(e, df, fold_columns, folds)):
             entries.append(F.struct(F.lit(name).alias("model"), F.lit(r).alias("repeat"), F.col(fold_columns[r]).alias("fold"),
-                                    _fold_prediction(x, F.col(fold_columns[r]), fits).alias("prediction")))
-    long = df.select(F.col(first.getLabelCol()).alias("label"), F.explode(F.array(*entries)).alias("e")).select("label", "e.*")
+                                    fold_prediction(x, F.col(fold_columns[r]), fits).alias("prediction")))
+    long = df.select(F.col(label).alias("label"), F.explode(F.array(*entries)).alias("e")).select("label", "e.*")
     return fold_scores(long)
 
 
