@@ -38,14 +38,18 @@ SUMMARY_SQL = ", ".join(f"round({f}({m}), {SUMMARY[f'{m}_{s}']}) AS {m}_{s}" for
 FAST_FOLDS = f"folds AS (SELECT id, r AS repeat, CAST(('0x' || substr(md5(concat_ws(':', '42', r, id)), 1, 15))::BIGINT % 5 AS INTEGER) AS fold FROM li, range(3) t(r))"
 
 
+_CENTRE = {"price": 50000, "qty": 25, "disc": 0.05}  # keeps the SQL sums well conditioned
+
+
 def oof_sql(x: str, name: str, alpha: str = "0.0") -> str:
     """CTEs ``{name}_fit`` and ``{name}`` (id, repeat, fold, label, prediction) for label ~ x with an L2 penalty."""
-    return f"""{name}_g AS (SELECT repeat, fold, count(*) AS n, sum({x} - 50000) AS sx, sum(label - 50000) AS sy, sum(({x} - 50000) * ({x} - 50000)) AS sxx,
-  sum(({x} - 50000) * (label - 50000)) AS sxy FROM li JOIN folds USING (id) GROUP BY repeat, fold),
+    c = _CENTRE[x]
+    return f"""{name}_g AS (SELECT repeat, fold, count(*) AS n, sum({x} - {c}) AS sx, sum(label - 50000) AS sy, sum(({x} - {c}) * ({x} - {c})) AS sxx,
+  sum(({x} - {c}) * (label - 50000)) AS sxy FROM li JOIN folds USING (id) GROUP BY repeat, fold),
 {name}_t AS (SELECT repeat, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM {name}_g GROUP BY repeat),
 {name}_d AS (SELECT g.repeat, g.fold, t.n - g.n AS n, t.sx - g.sx AS sx, t.sy - g.sy AS sy, t.sxx - g.sxx AS sxx, t.sxy - g.sxy AS sxy
   FROM {name}_g g JOIN {name}_t t USING (repeat)),
-{name}_fit AS (SELECT repeat, fold, (sxy - sx * sy / n) / (sxx - sx * sx / n + {alpha}) AS w, 50000 + sx / n AS mx, 50000 + sy / n AS my FROM {name}_d),
+{name}_fit AS (SELECT repeat, fold, (sxy - sx * sy / n) / (sxx - sx * sx / n + {alpha}) AS w, {c} + sx / n AS mx, 50000 + sy / n AS my FROM {name}_d),
 {name} AS (SELECT id, repeat, fold, label, my + w * ({x} - mx) AS prediction FROM li JOIN folds USING (id) JOIN {name}_fit USING (repeat, fold))"""
 
 
@@ -348,8 +352,8 @@ def random_search_forest(spark, sf_dir):
 
 INNER = f"""{LI}, r AS (SELECT *, row_number() OVER (ORDER BY {hash_sql(42)}) - 1 AS r, count(*) OVER () AS n FROM li),
 tr AS (SELECT * FROM r WHERE NOT r < ceil(0.25 * n)), te AS (SELECT * FROM r WHERE r < ceil(0.25 * n)),
-c AS (SELECT covar_pop(label, price) AS c, var_pop(price) AS v, avg(label) AS my, avg(price) AS mx, count(*) AS n FROM tr)"""
-_PORTFOLIO = [("Ridge(alpha=10000000000000.0)", "c * n / (v * n + 1e13)"), ("Lasso(alpha=100000000.0)", "(c - 1e8) / v"), ("OLS", "c / v")]
+c AS (SELECT covar_pop(label, price) AS c, var_pop(price) AS v, avg(label) AS my, avg(price) AS mx, count(*) AS m FROM tr)"""
+_PORTFOLIO = [("Ridge(alpha=10000000000000.0)", "c * m / (v * m + 1e13)"), ("Lasso(alpha=100000000.0)", "(c - 1e8) / v"), ("OLS", "c / v")]
 
 
 @query("portfolio_search", f"WITH {INNER}, p AS (" + " UNION ALL ".join(
