@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fitmesh.functions.vectors import as_vector, matrix
 from fitmesh.models.base import ColumnNames, Configurable, Regressor, param, score_model
 from fitmesh.models.trees import DecisionTree, NativeTreeModel
-from fitmesh.session import durable
+from fitmesh.session import durable, held
 
 _CUT_LINEAGE_EVERY = 5
 
@@ -112,8 +112,8 @@ class AdaBoost(Regressor, HasSeed):
         label = "label"
         data = df.select(as_vector(df, self.getFeaturesCol()).alias("features"),
                          F.col(self.getLabelCol()).cast("double").alias(label), F.lit(1.0).alias("_w"))
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        held = [data]
+        data = held(data)
+        kept = [data]
         trees, votes = [], []
         try:
             for i in range(self.get("n_estimators")):
@@ -136,10 +136,10 @@ class AdaBoost(Regressor, HasSeed):
                 mean_next = data.agg(F.avg("_w")).first()[0]
                 data = data.withColumn("_w", F.col("_w") / F.lit(float(mean_next or 1.0)))
                 data = durable(data) if (i + 1) % _CUT_LINEAGE_EVERY == 0 else data.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(data)
-                if len(held) > 2:
-                    held.pop(0).unpersist()
+                kept.append(data)
+                if len(kept) > 2:
+                    kept.pop(0).unpersist()
         finally:
-            for h in held:
-                h.unpersist()
+            for frame in kept:
+                frame.unpersist()
         return self._hand_over(AdaBoostModel(trees, votes))

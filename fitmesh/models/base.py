@@ -62,7 +62,7 @@ class StateWriter(MLWriter):
         spark = self.sparkSession
         DefaultParamsWriter.saveMetadata(self.instance, path, spark)
         rows = [(k, [int(s) for s in np.shape(v)], [float(x) for x in np.ravel(v)]) for k, v in self.instance.state.items()]
-        spark.createDataFrame(rows, "name string, shape array<long>, items array<double>").write.parquet(f"{path}/state")
+        spark.createDataFrame(rows, "name string, shape array<long>, items array<double>").coalesce(1).write.parquet(f"{path}/state")
 
 
 class StateReader(MLReader):

@@ -8,7 +8,6 @@ per batch of trees, so the shuffle is independent of the number of rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.param import TypeConverters
 from pyspark.ml.param.shared import HasSeed
 from pyspark.sql import DataFrame
@@ -18,6 +17,7 @@ from fitmesh.functions.forest import FlatForest
 from fitmesh.functions.vectors import as_array, map_rows, matrix, width
 from fitmesh.models.base import RegressionModel, Regressor, param
 from fitmesh.operators.partials import reduce_arrays
+from fitmesh.session import held
 
 DEEPEST = 12               # stands for an unlimited depth: 4096 leaves per tree
 _STATE_BYTES = 64 << 20    # dense statistics per task
@@ -79,7 +79,7 @@ class ExtraTrees(Regressor, HasSeed):
         depth = DEEPEST if self.get("max_depth") is None else int(self.get("max_depth"))
         p = width(df, self.getFeaturesCol())
         data = df.select(as_array(df, self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = held(data)
         try:
             r = data.agg(F.count("y").alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v")).first()
             if not r["n"]:

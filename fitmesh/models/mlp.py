@@ -7,7 +7,6 @@ the (small) weights. Inputs and label are standardised inside the model.
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.param import TypeConverters
 from pyspark.ml.param.shared import HasSeed
 from pyspark.sql import DataFrame
@@ -17,6 +16,7 @@ from fitmesh.functions.vectors import as_array, map_rows, matrix
 from fitmesh.models.base import RegressionModel, Regressor, param
 from fitmesh.operators.partials import reduce_arrays
 from fitmesh.operators.scale import mean_and_std
+from fitmesh.session import held
 
 _ACT = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda a: (a > 0).astype(float)),
@@ -103,7 +103,8 @@ class MLP(Regressor, HasSeed):
         flat = np.concatenate([np.concatenate([rng.uniform(-np.sqrt(gain / (a + b)), np.sqrt(gain / (a + b)), a * b), np.zeros(b)])
                                for a, b in _shapes(sizes)])
         mask = np.concatenate([np.concatenate([np.ones(a * b), np.zeros(b)]) for a, b in _shapes(sizes)])
-        data = df.select(as_array(df, self.getFeaturesCol()).alias("x"), label.alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+        data = df.select(as_array(df, self.getFeaturesCol()).alias("x"), label.alias("y"))
+        data = held(data)
 
         def evaluate(weights):
             def fold(batches):

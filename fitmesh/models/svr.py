@@ -8,7 +8,6 @@ cross-product pass over the data. The rbf kernel uses random Fourier features.
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.param import TypeConverters
 from pyspark.ml.param.shared import HasSeed
 from pyspark.sql import DataFrame
@@ -18,6 +17,7 @@ from fitmesh.functions.vectors import as_array, map_rows, matrix
 from fitmesh.models.base import RegressionModel, Regressor, param
 from fitmesh.operators.partials import reduce_arrays
 from fitmesh.operators.scale import mean_and_std
+from fitmesh.session import held
 
 
 def fourier(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -69,7 +69,7 @@ class SVR(Regressor, HasSeed):
             w = rng.normal(scale=np.sqrt(2.0 * gamma), size=(p, d))
             b = rng.uniform(0.0, 2.0 * np.pi, size=d)
         data = df.select(as_array(df, features).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = held(data)
         c, eps = self.get("C"), self.get("epsilon")
         try:
             start = data.agg(F.avg("y").alias("m"), F.stddev_pop("y").alias("s")).first()

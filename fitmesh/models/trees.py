@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from fitmesh.functions.vectors import as_vector
 from fitmesh.models.base import ColumnNames, Configurable, Regressor, param, score_model
+from fitmesh.session import held
 
 DEEPEST = 30  # Spark ML's limit; stands for an unlimited depth
 _NATIVE = {c.__name__: c for c in (ml.DecisionTreeRegressionModel, ml.RandomForestRegressionModel, ml.GBTRegressionModel)}
@@ -89,13 +90,25 @@ class TreeRegressor(Regressor, HasSeed):
         estimator = self.native().setFeaturesCol("_vec").setLabelCol(label).setSeed(self.getSeed()).setMaxBins(self.get("max_bins"))
         if self._weight:
             estimator = estimator.setWeightCol(self._weight)
-        return self._hand_over(NativeTreeModel(estimator.fit(df.select(*cols))))
+        data = held(df.select(*cols))
+        try:
+            return self._hand_over(NativeTreeModel(estimator.fit(data)))
+        finally:
+            data.unpersist()
 
 
 def _depth(value) -> int:
     return DEEPEST if value is None else min(int(value), DEEPEST)
 
 
+def _boosted(rounds: int, rate: float, depth: int, subsample: float = 1.0) -> ml.GBTRegressor:
+    """Spark fits each tree to twice the residual, so half the rate gives the usual shrinkage.
+
+    Spark's first tree enters at full weight instead of a constant start.
+    """
+    return ml.GBTRegressor(maxIter=rounds, stepSize=rate / 2.0, maxDepth=depth, subsamplingRate=subsample, lossType="squared")
+
+
 def _leaf_size(min_samples_split: int) -> int:
     """Spark bounds the children, not the parent: both children of a splittable node hold at least half."""
     return max(1, int(min_samples_split) // 2)
@@ -116,14 +129,15 @@ class RandomForest(TreeRegressor):
     max_depth = param("max_depth", "None: as deep as Spark allows")
     min_samples_split = param("min_samples_split", "rows a node needs to be split", TypeConverters.toInt)
     max_features = param("max_features", "sqrt, log2, None (all) or a share")
-    DEFAULTS = {"n_estimators": 100, "max_depth": None, "min_samples_split": 2, "max_features": None}
+    bootstrap = param("bootstrap", "resample rows per tree", TypeConverters.toBoolean)
+    DEFAULTS = {"n_estimators": 100, "max_depth": None, "min_samples_split": 2, "max_features": None, "bootstrap": True}
 
     def native(self):
         wanted = self.get("max_features")
         strategy = "all" if wanted in (None, 1.0) else str(wanted)
         return ml.RandomForestRegressor(numTrees=self.get("n_estimators"), maxDepth=_depth(self.get("max_depth")),
                                         minInstancesPerNode=_leaf_size(self.get("min_samples_split")),
-                                        featureSubsetStrategy=strategy)
+                                        featureSubsetStrategy=strategy, bootstrap=self.get("bootstrap"))
 
 
 class GradientBoosting(TreeRegressor):
@@ -133,8 +147,7 @@ class GradientBoosting(TreeRegressor):
     DEFAULTS = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}
 
     def native(self):
-        return ml.GBTRegressor(maxIter=self.get("n_estimators"), stepSize=self.get("learning_rate"),
-                               maxDepth=_depth(self.get("max_depth")), lossType="squared")
+        return _boosted(self.get("n_estimators"), self.get("learning_rate"), _depth(self.get("max_depth")))
 
 
 class XGBoost(TreeRegressor):
@@ -150,8 +163,7 @@ class XGBoost(TreeRegressor):
     DEFAULTS = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "subsample": 1.0}
 
     def native(self):
-        return ml.GBTRegressor(maxIter=self.get("n_estimators"), stepSize=self.get("learning_rate"),
-                               maxDepth=_depth(self.get("max_depth")), subsamplingRate=self.get("subsample"), lossType="squared")
+        return _boosted(self.get("n_estimators"), self.get("learning_rate"), _depth(self.get("max_depth")), self.get("subsample"))
 
 
 class LightGBM(TreeRegressor):
@@ -167,5 +179,4 @@ class LightGBM(TreeRegressor):
         depth = math.ceil(math.log2(max(2, self.get("num_leaves"))))
         if self.get("max_depth") > 0:
             depth = min(depth, self.get("max_depth"))
-        return ml.GBTRegressor(maxIter=self.get("n_estimators"), stepSize=self.get("learning_rate"),
-                               maxDepth=_depth(depth), lossType="squared")
+        return _boosted(self.get("n_estimators"), self.get("learning_rate"), _depth(depth))

@@ -25,7 +25,7 @@ from fitmesh.session import durable
 
 BLOCK_ROWS = 4096         # rows of one side in one task
 POINTS_PER_PIVOT = 20_000
-MAX_PIVOTS = 1024
+MAX_PIVOTS = 4096
 _PIVOT_BYTES = 64 << 20   # pivots are shipped with the tasks
 
 

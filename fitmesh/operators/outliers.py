@@ -18,7 +18,7 @@ from fitmesh.models.base import Configurable, StateModel, param
 from fitmesh.operators.knn import BLOCK_ROWS, knn_join
 from fitmesh.operators.lookup import keyed_lookup
 from fitmesh.operators.orderstats import quantiles
-from fitmesh.session import durable
+from fitmesh.session import durable, held
 
 AUTO = "auto"
 
@@ -30,9 +30,8 @@ def drop_small_groups(df: DataFrame, label: str, ratio: float) -> DataFrame:
     """
     if not 0.0 < ratio <= 1.0:
         return df
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    kept = counts.join(F.broadcast(total)).filter(F.col("_n") >= F.lit(float(ratio)) * F.col("_total"))
+    total = df.count()
+    kept = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= F.lit(float(ratio) * total))
     same = df[label].eqNullSafe(F.col("_keep"))
     return df.join(F.broadcast(kept.select(F.col(label).alias("_keep"))), same, "left_semi")
 
@@ -232,11 +231,9 @@ class KMeansOutlier(OutlierEstimator):
     DEFAULTS = {"n_clusters": 2, "min_cluster_size_ratio": 0.05, "n_init": 10, "seed": 42, "idCol": "id"}
 
     def fit(self, df: DataFrame) -> KMeansOutlierModel:
-        from pyspark import StorageLevel
-
         from fitmesh.plans.parallel import run_all
 
-        vec = df.select(as_vector(df, self.getFeaturesCol()).alias("_vec")).persist(StorageLevel.MEMORY_AND_DISK)
+        vec = held(df.select(as_vector(df, self.getFeaturesCol()).alias("_vec")))
         try:
             fits = run_all([
                 lambda s=s: KMeans(k=self.get("n_clusters"), seed=self.getSeed() + s, featuresCol="_vec",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from fitmesh.functions.vectors import as_array, matrix, width
 from fitmesh.operators.partials import MAX_STATE_BYTES, reduce_arrays
 
-SQL_WIDTH = 12       # cross products as column expressions stay inside whole-stage codegen
+SQL_WIDTH = 11       # at most 100 aggregates, the limit of whole-stage codegen
 MAX_WIDTH = 8192     # a dense cross-product matrix beyond this does not fit a driver
 
 

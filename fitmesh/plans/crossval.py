@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from fitmesh.operators.reduce import PCA
 from fitmesh.operators.scale import StandardScale
 from fitmesh.operators.stats import Moments, fold_moments
 from fitmesh.plans.parallel import run_all
+from fitmesh.session import held
 
 
 def moment_solver(estimator):
@@ -131,9 +131,20 @@ def out_of_fold(estimator, df: DataFrame, fold_columns: Sequence[str], keep: Seq
 def cross_validate(estimator, df: DataFrame, fold_columns: Sequence[str], name: str | None = None,
                    parallelism: int = 4) -> DataFrame:
     """R2, RMSE and MAE of every (repeat, fold)."""
-    long = out_of_fold(estimator, df, fold_columns, parallelism=parallelism)
     name = name or type(estimator).__name__
-    return fold_scores(long.withColumn("model", F.lit(name)))
+    if moment_solver(estimator) is not None:
+        return fold_scores(out_of_fold(estimator, df, fold_columns).withColumn("model", F.lit(name)))
+    data = held(df)  # read once per fold by the fits and once by the scoring
+    try:
+        return _materialised(out_of_fold(estimator, data, fold_columns, parallelism=parallelism), name)
+    finally:
+        data.unpersist()
+
+
+def _materialised(long: DataFrame, name: str) -> DataFrame:
+    """Fold scores as a local table: one row per (repeat, fold)."""
+    scores = fold_scores(long.withColumn("model", F.lit(name)))
+    return long.sparkSession.createDataFrame(scores.collect(), scores.schema)
 
 
 def cross_validate_summary(estimator, df: DataFrame, fold_columns: Sequence[str], name: str | None = None,
@@ -144,8 +155,12 @@ def cross_validate_summary(estimator, df: DataFrame, fold_columns: Sequence[str]
 def cross_validate_keep_best(estimator, df: DataFrame, fold_columns: Sequence[str], parallelism: int = 4):
     """Refit per fold and return ``(best fold model, scores)``; best is the highest R2, first fold on ties."""
     models: dict = {}
-    long = out_of_fold(estimator, df, fold_columns, parallelism=parallelism, keep_models=models)
-    scores = fold_scores(long.withColumn("model", F.lit(type(estimator).__name__))).persist(StorageLevel.MEMORY_AND_DISK)
+    data = held(df)
+    try:
+        long = out_of_fold(estimator, data, fold_columns, parallelism=parallelism, keep_models=models)
+        scores = _materialised(long, type(estimator).__name__)
+    finally:
+        data.unpersist()
     rows = sorted(scores.collect(), key=lambda r: (r["repeat"], r["fold"]))
     best = None
     for r in rows:

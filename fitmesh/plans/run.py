@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +18,7 @@ from fitmesh.plans.crossval import out_of_fold
 from fitmesh.plans.ensemble import blend, predict_all
 from fitmesh.plans.features import FeaturePipeline
 from fitmesh.plans.search import MetaResult, meta_search
+from fitmesh.session import held
 from fitmesh.sources import records
 
 
@@ -50,7 +50,7 @@ def run(df: DataFrame, key: Sequence[str], strategies: Sequence, label: str = "l
     engineered = FeaturePipeline(columns=columns, keys=[*key, "id", "is_test"], labelCol=label).fit(fit_rows)
     table = engineered.transform(split)
     keep = [*dict.fromkeys([*key, "id"]), F.col(label).cast("double").alias("label"), "features", "is_test"]
-    table = table.select(*keep).withMetadata("features", {"width": engineered.n_components}).persist(StorageLevel.MEMORY_AND_DISK)
+    table = held(table.select(*keep).withMetadata("features", {"width": engineered.n_components}))
     try:
         train, test = table.filter("not is_test").drop("is_test"), table.filter("is_test").drop("is_test")
         search = meta_search(train, strategies, key, n_splits, n_repeats, metric, parallelism, seed, budget)
@@ -87,8 +87,7 @@ def run(df: DataFrame, key: Sequence[str], strategies: Sequence, label: str = "l
         run_dir = records.run_path(root, dataset)
         spark = df.sparkSession
         records.write_run_record(spark, record, run_dir)
-        records.save_champion(full, run_dir)
-        records.save_all({n: PipelineModel([engineered, m]) for n, m in search.models.items()}, run_dir)
+        records.save_all({"overall": full, **{n: PipelineModel([engineered, m]) for n, m in search.models.items()}}, run_dir)
     return RunResult(full, champion, search, holdout, record, run_dir)
 
 

@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +24,7 @@ from fitmesh.plans.chain import LIGHT_DEFAULT, MODELS, PREPARATIONS, Chain, clea
 from fitmesh.plans.crossval import cross_validate, features_of, fold_prediction, linear_fold_fits
 from fitmesh.plans.parallel import run_limited
 from fitmesh.plans.selection import champion_row, leaderboard
+from fitmesh.session import held
 
 # fixed values: the search grid of the forest tuner
 FOREST_GRID = {
@@ -100,7 +100,7 @@ def random_search(df: DataFrame, estimator: type = RandomForest, grid: dict[str,
     if fold_columns is None:
         df = repeated_kfold(df, key, n_splits, n_repeats, seed)
         fold_columns = [f"fold_r{r}" for r in range(n_repeats)]
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = held(df)
     names = [params_text(s) for s in settings]
     candidates = [estimator(**{**(fixed or {}), **s}) for s in settings]
     try:
@@ -197,7 +197,7 @@ class PortfolioSearch:
         return [*made, *self.extra]
 
     def run(self, df: DataFrame, key: Sequence[str]) -> SearchResult:
-        split = holdout_split(df, key, 0.25, self.seed, out="_valid").persist(StorageLevel.MEMORY_AND_DISK)
+        split = held(holdout_split(df, key, 0.25, self.seed, out="_valid"))
         try:
             train, valid = split.filter("not _valid").drop("_valid"), split.filter("_valid").drop("_valid")
             outcomes = evaluate_candidates(self.candidates(), train, valid, self.metric, self.parallelism, self.budget)
@@ -245,7 +245,7 @@ class RoundSearch:
         rng = np.random.default_rng(self.seed)
         split = None
         if evaluate is None:
-            split = holdout_split(df, key, 0.25, self.seed, out="_valid").persist(StorageLevel.MEMORY_AND_DISK)
+            split = held(holdout_split(df, key, 0.25, self.seed, out="_valid"))
             train, valid = split.filter("not _valid").drop("_valid"), split.filter("_valid").drop("_valid")
             evaluate = lambda cs, left: evaluate_candidates(cs, train, valid, self.metric, self.parallelism, left)
         began, seen, outcomes, best, stale = time.monotonic(), set(), [], None, 0
@@ -306,7 +306,7 @@ def meta_search(df: DataFrame, strategies: Sequence, key: Sequence[str], n_split
         raise ValueError(f"unsupported metric {metric!r}")
     spark = df.sparkSession
     fold_columns = [f"fold_r{r}" for r in range(n_repeats)]
-    table = repeated_kfold(df, key, n_splits, n_repeats, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    table = held(repeated_kfold(df, key, n_splits, n_repeats, seed))
 
     def job(strategy):
         found = strategy.run(table, key)

@@ -41,16 +41,16 @@ FAST_FOLDS = f"folds AS (SELECT id, r AS repeat, CAST(('0x' || substr(md5(concat
 _CENTRE = {"price": 50000, "qty": 25, "disc": 0.05}  # keeps the SQL sums well conditioned
 
 
-def oof_sql(x: str, name: str, alpha: str = "0.0") -> str:
+def oof_sql(x: str, name: str, alpha: str = "0.0", source: str = "li") -> str:
     """CTEs ``{name}_fit`` and ``{name}`` (id, repeat, fold, label, prediction) for label ~ x with an L2 penalty."""
     c = _CENTRE[x]
     return f"""{name}_g AS (SELECT repeat, fold, count(*) AS n, sum({x} - {c}) AS sx, sum(label - 50000) AS sy, sum(({x} - {c}) * ({x} - {c})) AS sxx,
-  sum(({x} - {c}) * (label - 50000)) AS sxy FROM li JOIN folds USING (id) GROUP BY repeat, fold),
+  sum(({x} - {c}) * (label - 50000)) AS sxy FROM {source} JOIN folds USING (id) GROUP BY repeat, fold),
 {name}_t AS (SELECT repeat, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM {name}_g GROUP BY repeat),
 {name}_d AS (SELECT g.repeat, g.fold, t.n - g.n AS n, t.sx - g.sx AS sx, t.sy - g.sy AS sy, t.sxx - g.sxx AS sxx, t.sxy - g.sxy AS sxy
   FROM {name}_g g JOIN {name}_t t USING (repeat)),
 {name}_fit AS (SELECT repeat, fold, (sxy - sx * sy / n) / (sxx - sx * sx / n + {alpha}) AS w, {c} + sx / n AS mx, 50000 + sy / n AS my FROM {name}_d),
-{name} AS (SELECT id, repeat, fold, label, my + w * ({x} - mx) AS prediction FROM li JOIN folds USING (id) JOIN {name}_fit USING (repeat, fold))"""
+{name} AS (SELECT id, repeat, fold, label, my + w * ({x} - mx) AS prediction FROM {source} JOIN folds USING (id) JOIN {name}_fit USING (repeat, fold))"""
 
 
 def fold_scores_sql(name: str) -> str:
@@ -108,7 +108,7 @@ WITH {LI}, {exact_folds_sql(5, 1)}, {oof_sql('price', 'p')}, s AS ({fold_scores_
 SELECT repeat, fold, round(r2, 8) AS r2, round(w, 8) AS slope, round(my - w * mx, 4) AS intercept FROM s JOIN p_fit USING (repeat, fold)
 ORDER BY s.r2 DESC LIMIT 1""")
 def best_fold_model(spark, sf_dir):
-    v = repeated_kfold(with_features(lines(spark, sf_dir), ["price"], "id"), ["id"], 5, 1).persist()
+    v = repeated_kfold(with_features(lines(spark, sf_dir), ["price"], "id"), ["id"], 5, 1)
     model, scores = cross_validate_keep_best(OLS(), v, ["fold_r0"])
     top = scores.orderBy(F.desc("r2")).limit(1)
     return top.select("repeat", "fold", F.round("r2", 8).alias("r2"), F.round(F.lit(float(model.state["coefficients"][0])), 8).alias("slope"),
@@ -118,7 +118,7 @@ def best_fold_model(spark, sf_dir):
 @query("forest_cv")
 def forest_cv(spark, sf_dir):
     """A family without a closed form: refitted per fold, scored in one aggregation."""
-    v = repeated_kfold(with_features(lines(spark, sf_dir), ALL, "id"), ["id"], 3, 1).persist()
+    v = repeated_kfold(with_features(lines(spark, sf_dir), ALL, "id"), ["id"], 3, 1)
     return cross_validate(RandomForest(n_estimators=5, max_depth=5), v, ["fold_r0"])
 
 
@@ -229,6 +229,57 @@ def decision_tree_stump(spark, sf_dir):
     return DecisionTree(max_depth=1).fit(v).transform(v).select("id", F.round("prediction", 2).alias("prediction"))
 
 
+_STUMP = f"""{LI}, g AS (SELECT disc, count(*) AS n, sum(label) AS s FROM li GROUP BY disc),
+c AS (SELECT disc, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM g WINDOW w AS (ORDER BY disc)),
+b AS (SELECT disc AS cut, sl / nl AS lo, (s - sl) / (n - nl) AS hi FROM c WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1),
+f AS (SELECT id, disc, label, CASE WHEN disc <= cut THEN lo ELSE hi END AS p1 FROM li, b)"""
+
+
+def _stump(name, estimator):
+    """One split on few distinct values has a closed form in every tree family."""
+    @query(name, f"WITH {_STUMP} SELECT id, round(p1, 2) AS prediction FROM f")
+    def run(spark, sf_dir):
+        v = with_features(lines(spark, sf_dir), ["disc"], "id")
+        return estimator().fit(v).transform(v).select("id", F.round("prediction", 2).alias("prediction"))
+
+    return run
+
+
+_stump("random_forest_stump", lambda: RandomForest(n_estimators=1, max_depth=1, bootstrap=False))
+_stump("xgboost_stump", lambda: XGBoost(n_estimators=1, max_depth=1))
+_stump("lightgbm_stump", lambda: LightGBM(n_estimators=1, num_leaves=2))
+_stump("adaboost_stump", lambda: AdaBoost(n_estimators=1, max_depth=1))
+
+
+@query("gradient_boosting_two_rounds", f"""
+WITH {_STUMP}, g2 AS (SELECT disc, count(*) AS n, sum(label - p1) AS s FROM f GROUP BY disc),
+c2 AS (SELECT disc, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM g2 WINDOW w AS (ORDER BY disc)),
+b2 AS (SELECT disc AS cut, sl / nl AS lo, (s - sl) / (n - nl) AS hi FROM c2 WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)
+SELECT id, round(p1 + 0.5 * CASE WHEN disc <= cut THEN lo ELSE hi END, 2) AS prediction FROM f, b2""")
+def gradient_boosting_two_rounds(spark, sf_dir):
+    v = with_features(lines(spark, sf_dir), ["disc"], "id")
+    m = GradientBoosting(n_estimators=2, max_depth=1, learning_rate=0.5).fit(v)
+    return m.transform(v).select("id", F.round("prediction", 2).alias("prediction"))
+
+
+@query("extra_trees_two_values", f"""
+WITH {LI} SELECT id, round(avg(label) OVER (PARTITION BY l_returnflag = 'R'), 2) AS prediction FROM li""")
+def extra_trees_two_values(spark, sf_dir):
+    """Any random threshold separates two values, so every tree predicts the two means."""
+    li = lines(spark, sf_dir, "l_returnflag").withColumn("flag", (F.col("l_returnflag") == "R").cast("double"))
+    v = with_features(li, ["flag"], "id")
+    return ExtraTrees(n_estimators=3, max_depth=2).fit(v).transform(v).select("id", F.round("prediction", 2).alias("prediction"))
+
+
+@query("mlp_linear_limit", f"""
+WITH {LI} SELECT count(*) AS n, round(regr_r2(label, price), 6) AS r2 FROM li""")
+def mlp_linear_limit(spark, sf_dir):
+    """Without hidden units and penalty the network is least squares."""
+    v = with_features(lines(spark, sf_dir), ["price"])
+    m = MLP(hidden_layer_sizes=[], activation="identity", solver="lbfgs", alpha=0.0, tol=1e-9).fit(v)
+    return m.transform(v).agg(F.count(F.lit(1)).alias("n"), F.round(M.r2("label", "prediction"), 6).alias("r2"))
+
+
 def _scored(name, estimator, columns=ALL, scale=False):
     @query(name)
     def run(spark, sf_dir):
@@ -381,6 +432,17 @@ def portfolio_families(spark, sf_dir):
     return rounded(found.table.select("rank", "model", "status", "score"), {"score": 6})
 
 
+@query("round_search_least_squares", f"""
+WITH {INNER}, p AS (SELECT label, my + c / v * (price - mx) AS prediction FROM te, c),
+s AS (SELECT round(1 - sum(pow(label - prediction, 2)) / (count(*) * var_pop(label)), 8) AS score FROM p)
+SELECT 'OLS' AS model, 'ok' AS status, score FROM s UNION ALL SELECT 'StandardScaler+OLS', 'ok', score FROM s""")
+def round_search_least_squares(spark, sf_dir):
+    """Both reachable candidates are tried once; scaling does not change least squares."""
+    found = RoundSearch(families=["OLS"], population=4, generations=3, patience=1).run(
+        with_features(lines(spark, sf_dir), ["price"], "id"), ["id"])
+    return rounded(found.table.select("model", "status", "score"), {"score": 8})
+
+
 @query("round_search")
 def round_search(spark, sf_dir):
     found = RoundSearch(families=["Ridge", "ElasticNet", "DecisionTree"], population=3, generations=3, patience=2).run(

@@ -43,16 +43,34 @@ def keep_inliers_query(spark, sf_dir):
     return keep_inliers(masked).select("vec_id", "label")
 
 
-@query("isolation_forest")
+@query("isolation_forest", """
+WITH n AS (SELECT count(*) AS n FROM lineitem), k AS (SELECT n, CAST(floor(0.95 * (n - 1)) AS BIGINT) + 1 AS kept FROM n)
+SELECT true AS is_inlier, kept AS n FROM k UNION ALL SELECT false, n - kept FROM k""")
 def isolation_forest(spark, sf_dir):
+    """The contamination percentile fixes how many rows are kept."""
     v = assemble(lines(spark, sf_dir), ["qty", "price", "disc", "tax"]).select("id", "features")
     masked = IsolationForest(contamination=0.05).mask(v)
-    return masked.groupBy("is_inlier").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("score"), 6).alias("low"),
-                                           F.round(F.max("score"), 6).alias("high"))
+    return masked.groupBy("is_inlier").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("kmeans_outliers")
+@query("isolation_forest_scores")
+def isolation_forest_scores(spark, sf_dir):
+    v = assemble(lines(spark, sf_dir), ["qty", "price", "disc", "tax"]).select("id", "features")
+    return IsolationForest(n_estimators=25).mask(v).select("id", "score", "is_inlier")
+
+
+@query("kmeans_outliers", """
+WITH li AS (SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER)) AS id, l_discount FROM lineitem)
+SELECT id FROM li WHERE l_discount > 0""")
 def kmeans_outliers(spark, sf_dir):
+    """Rows without a discount lie far from the rest and make up less than a fifth."""
+    li = lines(spark, sf_dir).withColumn("far", F.when(F.col("disc") > 0, F.col("disc")).otherwise(1000.0))
+    v = assemble(li, ["far"]).select("id", "features")
+    return KMeansOutlier(n_clusters=2, min_cluster_size_ratio=0.2, n_init=3).clean(v).select("id")
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     masked = KMeansOutlier(featuresCol="embedding", n_clusters=8, min_cluster_size_ratio=0.1, n_init=3).mask(e)
     return masked.groupBy("cluster", "is_inlier").agg(F.count(F.lit(1)).alias("n"))

@@ -17,7 +17,7 @@ from fitmesh.plans.run import run
 from fitmesh.plans.search import PortfolioSearch, RoundSearch, random_search
 from fitmesh.queries.data import exact_folds_sql
 from fitmesh.queries.models import FOLDS, HOLDOUT, SCORES, SUMMARY_SQL, SUMMARY, fold_scores_sql, oof_sql, scores_sql, split_rows
-from fitmesh.queries.registry import LI, lines, metrics_sql, query, rounded, table, with_features
+from fitmesh.queries.registry import LI, hash_sql, lines, metrics_sql, query, rounded, table, with_features
 from fitmesh.sources import records
 
 
@@ -102,14 +102,14 @@ def search_results_csv(spark, sf_dir):
 
 
 @query("event_log", """
-SELECT CAST(ts AS DATE) AS event_date, event_type AS event, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""")
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, event_type AS event, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""")
 def event_log(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(
         "ts", F.lit("INFO").alias("level"), F.lit("events").alias("engine"), F.col("event_type").alias("event"),
         F.create_map(F.lit("user_id"), F.col("user_id").cast("string")).alias("payload"))
     path = records.scratch_path(spark, "events")
     records.write_events(e, path)
-    return records.read_events(spark, path).groupBy("event_date", "event").agg(
+    return records.read_events(spark, path).groupBy(F.col("event_date").cast("string").alias("event_date"), "event").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("payload")["user_id"]).alias("users"))
 
 
@@ -160,6 +160,24 @@ def user_transformer(spark, sf_dir):
     return out.select("id", F.round(F.col("features")[0], 5).alias("qty"), F.round(F.col("features")[1], 5).alias("price"))
 
 
+_TRAIN = f"""{LI}, r0 AS (SELECT *, row_number() OVER (ORDER BY {hash_sql(42)}) - 1 AS rk, count(*) OVER () AS m FROM li),
+te AS (SELECT * FROM r0 WHERE rk < ceil(0.2 * m)), tr AS (SELECT * FROM r0 WHERE NOT rk < ceil(0.2 * m))"""
+
+
+@query("single_feature_run", f"""
+WITH {_TRAIN}, {exact_folds_sql(5, 3, 'tr')}, {oof_sql('price', 'a', source='tr')}, s AS ({fold_scores_sql('a')}),
+w AS (SELECT regr_slope(label, price) AS w, regr_intercept(label, price) AS b FROM tr),
+p AS (SELECT label, price * w + b AS prediction FROM te, w), h AS (SELECT 1 - sum(pow(label - prediction, 2)) / (count(*) * var_pop(label)) AS r2 FROM p)
+SELECT 'least_squares' AS engine, true AS is_champion, (SELECT round(r2, 8) FROM h) AS holdout_r2, {SUMMARY_SQL} FROM s""")
+def single_feature_run(spark, sf_dir):
+    """The complete run where scaling and one component leave least squares unchanged."""
+    root = records.scratch_path(spark, "runs")
+    run(lines(spark, sf_dir).select("id", "price", "label"), ["id"], [PortfolioSearch(name="least_squares", families=["OLS"])],
+        root=root, dataset="lineitem")
+    catalog = records.run_catalog(records.read_records(spark, root))
+    return rounded(catalog.select("engine", "is_champion", "holdout_r2", *SUMMARY), {"holdout_r2": 8, **SUMMARY})
+
+
 @query("complete_run")
 def complete_run(spark, sf_dir):
     """Features, hold-out, two strategies, champion, blend, record and saved models; the catalogue row is returned."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,6 +50,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def held(df: DataFrame) -> DataFrame:
+    """Persist a table that is read many times, spread over all cores.
+
+    Only inputs with fewer partitions than cores are redistributed; a large
+    table keeps its partitions and is not shuffled. Unpersist when done.
+    """
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() >= cores:
+        return data
+    data.unpersist()  # nothing was computed yet
+    return df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and cut its lineage; survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)

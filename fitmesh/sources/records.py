@@ -82,8 +82,11 @@ def save_champion(model, run_dir: str, name: str = "overall_champion") -> str:
 
 
 def save_all(models: dict, run_dir: str) -> dict[str, str]:
-    """One folder per engine champion."""
-    return {name: save_champion(m, run_dir, f"{name}_champion") for name, m in models.items()}
+    """One folder per engine champion; many small files, so the writes go side by side."""
+    from fitmesh.plans.parallel import run_all
+
+    paths = run_all([lambda n=n, m=m: save_champion(m, run_dir, f"{n}_champion") for n, m in models.items()], 4)
+    return dict(zip(models, paths))
 
 
 def load_champion(path: str) -> PipelineModel:
