@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASH_BITS = 60  # 15 hexadecimal digits of an md5: always a non-negative bigint
+HEX_DIGITS = 15   # of an md5: as a number they always fit a non-negative bigint
+HIGHEST = "g"     # sorts after every hexadecimal text
 
 
 def key_text(key: Sequence[str]) -> Column:
@@ -15,7 +16,12 @@ def key_text(key: Sequence[str]) -> Column:
     return F.concat_ws(":", *[F.col(k).cast("string") for k in key])
 
 
-def key_hash(key: Sequence[str], *salt: int) -> Column:
-    """60-bit hash of ``salt:...:key`` as a bigint, uniform over ``[0, 2**60)``."""
+def key_hex(key: Sequence[str], *salt: int) -> Column:
+    """Hash of ``salt:...:key`` as 15 hexadecimal digits; text order equals numeric order."""
     text = F.concat_ws(":", *[F.lit(str(s)) for s in salt], key_text(key))
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return F.substring(F.md5(text), 1, HEX_DIGITS)
+
+
+def key_hash(key: Sequence[str], *salt: int) -> Column:
+    """The same hash as a bigint, uniform over ``[0, 2**60)``."""
+    return F.conv(key_hex(key, *salt), 16, 10).cast("bigint")

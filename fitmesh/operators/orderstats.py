@@ -19,6 +19,7 @@ from fitmesh.operators.partials import reduce_arrays
 
 _ROWS_PER_BUCKET = 250_000
 _MAX_BUCKETS = 20_000
+_FEW_BUCKETS = 128
 
 
 def _batch_columns(batch: pa.RecordBatch, names: Sequence[str]):
@@ -27,6 +28,13 @@ def _batch_columns(batch: pa.RecordBatch, names: Sequence[str]):
         yield name, v[~np.isnan(v)]
 
 
+def _sketch(data: DataFrame, names: Sequence[str], buckets: int):
+    """Row count and approximate bucket limits of every column, in one aggregation."""
+    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    accuracy = F.lit(min(10 * buckets, 200_000))
+    return data.agg(F.count(F.lit(1)).alias("rows"), *[F.percentile_approx(n, grid, accuracy).alias(n) for n in names]).first()
+
+
 def order_statistics(df: DataFrame, columns: Sequence[str], positions_of) -> tuple[dict[str, int], dict[str, dict[int, float]]]:
     """Values at 0-based sorted positions; nulls and NaNs are left out.
 
@@ -36,11 +44,10 @@ def order_statistics(df: DataFrame, columns: Sequence[str], positions_of) -> tup
     columns = list(columns)
     names = [f"c{i}" for i in range(len(columns))]
     data = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(n) for c, n in zip(columns, names)])
-    n_rows = data.agg(F.count(F.lit(1))).first()[0]
-    buckets = int(min(_MAX_BUCKETS, max(64, n_rows // _ROWS_PER_BUCKET)))
-    grid = [i / buckets for i in range(1, buckets)]
-    sketch = data.agg(*[F.percentile_approx(n, F.array(*[F.lit(g) for g in grid]), F.lit(min(10 * buckets, 200_000))).alias(n)
-                        for n in names]).first()
+    sketch = _sketch(data, names, _FEW_BUCKETS)
+    wanted_buckets = int(min(_MAX_BUCKETS, sketch["rows"] // _ROWS_PER_BUCKET))
+    if wanted_buckets > _FEW_BUCKETS:  # a large table gets finer limits from a second look
+        sketch = _sketch(data, names, wanted_buckets)
     limits = {n: np.unique(np.array(sketch[n] if sketch[n] is not None else [], dtype=float)) for n in names}
 
     def count(batches):

@@ -165,7 +165,11 @@ class IsolationForest(OutlierEstimator):
                                      featuresCol=self.getFeaturesCol(), contamination=self.get("contamination"))
         if self.get("contamination") != AUTO:
             share = float(self.get("contamination"))
-            model.state["limit"] = np.asarray(quantiles(model.anomaly(df), ["score"], [1.0 - share])["score"][0])
+            scores = held(model.anomaly(df).select("score"))  # the quantile reads them several times
+            try:
+                model.state["limit"] = np.asarray(quantiles(scores, ["score"], [1.0 - share])["score"][0])
+            finally:
+                scores.unpersist()
         return model
 
     def mask(self, df: DataFrame) -> DataFrame:

@@ -13,79 +13,66 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fitmesh.functions.hashing import HASH_BITS, key_hash
+from fitmesh.functions.hashing import HEX_DIGITS, HIGHEST, key_hash, key_hex
 
-_STEP = 12                # bits resolved per histogram pass
+_STEP = 3                 # hexadecimal digits resolved per histogram pass: 4096 cells
 _COLLECT_LIMIT = 50_000   # hashes of one histogram cell that may reach the driver
 
 
-def _histogram(df: DataFrame, hashes: Sequence[Column], shift: int, cells: set[tuple[int, int]] | None) -> dict:
-    """Counts per (series, hash >> shift); ``cells`` restricts to parents one step coarser."""
+def _long(df: DataFrame, hashes: Sequence[Column]) -> DataFrame:
     entry = F.explode(F.array(*[F.struct(F.lit(i).alias("series"), h.alias("h")) for i, h in enumerate(hashes)]))
-    long = df.select(entry.alias("e")).select("e.series", "e.h")
-    if cells is not None:
-        parent = F.shiftright("h", shift + _STEP)
-        keep = F.lit(False)
-        for series, value in sorted(cells):
-            keep = keep | ((F.col("series") == series) & (parent == value))
-        long = long.filter(keep)
-    rows = long.groupBy("series", F.shiftright("h", shift).alias("cell")).count().collect()
+    return df.select(entry.alias("e")).select("e.series", "e.h")
+
+
+def _within(cells: set[tuple[int, str]], digits: int) -> Column:
+    return F.concat_ws("/", "series", F.substring("h", 1, digits)).isin([f"{s}/{c}" for s, c in sorted(cells)])
+
+
+def _histogram(df: DataFrame, hashes: Sequence[Column], digits: int, parents: set[tuple[int, str]] | None) -> dict:
+    """Counts per (series, leading digits); ``parents`` restricts to cells one step coarser."""
+    long = _long(df, hashes)
+    if parents is not None:
+        long = long.filter(_within(parents, digits - _STEP))
+    rows = long.groupBy("series", F.substring("h", 1, digits).alias("cell")).count().collect()
     return {(r["series"], r["cell"]): r["count"] for r in rows}
 
 
-def hash_cuts(df: DataFrame, hashes: Sequence[Column], ranks_of) -> tuple[int, list[list[int]]]:
-    """Exact hash values at given ranks.
+def hash_cuts(df: DataFrame, hashes: Sequence[Column], ranks_of) -> tuple[int, list[list[str]]]:
+    """Exact hash texts at given ranks.
 
     ``ranks_of(n)`` returns the ascending cut ranks. The result holds one list
-    per hash series; cut ``c`` is the smallest hash with at least ``rank``
-    hashes below it, so ``hash < c`` selects ``rank`` rows when hashes are
-    distinct. Rows sharing a key always fall on the same side.
+    per hash series; cut ``c`` is the hash at that rank, so ``hash < c`` selects
+    ``rank`` rows when hashes are distinct. Rows sharing a key always fall on
+    the same side.
     """
-    shift = HASH_BITS - _STEP
-    counts = _histogram(df, hashes, shift, None)
+    digits = _STEP
+    counts = _histogram(df, hashes, digits, None)
     n = sum(v for (s, _), v in counts.items() if s == 0)
     ranks = ranks_of(n)
-    # (series, cut index) -> [parent cell or None, ranks still to skip]
-    open_cuts = {(s, i): (None, r) for s in range(len(hashes)) for i, r in enumerate(ranks)}
-    done: dict[tuple[int, int], int] = {}
-    for key, (_, rank) in list(open_cuts.items()):
-        if rank >= n:
-            done[key] = 1 << HASH_BITS
-            del open_cuts[key]
-    while open_cuts:
-        located: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for (s, i), (parent, skip) in open_cuts.items():
-            cells = sorted(c for (cs, c) in counts if cs == s and (parent is None or c >> _STEP == parent))
-            for c in cells:
+    done = {(s, i): HIGHEST for s in range(len(hashes)) for i, r in enumerate(ranks) if r >= n}
+    # (series, cut) -> leading digits known so far, ranks still to skip
+    todo = {(s, i): ("", r) for s in range(len(hashes)) for i, r in enumerate(ranks) if r < n}
+    while todo:
+        located = {}
+        for (s, i), (parent, skip) in todo.items():
+            for c in sorted(c for (cs, c) in counts if cs == s and c.startswith(parent)):
                 if skip < counts[(s, c)]:
-                    located[(s, i)] = (c, skip, counts[(s, c)])
+                    located[(s, i)] = (c, skip)
                     break
                 skip -= counts[(s, c)]
-        if shift == 0:
-            done.update({key: c for key, (c, _, _) in located.items()})
+        if digits == HEX_DIGITS:
+            done.update({key: c for key, (c, _) in located.items()})
             break
-        small = {key: v for key, v in located.items() if v[2] <= _COLLECT_LIMIT}
+        small = {(s, c) for (s, _), (c, _) in located.items() if counts[(s, c)] <= _COLLECT_LIMIT}
         if small:
-            wanted = {(s, c) for (s, _), (c, _, _) in small.items()}
-            values: dict[tuple[int, int], list[int]] = {w: [] for w in wanted}
-            parts = []
-            for s in sorted({s for s, _ in wanted}):
-                cells = [c for ws, c in wanted if ws == s]
-                h = hashes[s]
-                parts.append(df.select(F.lit(s).alias("series"), h.alias("h")).filter(F.shiftright("h", shift).isin(cells)))
-            found = parts[0]
-            for part in parts[1:]:
-                found = found.unionAll(part)
-            for r in found.collect():
-                values[(r["series"], r["h"] >> shift)].append(r["h"])
-            for w in values:
-                values[w].sort()
-            for (s, i), (c, skip, _) in small.items():
-                done[(s, i)] = values[(s, c)][skip]
-        open_cuts = {key: (c, skip) for key, (c, skip, _) in located.items() if key not in small}
-        if open_cuts:
-            shift -= _STEP
-            counts = _histogram(df, hashes, shift, {(s, c) for (s, _), (c, _) in open_cuts.items()})
+            values: dict[tuple[int, str], list[str]] = {cell: [] for cell in small}
+            for r in _long(df, hashes).filter(_within(small, digits)).collect():
+                values[(r["series"], r["h"][:digits])].append(r["h"])
+            done.update({(s, i): sorted(values[(s, c)])[skip] for (s, i), (c, skip) in located.items() if (s, c) in small})
+        todo = {(s, i): at for (s, i), at in located.items() if (s, at[0]) not in small}
+        if todo:
+            digits += _STEP
+            counts = _histogram(df, hashes, digits, {(s, c) for (s, _), (c, _) in todo.items()})
     return n, [[done[(s, i)] for i in range(len(ranks))] for s in range(len(hashes))]
 
 
@@ -98,42 +85,46 @@ def fold_ranks(n: int, n_splits: int) -> list[int]:
 def holdout_split(df: DataFrame, key: Sequence[str], test_size: float = 0.2, seed: int = 42,
                   mode: str = "exact", out: str = "is_test") -> DataFrame:
     """Mark ``ceil(test_size * n)`` rows as test. ``mode="fast"`` needs no pass but its size is approximate."""
-    h = key_hash(key, seed)
+    h = key_hex(key, seed)
     if mode == "fast":
-        cut = int(test_size * (1 << HASH_BITS))
+        cut = f"{int(test_size * 16 ** HEX_DIGITS):0{HEX_DIGITS}x}" if test_size < 1 else HIGHEST
     elif mode == "exact":
         _, cuts = hash_cuts(df, [h], lambda n: [math.ceil(round(test_size * n, 9))])
         cut = cuts[0][0]
     else:
         raise ValueError("mode must be 'exact' or 'fast'")
-    return df.withColumn(out, h < F.lit(cut).cast("bigint"))
+    return df.withColumn(out, h < F.lit(cut))
 
 
-def _fold_of(h: Column, cuts: Sequence[int]) -> Column:
+def _fold_of(h: Column, cuts: Sequence[str]) -> Column:
+    """The number of cuts at or below the hash."""
     out = F.lit(0)
     for cut in cuts:
-        out = out + F.when(h >= F.lit(cut).cast("bigint"), 1).otherwise(0)
+        out = out + (h >= F.lit(cut)).cast("int")
     return out.cast("int")
 
 
 def kfold(df: DataFrame, key: Sequence[str], n_splits: int = 5, seed: int = 42,
           mode: str = "exact", out: str = "fold") -> DataFrame:
     """Disjoint, covering folds whose sizes differ by at most one row (``exact``)."""
-    h = key_hash(key, seed)
-    if mode == "fast":
-        return df.withColumn(out, F.pmod(h, F.lit(n_splits)).cast("int"))
-    _, cuts = hash_cuts(df, [h], lambda n: fold_ranks(n, n_splits))
-    return df.withColumn(out, _fold_of(h, cuts[0]))
+    return _assign(df, key, n_splits, [(out, (seed,))], mode)
 
 
 def repeated_kfold(df: DataFrame, key: Sequence[str], n_splits: int = 5, n_repeats: int = 3, seed: int = 42,
                    mode: str = "exact", prefix: str = "fold_r") -> DataFrame:
     """Columns ``fold_r0..``: one independent shuffle per repeat, without copying rows."""
-    hashes = [key_hash(key, seed, r) for r in range(n_repeats)]
+    return _assign(df, key, n_splits, [(f"{prefix}{r}", (seed, r)) for r in range(n_repeats)], mode)
+
+
+def _assign(df: DataFrame, key: Sequence[str], n_splits: int, series: Sequence[tuple[str, tuple[int, ...]]], mode: str) -> DataFrame:
     if mode == "fast":
-        return df.withColumns({f"{prefix}{r}": F.pmod(h, F.lit(n_splits)).cast("int") for r, h in enumerate(hashes)})
-    _, cuts = hash_cuts(df, hashes, lambda n: fold_ranks(n, n_splits))
-    return df.withColumns({f"{prefix}{r}": _fold_of(h, c) for r, (h, c) in enumerate(zip(hashes, cuts))})
+        return df.withColumns({c: F.pmod(key_hash(key, *salt), F.lit(n_splits)).cast("int") for c, salt in series})
+    if mode != "exact":
+        raise ValueError("mode must be 'exact' or 'fast'")
+    _, cuts = hash_cuts(df, [key_hex(key, *salt) for _, salt in series], lambda n: fold_ranks(n, n_splits))
+    hashed = df.withColumns({f"_h_{c}": key_hex(key, *salt) for c, salt in series})
+    return hashed.withColumns({c: _fold_of(F.col(f"_h_{c}"), cut) for (c, _), cut in zip(series, cuts)}).drop(
+        *[f"_h_{c}" for c, _ in series])
 
 
 def folds_long(df: DataFrame, fold_columns: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fitmesh.functions.hashing import key_text
 from fitmesh.functions.vectors import assemble
+from fitmesh.session import spread
 from fitmesh.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """``id, qty, price, disc, tax, label`` (revenue) of every lineitem row; ``extra`` keeps further columns."""
-    li = table(spark, sf_dir, "lineitem").withColumn("_q", F.col("l_quantity").cast("int"))
+    used = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+            "l_linestatus"]
+    li = spread(table(spark, sf_dir, "lineitem").select(*used)).withColumn("_q", F.col("l_quantity").cast("int"))
     return li.select(
         key_text(LINE_KEY).alias("id"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("disc"), F.col("l_tax").alias("tax"),

@@ -50,6 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a table with fewer input splits than half the cores; others are left as they are.
+
+    Meant for table scans: counting their splits runs no job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def held(df: DataFrame) -> DataFrame:
     """Persist a table that is read many times, spread over all cores.
 

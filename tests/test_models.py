@@ -63,11 +63,11 @@ def test_one_row_and_empty_input(spark):
 
 FAMILIES = [
     (DecisionTree(max_depth=8), NativeTreeModel, 0.9), (RandomForest(n_estimators=10, max_depth=8), NativeTreeModel, 0.9),
-    (GradientBoosting(n_estimators=40, learning_rate=0.2), NativeTreeModel, 0.9),
-    (XGBoost(n_estimators=12, max_depth=4), NativeTreeModel, 0.9), (LightGBM(n_estimators=15, num_leaves=16, learning_rate=0.3), NativeTreeModel, 0.9),
-    (AdaBoost(n_estimators=7, max_depth=5), AdaBoostModel, 0.85), (ExtraTrees(n_estimators=15, max_depth=9), ExtraTreesModel, 0.9),
-    (SVR(C=10.0, n_components=100, max_iter=10), SVRModel, 0.95), (MLP(hidden_layer_sizes=[20], solver="lbfgs", max_iter=40), MLPModel, 0.9),
-    (MLP(hidden_layer_sizes=[20], max_iter=80), MLPModel, 0.8),
+    (GradientBoosting(n_estimators=15, learning_rate=0.5), NativeTreeModel, 0.9),
+    (XGBoost(n_estimators=8, max_depth=5), NativeTreeModel, 0.9), (LightGBM(n_estimators=8, num_leaves=32, learning_rate=0.5), NativeTreeModel, 0.9),
+    (AdaBoost(n_estimators=6, max_depth=5), AdaBoostModel, 0.8), (ExtraTrees(n_estimators=15, max_depth=9), ExtraTreesModel, 0.9),
+    (SVR(C=10.0, n_components=100, max_iter=10), SVRModel, 0.95), (MLP(hidden_layer_sizes=[20], solver="lbfgs", max_iter=25), MLPModel, 0.85),
+    (MLP(hidden_layer_sizes=[20], max_iter=30), MLPModel, 0.6),
 ]
 
 
