@@ -18,8 +18,11 @@ from fitmesh.session import durable
 
 
 def category_means(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """``(column_no, category, mean, rows)`` of all columns from one pass with map-side combine."""
-    entries = F.explode(F.array(*[
+    """``(column_no, category, mean, rows)`` of all columns from one pass with map-side combine.
+
+    Column number -1 holds the one row of overall figures.
+    """
+    entries = F.explode(F.array(F.struct(F.lit(-1).alias("column_no"), F.lit("").alias("category")), *[
         F.struct(F.lit(i).alias("column_no"), F.col(f"`{c}`").cast("string").alias("category")) for i, c in enumerate(columns)]))
     long = df.select(entries.alias("e"), F.nanvl(F.col(label).cast("double"), F.lit(None)).alias("y"))
     return (long.select("e.*", "y").filter(F.col("category").isNotNull())
@@ -92,5 +95,5 @@ class TargetEncode(Configurable, HasLabelCol, Estimator, DefaultParamsReadable,
         label, columns = self.getLabelCol(), self.get("columns")
         # written once: the fitted table must not change or be recomputed under later jobs
         means = durable(category_means(df, columns, label))
-        overall = df.agg(F.avg(F.nanvl(F.col(label).cast("double"), F.lit(None)))).first()[0]
-        return TargetEncodeModel(means, overall, columns=columns)
+        overall = means.filter("column_no = -1").first()
+        return TargetEncodeModel(means, overall["mean"] if overall else None, columns=columns)

@@ -212,7 +212,9 @@ def knn_join(queries: DataFrame, base: DataFrame | None, k: int, query_id: str =
             F.count(F.lit(1)).alias("copies")))
     lists = durable(nearest_points(query_points, base_points, want, pivots, block_rows).join(query_points, "vec"))
     rows = queries.select(F.col(query_id).alias("query_id"), as_array(queries, vector).alias("vec"))
-    matched = keyed_lookup(rows, lists, "vec", "copies")
+    sample = lists.select("vec").first()
+    size = len(sample["vec"]) if sample else 0
+    matched = keyed_lookup(rows, lists, "vec", "copies", row_bytes=8 * size + 32 * want + 64)
     neighbors = F.col("neighbors")
     if itself:
         neighbors = F.filter(neighbors, lambda e: e["id"] != F.col("query_id"))

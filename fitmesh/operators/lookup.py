@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000   # a lookup table up to this many rows is broadcast
-HOT_SHARE = 0.001          # keys above this share of the rows are joined by broadcast: at most 1000 of them
+BROADCAST_BYTES = 32 << 20  # a lookup table up to this size is broadcast
+HOT_SHARE = 0.001           # keys above this share of the rows are joined by broadcast: at most 1000 of them
 _SPREAD = 4096
 
 
 def keyed_lookup(df: DataFrame, table: DataFrame, key: str, count: str, table_rows: int | None = None,
-                 total: int | None = None) -> DataFrame:
+                 total: int | None = None, row_bytes: int = 128) -> DataFrame:
     """Left join of ``table`` (unique ``key``; ``count`` = rows of ``df`` expected per key) onto ``df``.
 
-    A small table is broadcast. A large one is split: the few hot keys are
-    broadcast, everything else is shuffled, and rows already served are spread
-    over all partitions so that neither side of the join is skewed.
+    A table whose counted rows times ``row_bytes`` stay small is broadcast. A
+    large one is split: the few hot keys are broadcast, everything else is
+    shuffled, and rows already served are spread over all partitions so that
+    neither side of the join is skewed.
     """
     table_rows = table.count() if table_rows is None else table_rows
     values = [c for c in table.columns if c not in (key, count)]
-    if table_rows <= BROADCAST_ROWS:
+    if table_rows * row_bytes <= BROADCAST_BYTES:
         return df.join(F.broadcast(table.drop(count)), key, "left")
     total = table.agg(F.sum(count)).first()[0] if total is None else total
     hot = F.col(count) > F.lit(HOT_SHARE) * F.lit(total)
@@ -38,8 +37,3 @@ def keyed_lookup(df: DataFrame, table: DataFrame, key: str, count: str, table_ro
     return joined.select(*[F.col(f"`{c}`") for c in df.columns],
                          *[F.coalesce(F.col(f"_hot.{v}"), F.col(f"_cold.{v}")).alias(v) for v in values])
 
-
-def lookup_many(df: DataFrame, tables: Sequence[tuple[DataFrame, str, str, int, int]]) -> DataFrame:
-    for table, key, count, rows, total in tables:
-        df = keyed_lookup(df, table, key, count, rows, total)
-    return df

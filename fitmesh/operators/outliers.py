@@ -21,19 +21,22 @@ from fitmesh.operators.orderstats import quantiles
 from fitmesh.session import durable, held
 
 AUTO = "auto"
+_BROADCAST_RATIO = 1e-4  # at most 10,000 kept groups
 
 
 def drop_small_groups(df: DataFrame, label: str, ratio: float) -> DataFrame:
     """Rows of groups that hold at least ``ratio`` of all rows.
 
-    At most ``1/ratio`` groups can qualify, so the kept set is broadcast.
+    At most ``1/ratio`` groups can qualify, so the kept set is broadcast unless
+    the ratio is tiny.
     """
     if not 0.0 < ratio <= 1.0:
         return df
     total = df.count()
     kept = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= F.lit(float(ratio) * total))
     same = df[label].eqNullSafe(F.col("_keep"))
-    return df.join(F.broadcast(kept.select(F.col(label).alias("_keep"))), same, "left_semi")
+    keep = kept.select(F.col(label).alias("_keep"))
+    return df.join(F.broadcast(keep) if ratio >= _BROADCAST_RATIO else keep, same, "left_semi")
 
 
 # --------------------------------------------------------------------------- isolation forest

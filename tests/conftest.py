@@ -10,7 +10,7 @@ from fitmesh.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("fitmesh-tests", master="local[4]", shuffle_partitions=2)
+    session = build_session("fitmesh-tests", master="local[2]", shuffle_partitions=2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -55,7 +55,7 @@ def test_string_ids_and_more_neighbours_than_rows(spark):
 
 
 def test_hot_copies_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     x = np.concatenate([np.zeros((50, 2)), np.random.default_rng(0).normal(size=(60, 2))])
     same(collected(knn_join(vectors(spark, x), None, 3, pivots=4)), brute(x, range(110), x, range(110), 3, True))
 

@@ -37,7 +37,7 @@ def test_large_lookup_keeps_every_row_of_a_hot_key(spark, monkeypatch):
     df = df.unionAll(spark.createDataFrame([(9999, None, 1.0)], "id long, c string, label double"))
     model = TargetEncode(columns=["c"]).fit(df)
     small = model.transform(df).orderBy("id").collect()
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(lookup, "HOT_SHARE", 0.05)
     assert model.transform(df).orderBy("id").collect() == small
 
