@@ -9,9 +9,8 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-FEW = ["ols_repeated_cv", "fold_scores", "align_by_position", "target_encoding", "robust_scaling", "quantile_transform", "feature_engineering",
-       "repeated_kfold", "ordered_rank", "knn_join", "keep_inliers", "gradient_boosting_two_rounds", "extra_trees_two_values",
-       "portfolio_search", "linear_stack", "saved_model"]
+FEW = ["ols_repeated_cv", "align_by_position", "robust_scaling", "quantile_transform", "feature_engineering", "ordered_rank", "keep_inliers",
+       "gradient_boosting_two_rounds", "linear_stack"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="benchmark tables not present")
 
