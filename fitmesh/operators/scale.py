@@ -187,7 +187,7 @@ def normal_ppf(u: np.ndarray) -> np.ndarray:
     """Inverse normal CDF, clipped just inside (0, 1)."""
     from statistics import NormalDist
 
-    # fixed clipping threshold of the reference behaviour
+    # fixed value: probabilities are clipped this close to 0 and 1
     edge = 1e-7
     low, high = NormalDist().inv_cdf(edge - np.spacing(1)), NormalDist().inv_cdf(1 - (edge - np.spacing(1)))
     u = np.clip(u, 1e-12, 1 - 1e-12)

@@ -59,7 +59,7 @@ def run_limited(spark: SparkSession, tasks: Sequence[Callable], parallelism: int
             late = i in cancelled
             return Outcome("timeout" if late else "ok", None if late else value, "time limit" if late else "",
                            time.monotonic() - began[i])
-        except Exception as e:  # the reference also carries on past a failing engine
+        except Exception as e:  # a failing task must not end the batch
             status = "timeout" if i in cancelled else "failed"
             return Outcome(status, error=f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:500],
                            seconds=time.monotonic() - began[i])
