@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fitmesh.llm import near_dedup
+from fitmesh.llm import bpe, near_dedup, quality, warc
 from fitmesh.llm.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,58 @@ FROM s LEFT JOIN c ON c.node = s.doc_id
 @query("op1_minhash_near_dedup", NEAR_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, percent=80)
+
+
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ids=False, digests=True)
+
+
+def _grams_sql(n: int) -> str:
+    return f"""g{n} AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM (SELECT doc_id, i, array_to_string(w[i:i + {n - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d) t) t),
+r{n} AS (SELECT doc_id, count(*) AS words, sum(chars) AS chars FROM p SEMI JOIN (SELECT DISTINCT doc_id AS o, unnest(range(i, i + {n})) AS j FROM g{n} WHERE c > 1) h
+  ON h.o = p.doc_id AND h.j = p.i GROUP BY doc_id)"""
+
+
+QUALITY_SQL = f"""
+WITH d AS (SELECT doc_id, text, {WORD_LIST.format(text="coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT doc_id, i, length(w[i]) AS chars FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d) t),
+l AS (SELECT doc_id, line, count(*) AS c, any_value(list_sum(list_transform({WORD_LIST.format(text="line")}, lambda x: length(x)))) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) t WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id, line),
+b AS (SELECT doc_id, sum(c - 1) AS n, sum((c - 1) * chars) AS chars FROM l GROUP BY doc_id),
+{", ".join(_grams_sql(n) for n in sorted({*quality.COVERAGE, 8}))},
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(b.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r8.words, 0) AS BIGINT) AS n_repeat_words, coalesce(b.chars, 0) AS line_chars,
+  {", ".join(f"coalesce(r{n}.chars, 0) AS c{n}" for n in quality.COVERAGE)}
+  FROM d LEFT JOIN b USING (doc_id) {" ".join(f"LEFT JOIN r{n} USING (doc_id)" for n in sorted({*quality.COVERAGE, 8}))}),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (
+  line_chars > {quality.LINES}::DOUBLE * word_chars OR n_symbols > {quality.SYMBOLS}::DOUBLE * n_words OR
+  {" OR ".join(f"c{n} > {share}::DOUBLE * word_chars" for n, share in quality.COVERAGE.items())}) AS kept FROM f
+"""
+
+
+@query("op8_repetition_quality", QUALITY_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_B32 = " || ".join(f"substr('{warc._BASE32}', CAST((('0x' || substr(sha1(coalesce(html, '')), {10 * k + 1}, 10))::BIGINT >> {s}) & 31 AS INTEGER) + 1, 1)"
+                   for k in range(4) for s in range(35, -1, -5))
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, {_B32} AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM m
+"""
+
+
+@query("op10_warc_index", WARC_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html")).drop("url", "payload")
