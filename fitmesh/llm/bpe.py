@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-_MOST = 150_000
+_MOST = 120_000
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -26,93 +26,141 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 
 
 class _State:
-    __slots__ = ("left", "pending", "last", "next")
+    __slots__ = ("left", "pending", "last", "live", "next")
 
-    def __init__(self, left: int, pending: bytes, last: tuple[int, ...]):
-        self.left, self.pending, self.last, self.next = left, pending, last, {}
+    def __init__(self, left: int, pending: bytes, last: tuple[int, ...], live: tuple[tuple[int, int], ...]):
+        self.left, self.pending, self.last, self.live, self.next = left, pending, last, live, {}
 
 
 class Transducer:
-    """Merge ranks as a transducer over bytes; ``encode`` takes one piece of the splitting pattern."""
+    """Merge ranks as a transducer over bytes; ``encode`` takes one piece of the splitting pattern.
+
+    A state's ``last`` holds the last token of each prefix of its pending bytes, ``live`` the boundaries that an entry
+    of the vocabulary could still start from, each with its node of the prefix tree.
+    """
 
     def __init__(self, ranks: dict[bytes, int], most: int = _MOST):
         self.ranks, self.most = ranks, most
         self.tokens = {v: k for k, v in ranks.items()}
-        self.longest = max(map(len, ranks), default=1)
-        self.inner = {t[:k] for t in ranks for k in range(1, len(t))}
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.size = {v: len(k) for k, v in ranks.items()}
+        self.child: dict[int, int] = {}  # node and byte to node of the prefix tree; the root is 0
+        self.token, self.inner = [-1], bytearray(1)
+        for text, rank in ranks.items():
+            node = 0
+            for byte in text:
+                self.inner[node] = 1
+                key = node << 8 | byte
+                node = self.child.get(key, -1)
+                if node < 0:
+                    node = self.child[key] = len(self.token)
+                    self.token.append(-1)
+                    self.inner.append(0)
+            self.token[node] = rank
+        self.fits: dict[int, bool] = {}
+        self.edges: dict[int, tuple | None] = {}
         self.reset()
 
     def reset(self) -> None:
         self.states: dict[tuple[int, bytes], _State] = {}
-        self.start = self.state(-1, b"", ())
+        self.start = self.state(-1, b"", (), ((0, 0),))
 
-    def state(self, left: int, pending: bytes, last: tuple[int, ...]) -> _State:
+    def state(self, left: int, pending: bytes, last: tuple[int, ...], live: tuple[tuple[int, int], ...]) -> _State:
         found = self.states.get((left, pending))
         if found is None:
-            found = self.states[left, pending] = _State(left, pending, last)
+            found = self.states[left, pending] = _State(left, pending, last, live)
         return found
 
-    def merged(self, text: bytes) -> list[int]:
-        """Lowest rank first, leftmost on ties; used on the bytes of at most two tokens."""
-        parts = [text[i : i + 1] for i in range(len(text))]
+    def merges(self, text: bytes) -> tuple[list[bytes], tuple[bytes, bytes] | None]:
+        """Parts after all merges, lowest rank first and leftmost on ties, and the last pair merged."""
+        parts, pair = [text[i : i + 1] for i in range(len(text))], None
         while len(parts) > 1:
             rank, at = min((self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if rank == 1 << 62:
                 break
+            pair = parts[at], parts[at + 1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
-
-    def stands(self, t: int) -> bool:
-        """Whether merges reach this entry from its own bytes."""
-        if t not in self.alone:
-            self.alone[t] = self.merged(self.tokens[t]) == [t]
-        return self.alone[t]
+        return parts, pair
+
+    def edge(self, t: int):
+        """Nodes along the right and the left side of an entry's merge tree, each as (bytes, rank when it appears, rank
+        when it is used up), and whether ranks rise along both; None for an entry that merges never reach."""
+        if t not in self.edges:
+            text = self.tokens[t]
+            parts, pair = self.merges(text)
+            if parts != [text]:
+                self.edges[t] = None
+            elif pair is None:
+                own = [(text, -1, 1 << 62)]
+                self.edges[t] = own, own, True
+            else:
+                sides = []
+                rises = True
+                for k, side in ((1, 0), (0, 1)):
+                    below = self.edge(self.ranks[pair[k]])
+                    nodes = [*below[side][:-1], (*below[side][-1][:2], t), (text, t, 1 << 62)]
+                    rises = rises and below[2] and all(x[1] < x[2] for x in nodes)
+                    sides.append(nodes)
+                self.edges[t] = sides[0], sides[1], rises
+        return self.edges[t]
 
     def neighbours(self, a: int, b: int) -> bool:
-        if (a, b) not in self.fits:
+        """Whether no merge crosses the boundary between two entries."""
+        key = a << 32 | b
+        known = self.fits.get(key)
+        if known is None:
             if len(self.fits) > 4 * self.most:
                 self.fits.clear()
-            self.fits[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
-        return self.fits[a, b]
-
-    def chain(self, s: bytes, last: tuple[int, ...], at: int) -> list[int]:
-        """Boundaries from ``at`` back to 0."""
-        out = [at]
-        while at:
-            at -= len(self.tokens[last[at - 1]])
-            out.append(at)
-        return out
+            left, right = self.edge(a), self.edge(b)
+            if left[2] and right[2]:
+                known = True
+                for x, since_x, until_x in left[0]:
+                    for y, since_y, until_y in right[1]:
+                        m = self.ranks.get(x + y)
+                        if m is not None:
+                            at = max(m, since_x, since_y)
+                            if at < until_x and at <= until_y:
+                                known = False
+            else:
+                known = self.merges(self.tokens[a] + self.tokens[b])[0] == [self.tokens[a], self.tokens[b]]
+            self.fits[key] = known
+        return known
 
     def step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        text = state.pending + bytes([byte])
-        n = len(text)
-        for j in range(max(0, n - self.longest), n):
-            token = self.ranks.get(text[j:])
-            if token is None or not self.stands(token):
+        left, last, token, live, child = state.left, state.last, -1, [], self.child
+        for j, node in state.live:
+            node = child.get(node << 8 | byte, -1)
+            if node < 0:
                 continue
-            before = state.last[j - 1] if j else state.left
-            if before < 0 or self.neighbours(before, token):
-                break
-        else:
+            if token < 0:
+                t = self.token[node]
+                if t >= 0 and self.edge(t) is not None:
+                    before = last[j - 1] if j else left
+                    if before < 0 or self.neighbours(before, t):
+                        token = t
+            if self.inner[node]:
+                live.append((j, node))
+        if token < 0:
             raise ValueError("the vocabulary lacks a single byte")
-        last = (*state.last, token)
-        live = [j for j in range(max(0, n - self.longest), n) if text[j:] in self.inner] + [n]
-        common = set(self.chain(text, last, live[-1]))
-        for j in live[:-1]:
-            common.intersection_update(self.chain(text, last, j))
-        cut = max(common)
+        text, last = state.pending + bytes((byte,)), (*last, token)
+        live.append((len(text), 0))
+        cut = live[0][0]
         if cut == 0:
-            return self.state(state.left, text, last), ()
-        out = self.between(last, cut)
-        return self.state(last[cut - 1], text[cut:], last[cut:]), tuple(out)
+            return self.state(left, text, last, tuple(live)), ()
+        for j, _ in live[1:]:  # the last boundary that lies on the way back from every live one
+            while j != cut:
+                if j > cut:
+                    j -= self.size[last[j - 1]]
+                else:
+                    cut -= self.size[last[cut - 1]]
+            if cut == 0:
+                return self.state(left, text, last, tuple(live)), ()
+        return self.state(last[cut - 1], text[cut:], last[cut:], tuple([(j - cut, node) for j, node in live])), tuple(self.between(last, cut))
 
     def between(self, last: tuple[int, ...], at: int) -> list[int]:
         out = []
         while at:
             out.append(last[at - 1])
-            at -= len(self.tokens[out[-1]])
+            at -= self.size[out[-1]]
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
@@ -127,7 +175,7 @@ class Transducer:
             if move is None:
                 if len(self.states) > 2 * self.most:  # inside one very long piece
                     self.reset()
-                    state = self.state(state.left, state.pending, state.last)
+                    state = self.state(state.left, state.pending, state.last, state.live)
                 move = state.next[byte] = self.step(state, byte)
             state, tokens = move
             if tokens:
@@ -208,7 +256,7 @@ class _Pieces(dict):
         ids = self.machine.encode(piece.encode("utf-8"))
         value = (",".join(map(str, ids)), np.array(ids, np.int32).tobytes())
         if len(piece) <= 64:
-            if len(self) >= _MOST:
+            if len(self) >= 2 * _MOST:
                 self.clear()
             self[piece] = value
         return value
