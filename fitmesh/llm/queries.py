@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fitmesh.llm import bpe, near_dedup, quality, warc
+from fitmesh.llm import bpe, decontaminate, language, line_dedup, near_dedup, quality, sharding, url_filter, warc
 from fitmesh.llm.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,58 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 @query("op10_warc_index", WARC_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html")).drop("url", "payload")
+
+
+LINE_SQL = """
+WITH l AS (SELECT doc_id, text, pos, list_filter(string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS line
+  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) t),
+n AS (SELECT doc_id, pos, line, len(w) AS words, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY pos) AS c1 FROM l WHERE len(w) > 0),
+s AS (SELECT doc_id, list(line) OVER f AS ls, sum(words) OVER f AS t, min(pos) OVER f AS lo, max(pos) OVER f AS hi FROM n
+    WINDOW f AS (PARTITION BY doc_id ORDER BY c1 - words RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION ALL SELECT doc_id, list(line) OVER f, sum(words) OVER f, min(pos) OVER f, max(pos) OVER f FROM n
+    WINDOW f AS (PARTITION BY doc_id ORDER BY c1 RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+r AS (SELECT *, min((doc_id, lo)) OVER (PARTITION BY ls) AS first FROM s WHERE t >= 50),
+x AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM r WHERE first <> (doc_id, lo)),
+k AS (SELECT l.doc_id, string_agg(l.raw, chr(10) ORDER BY l.pos) AS text, count(*) FILTER (l.real) AS left_lines
+  FROM (SELECT doc_id, pos, len(w) > 0 AS real, string_split(text, chr(10))[pos] AS raw FROM l) l LEFT JOIN x USING (doc_id, pos) WHERE x.pos IS NULL OR NOT l.real GROUP BY l.doc_id),
+c AS (SELECT doc_id, count(*) FILTER (len(w) > 0) AS n_lines FROM l GROUP BY doc_id),
+g AS (SELECT doc_id, count(*) AS n FROM x JOIN n USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN coalesce(g.n, 0) = 0 THEN d.text WHEN g.n = c.n_lines THEN '' ELSE k.text END AS text,
+  CAST(coalesce(c.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN g USING (doc_id)
+"""
+
+
+@query("op6_line_winnowing", LINE_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents", "doc_id", "text"), min_words=50)
+
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query("op7_url_equivalence")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages", "page_id", "url", "html"), RULES)
+
+
+@query("op9_label_propagation_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents", "doc_id", "text"), shards=40)
+
+
+@query("op2_language_crf")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labelled = docs.where(~F.coalesce(held_out, F.lit(False))).select(F.col("doc_id").alias("id"), "text", "lang")
+    found = language.identify(docs.select("doc_id", "text"), labelled)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "item_id", "score", "n_items", (~F.col("kept")).alias("contaminated"))
