@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitmesh.llm import bpe, decontaminate, language, line_dedup, near_dedup, quality, sharding, url_filter, warc
+from fitmesh.llm import bpe, decontaminate, language, line_dedup, near_dedup, pii, quality, sharding, url_filter, warc
 from fitmesh.llm.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.select("doc_id", "item_id", "score", "n_items", (~F.col("kept")).alias("contaminated"))
+
+
+@query("op4_semi_markov_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
