@@ -18,10 +18,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition and symbol rules."""
-    rest = {c: f"_{c}" for c in COLUMNS if c != "doc_id"}
-    carried = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in rest.items()])
-    found = quality(carried, carry=list(rest.values())).where("kept")
-    return found.select("doc_id", *[F.col(n).alias(c) for c, n in rest.items()])
+    return quality(docs, carry=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

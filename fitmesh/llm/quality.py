@@ -97,16 +97,17 @@ def quality(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     8-word windows that occur twice or more in the text. Verdict: characters of words inside repeated n-grams of each
     length of ``coverage`` (every occurrence counts) against its share of all word characters; characters of lines equal
     to an earlier line; symbols per word. Null, empty and blank texts have zero words and fail. Rows are independent:
-    repeated rows give repeated results and null ids stay null. A carried column may have any name, the counts' included,
-    as long as the caller renames it.
+    repeated rows give repeated results and null ids stay null. Result columns replace carried ones of the same
+    name.
     """
     coverage = coverage or COVERAGE
     lengths = sorted({*coverage, _WINDOW})
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars", *[f"repeat_chars_{n}" for n in lengths]]
-    held = [F.col(c) for c in carry or []]
-    source = docs.select(F.col(id_column).alias("doc_id"), *held, F.col(text_column).alias("_text"))
+    carry = [c for c in carry or [] if c not in {*names, "doc_id", "base_failed", "kept"}]
+    source = docs.select(F.col(id_column).alias("_id"), *[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(carry)], F.col(text_column).alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     out = source.mapInArrow(_measured(lengths, names), kinds + "".join(f", {n} long" for n in names))
+    out = out.select(F.col("_id").alias("doc_id"), *[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], *names)
     bad = F.col("dup_line_chars") > LINES * F.col("word_chars")
     for n, share in coverage.items():
         bad = bad | (F.col(f"repeat_chars_{n}") > share * F.col("word_chars"))
