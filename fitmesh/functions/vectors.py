@@ -22,19 +22,16 @@ def assemble(df: DataFrame, columns: Sequence[str], out: str = "features", inval
     rows, ``keep`` stores NaN.
     """
     values = [F.col(f"`{c}`").cast("double") for c in columns]
-    bad = F.lit(False)
-    for v in values:
-        bad = bad | v.isNull() | F.isnan(v)
     meta = {"width": len(columns), "names": list(columns)}
-    if invalid == "skip":
-        return df.filter(~bad).withColumn(out, F.array(*values).alias(out, metadata=meta)).withMetadata(out, meta)
     if invalid == "keep":
-        filled = [F.coalesce(v, F.lit(float("nan"))) for v in values]
-        return df.withColumn(out, F.array(*filled)).withMetadata(out, meta)
-    if invalid != "error":
+        return df.withColumn(out, F.array(*[F.coalesce(v, F.lit(float("nan"))) for v in values])).withMetadata(out, meta)
+    if invalid not in ("skip", "error"):
         raise ValueError("invalid must be 'error', 'skip' or 'keep'")
-    checked = F.when(bad, F.raise_error(F.lit("null or NaN among the features"))).otherwise(F.array(*values))
-    return df.withColumn(out, checked).withMetadata(out, meta)
+    made = df.withColumn(out, F.array(*values))
+    bad = F.exists(out, lambda v: v.isNull() | F.isnan(v))  # one test of the array: plans stay flat at any width
+    if invalid == "skip":
+        return made.filter(~bad).withMetadata(out, meta)
+    return made.withColumn(out, F.when(bad, F.raise_error(F.lit("null or NaN among the features"))).otherwise(F.col(out))).withMetadata(out, meta)
 
 
 def as_array(df: DataFrame, column: str) -> Column:

@@ -98,7 +98,9 @@ class TreeRegressor(Regressor, HasSeed):
 
 
 def _depth(value) -> int:
-    return DEEPEST if value is None else min(int(value), DEEPEST)
+    if value is not None and int(value) > DEEPEST:
+        raise ValueError(f"max_depth is at most {DEEPEST}; None grows as deep as that")
+    return DEEPEST if value is None else int(value)
 
 
 def _boosted(rounds: int, rate: float, depth: int, subsample: float = 1.0) -> ml.GBTRegressor:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,14 +79,18 @@ def first_column_target(df: DataFrame, strict: bool = False, keep: Sequence[str]
 def align_xy(x: DataFrame, y: DataFrame, key: Sequence[str] | None = None, check: bool = True) -> DataFrame:
     """Pair features with targets by ``key``, or by row position when there is none.
 
-    ``check`` compares row counts of both sides and of the result.
+    ``check``: every key stands exactly once on either side, found in one aggregation over both; without a key, both
+    sides have as many rows.
     """
     if key:
         joined = x.join(y, list(key), "inner")
         if check:
-            nx, ny, nj = x.count(), y.count(), joined.count()
-            if not nx == ny == nj:
-                raise ValueError(f"features have {nx} rows, target {ny}, matching rows {nj}")
+            sides = x.select(*key, F.lit(1).alias("_x"), F.lit(0).alias("_y")).unionAll(y.select(*key, F.lit(0).alias("_x"), F.lit(1).alias("_y")))
+            per_key = sides.groupBy(*key).agg(F.sum("_x").alias("_x"), F.sum("_y").alias("_y"))
+            wrong = (F.col("_x") != 1) | (F.col("_y") != 1) | reduce(or_, [F.col(k).isNull() for k in key])
+            nx, ny, bad = per_key.agg(F.sum("_x"), F.sum("_y"), F.count_if(wrong)).first()
+            if bad:
+                raise ValueError(f"features have {nx or 0} rows, target {ny or 0}; {bad} keys are null, repeated or on one side only")
         return joined
     if check:
         nx, ny = x.count(), y.count()

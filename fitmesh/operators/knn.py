@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fitmesh.functions.vectors import as_array, list_column, matrix
 from fitmesh.operators.lookup import keyed_lookup
@@ -164,7 +165,7 @@ def nearest_points(queries: DataFrame, base: DataFrame, k: int, pivots: int | No
     if n_base == 0:
         raise ValueError("no base rows")
     centres = choose_pivots(base, n_base, pivots)
-    id_kind = pa.string() if base.schema["ids"].dataType.elementType.simpleString() == "string" else pa.int64()
+    id_kind = to_arrow_type(base.schema["ids"].dataType.elementType)
     id_type = base.schema["ids"].dataType.elementType.simpleString()
     placed = durable(_assign(queries.select("vec"), centres))
     if len(centres) == 1:

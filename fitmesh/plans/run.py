@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fitmesh.functions.hashing import key_text
-from fitmesh.functions.metrics import evaluate, r2
+from fitmesh.functions.metrics import evaluate, score
 from fitmesh.operators.splits import holdout_split
 from fitmesh.plans.crossval import out_of_fold
 from fitmesh.plans.ensemble import blend, predict_all
@@ -22,6 +22,9 @@ from fitmesh.session import held
 from fitmesh.sources import records
 
 
+ROW = "_row_key"
+
+
 @dataclass
 class RunResult:
     model: PipelineModel
@@ -40,16 +43,17 @@ def run(df: DataFrame, key: Sequence[str], strategies: Sequence, label: str = "l
 
     ``fit_scope="all"`` fits the features on all rows and ``promote_on="holdout"``
     promotes the blend by its hold-out score: both leak and exist for parity.
+    ``metric`` rules the strategies' searches, the champion and the promotion.
     """
     began = time.monotonic()
     if fit_scope not in ("train", "all") or promote_on not in ("oof", "holdout"):
         raise ValueError("fit_scope is 'train' or 'all'; promote_on is 'oof' or 'holdout'")
-    source = df.withColumn("id", key_text(key)) if "id" not in df.columns else df
+    source = df.withColumn(ROW, key_text(key))  # never a column of the caller's
     split = holdout_split(source, key, test_size, seed)
     fit_rows = split if fit_scope == "all" else split.filter("not is_test")
-    engineered = FeaturePipeline(columns=columns, keys=[*key, "id", "is_test"], labelCol=label).fit(fit_rows)
+    engineered = FeaturePipeline(columns=columns, keys=[*key, ROW, "is_test"], labelCol=label).fit(fit_rows)
     table = engineered.transform(split)
-    keep = [*dict.fromkeys([*key, "id"]), F.col(label).cast("double").alias("label"), "features", "is_test"]
+    keep = [*dict.fromkeys([*key, ROW]), F.col(label).cast("double").alias("label"), "features", "is_test"]
     table = held(table.select(*keep).withMetadata("features", {"width": engineered.n_components}))
     try:
         train, test = table.filter("not is_test").drop("is_test"), table.filter("is_test").drop("is_test")
@@ -61,7 +65,7 @@ def run(df: DataFrame, key: Sequence[str], strategies: Sequence, label: str = "l
                 scored = predict_all([model, mixed], test)
             else:  # out-of-fold predictions of every member; the blend is their mean
                 scored = _out_of_fold_pair(search, train, key, n_splits, seed)
-            row = scored.agg(r2("label", "p0").alias("champion"), r2("label", "p1").alias("blend")).first()
+            row = scored.agg(score(metric, "label", "p0").alias("champion"), score(metric, "label", "p1").alias("blend")).first()
             if row["blend"] is not None and row["blend"] > row["champion"]:
                 champion, model = "blend", mixed
         final = evaluate(model.transform(test)).first()
@@ -97,12 +101,12 @@ def _out_of_fold_pair(search: MetaResult, train: DataFrame, key: Sequence[str],
 
     folded = repeated_kfold(train, key, n_splits, 1, seed)
     names = list(search.estimators)
-    parts = [out_of_fold(search.estimators[n], folded, ["fold_r0"], keep=["id"]).withColumn("model", F.lit(n)) for n in names]
+    parts = [out_of_fold(search.estimators[n], folded, ["fold_r0"], keep=[ROW]).withColumn("model", F.lit(n)) for n in names]
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
     # ids are unique, so groups hold one row per strategy
-    return long.groupBy("id").agg(
+    return long.groupBy(ROW).agg(
         F.first("label").alias("label"),
         F.max(F.when(F.col("model") == search.champion, F.col("prediction"))).alias("p0"),
         F.avg("prediction").alias("p1"))

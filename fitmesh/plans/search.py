@@ -6,7 +6,7 @@ import hashlib
 import itertools
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, is_dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -299,7 +299,7 @@ def meta_search(df: DataFrame, strategies: Sequence, key: Sequence[str], n_split
                 metric: str = "r2", parallelism: int = 1, seed: int = 42, budget: float | None = None) -> MetaResult:
     """Run each strategy, cross-validate its choice, pick the champion.
 
-    A failing strategy is recorded and skipped; when none is left an error is
+    ``metric`` replaces the strategies' own. A failing strategy is recorded and skipped; when none is left an error is
     raised. The result does not depend on ``parallelism``.
     """
     if metric not in _SORT:
@@ -309,6 +309,8 @@ def meta_search(df: DataFrame, strategies: Sequence, key: Sequence[str], n_split
     table = held(repeated_kfold(df, key, n_splits, n_repeats, seed))
 
     def job(strategy):
+        if is_dataclass(strategy) and any(f.name == "metric" for f in fields(strategy)):
+            strategy = replace(strategy, metric=metric)
         found = strategy.run(table, key)
         row = cv_summary(cross_validate(found.estimator, table, fold_columns, strategy.name)).first()
         return found.estimator, found.estimator.fit(table), row.asDict()

@@ -45,6 +45,15 @@ def load_csv_pair(spark, sf_dir):
                     F.round(F.sum(F.col("qty") * F.col("label")) / 1e6, 4).alias("sum_xy"))
 
 
+@query("load_csv_integer_key", """
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n, round(sum(l_extendedprice), 2) AS price FROM lineitem GROUP BY l_orderkey""")
+def load_csv_integer_key(spark, sf_dir):
+    path = scratch_path(spark, "lines") + ".csv"
+    table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice").write.csv(path, header=True)
+    x = load_table(spark, path)
+    return x.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
+
+
 @query("parquet_scan", """
 SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS qty, round(avg(l_extendedprice), 4) AS price
 FROM lineitem WHERE l_quantity > 10 GROUP BY l_returnflag, l_linestatus""")

@@ -11,7 +11,6 @@ from fitmesh.operators.columns import align_xy, first_column_target
 
 # fixed values: file name patterns of the two roles
 ROLE_PATTERNS = {"predictors": "[Pp]redictors*Full_*.csv", "target": "targets_Hold 1 Full_*.csv"}
-_HEAD_LINES = 1000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -41,21 +40,23 @@ def _is_number(cell: str) -> bool:
         return False
 
 
-def csv_schema(spark: SparkSession, path: str, header: bool = True, lines: int = _HEAD_LINES) -> T.StructType:
-    """Schema from the first lines; numbers become doubles so that later fractions still fit."""
-    head = [r["value"] for r in spark.read.text(path).limit(lines).collect()]
-    if not head:
+def csv_schema(spark: SparkSession, path: str, header: bool = True) -> T.StructType:
+    """Schema from every line, inferred in one distributed pass; whole numbers stay whole (bigint), fractions are doubles."""
+    head = spark.read.text(path).first()
+    if head is None:
         raise ValueError(f"empty file: {path}")
-    probe = spark.read.options(header=header, inferSchema=True).csv(spark.sparkContext.parallelize(head, 1))
-    if header and probe.columns and all(_is_number(c) for c in spark.read.csv(spark.sparkContext.parallelize(head[:1], 1)).first()):
-        raise ValueError(f"{path} seems to have no header row (every cell is a number); pass header=False")
+    if header:
+        cells = spark.read.csv(spark.sparkContext.parallelize([head["value"]], 1)).first()
+        if cells is not None and all(c is not None and _is_number(c) for c in cells):
+            raise ValueError(f"{path} seems to have no header row (every cell is a number); pass header=False")
+    found = spark.read.options(header=header, inferSchema=True).csv(path).schema
     return T.StructType([
-        T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.NumericType) else f.dataType, True) for f in probe.schema.fields])
+        T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType, True) for f in found.fields])
 
 
 def load_table(spark: SparkSession, path: str, role: str | None = None, header: bool = True,
                schema: T.StructType | str | None = None) -> DataFrame:
-    """A CSV or Parquet table. CSV is read with a fixed schema and malformed cells are errors, not nulls."""
+    """A CSV or Parquet table. CSV is read with the given schema, or one inferred from the whole file; malformed cells are errors, not nulls."""
     path = resolve(spark, path, role)
     name = path.rstrip("/").rsplit("/", 1)[-1]
     if name.endswith(".parquet"):
@@ -82,10 +83,12 @@ def dataset_sweep(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]],
     from fitmesh.plans.parallel import run_limited
 
     names = list(jobs)
-    outcomes = run_limited(spark, [lambda n=n: jobs[n]().collect() for n in names], parallelism)
+    outcomes = run_limited(spark, [lambda n=n: jobs[n]().take(2) for n in names], parallelism)
     fields = next((o.value[0].__fields__ for o in outcomes if o.status == "ok" and o.value), [])
     rows = []
     for n, o in zip(names, outcomes):
+        if o.status == "ok" and len(o.value) > 1:
+            raise ValueError(f"the job of {n!r} returns more than one row")
         values = [float(v) if v is not None else None for v in o.value[0]] if o.status == "ok" and o.value else [None] * len(fields)
         rows.append((n, o.status, o.error, *values))
     schema = ", ".join(["dataset string, status string, error string", *[f"`{f}` double" for f in fields]])

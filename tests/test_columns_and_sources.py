@@ -1,3 +1,6 @@
+import tempfile
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,10 +51,39 @@ def test_role_patterns_need_exactly_one_match(spark, tmp_path):
         load_table(spark, str(tmp_path), "predictors")
 
 
-def test_malformed_cells_are_errors(spark, tmp_path):
+def test_late_text_and_large_integers_are_kept(spark, tmp_path):
+    p = _write(tmp_path / "x.csv", "a\n" + "1\n" * 1500 + "oops\n")
+    df = load_table(spark, p)
+    assert df.dtypes == [("a", "string")] and df.count() == 1501
+    ids = load_table(spark, _write(tmp_path / "ids.csv", "k,v\n9007199254740992,1\n9007199254740993,2\n"))
+    assert ids.dtypes == [("k", "bigint"), ("v", "bigint")]
+    assert ids.select("k").distinct().count() == 2
+
+
+def test_malformed_cells_are_errors_under_a_given_schema(spark, tmp_path):
     p = _write(tmp_path / "x.csv", "a\n" + "1\n" * 1500 + "oops\n")
     with pytest.raises(Exception):
-        load_table(spark, p).agg(F.sum("a")).collect()
+        load_table(spark, p, schema="a double").agg(F.sum("a")).collect()
+
+
+def test_pairing_refuses_repeated_and_unmatched_keys(spark):
+    x = spark.createDataFrame([(1, 0.1), (1, 0.2), (2, 0.3)], "k int, a double")
+    y = spark.createDataFrame([(1, 1.0), (2, 2.0), (5, 3.0)], "k int, label double")
+    with pytest.raises(ValueError, match="keys"):
+        align_xy(x, y, ["k"])
+    good = align_xy(x.where("a <> 0.2"), y.where("k < 3"), ["k"])
+    assert sorted(map(tuple, good.collect())) == [(1, 0.1, 1.0), (2, 0.3, 2.0)]
+
+
+def test_wide_rows_assemble_in_seconds(spark):
+    n = 4806
+    began = time.monotonic()
+    wide = spark.range(20).select("id", *[(F.col("id") + i).cast("double").alias(f"c{i}") for i in range(n)])
+    path = f"{tempfile.mkdtemp()}/wide.parquet"
+    wide.write.parquet(path)
+    rows = assemble(spark.read.parquet(path), [f"c{i}" for i in range(n)]).select("id", "features").collect()
+    assert all(r["features"][i] == r["id"] + i for r in rows for i in (0, 17, n - 1))
+    assert time.monotonic() - began < 120
 
 
 def test_kinds_follow_the_schema(spark):

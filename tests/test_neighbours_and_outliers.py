@@ -136,3 +136,9 @@ def test_knn_finds_the_signal(spark):
     model = KNN(n_neighbors=5, weights="distance").fit(vectors(spark, x[:450], y[:450]))
     p = [r["prediction"] for r in model.transform(vectors(spark, x[450:])).orderBy("id").collect()]
     assert r2(y[450:], np.array(p)) > 0.9
+
+
+def test_integer_ids_keep_their_type(spark):
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(6)], "id int, features array<double>")
+    got = {r["query_id"]: r["neighbor_id"] for r in knn_join(df, None, 1).collect()}
+    assert got[0] == 1 and got[5] == 4

@@ -225,3 +225,13 @@ def test_search_results_and_events(spark, tmp_path):
     records.write_events(events, str(tmp_path / "e"))
     assert records.read_events(spark, str(tmp_path / "e")).count() == 2
     assert any(p.name.startswith("event_date=") for p in (tmp_path / "e").iterdir())
+
+
+def test_run_ignores_a_column_named_id_and_follows_the_metric(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, 7, float(a), float(b), float(2 * a - b)) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))]
+    df = spark.createDataFrame(rows, "k long, id long, a double, b double, y double")
+    portfolio = PortfolioSearch(families=["OLS"])
+    out = run(df, ["k"], [portfolio, PortfolioSearch(name="other", families=["Ridge"])], label="y", columns=["a", "b"], metric="neg_mean_absolute_error", n_splits=2, n_repeats=1)
+    assert out.holdout["r2"] > 0.99 and out.record["run_meta"]["metric"] == "neg_mean_absolute_error"
+    assert portfolio.metric == "r2"  # the caller's object is left alone
