@@ -4,7 +4,8 @@ A token sequence is the merge result of a text exactly when each pair of neighbo
 bytes. So the last token of every prefix follows from the last tokens of shorter prefixes. A state of the transducer is
 the token before the pending bytes plus those bytes; reading a byte extends it, and tokens leave as soon as every
 boundary that a vocabulary entry could still cross agrees on them, so lookahead never exceeds the longest entry. States
-and transitions are made when first needed and dropped together when ``most`` of them exist.
+and transitions are made when first needed until ``most`` states exist; beyond them the same walk goes on without
+making states.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-_MOST = 120_000
+_STATES = 30_000  # states of a transducer
+_PAIRS = 600_000  # pairs of neighbours remembered
+_PIECES = 250_000  # pieces remembered
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -39,7 +42,7 @@ class Transducer:
     of the vocabulary could still start from, each with its node of the prefix tree.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = _MOST):
+    def __init__(self, ranks: dict[bytes, int], most: int = _STATES):
         self.ranks, self.most = ranks, most
         self.tokens = {v: k for k, v in ranks.items()}
         self.size = {v: len(k) for k, v in ranks.items()}
@@ -58,9 +61,6 @@ class Transducer:
             self.token[node] = rank
         self.fits: dict[int, bool] = {}
         self.edges: dict[int, tuple | None] = {}
-        self.reset()
-
-    def reset(self) -> None:
         self.states: dict[tuple[int, bytes], _State] = {}
         self.start = self.state(-1, b"", (), ((0, 0),))
 
@@ -108,7 +108,7 @@ class Transducer:
         key = a << 32 | b
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 4 * self.most:
+            if len(self.fits) > _PAIRS:
                 self.fits.clear()
             left, right = self.edge(a), self.edge(b)
             if left[2] and right[2]:
@@ -163,19 +163,50 @@ class Transducer:
             at -= self.size[out[-1]]
         return out[::-1]
 
+    def follow(self, state: _State, rest: bytes) -> list[int]:
+        """The same walk without making states, for bytes beyond those that the state table has room for."""
+        left, last, live = state.left, list(state.last), state.live
+        child, token_of, inner, fits = self.child.get, self.token, self.inner, self.fits.get
+        n = len(last)
+        for byte in rest:
+            token, ahead = -1, []
+            for j, node in live:
+                node = child(node << 8 | byte)
+                if node is None:
+                    continue
+                if token < 0:
+                    t = token_of[node]
+                    if t >= 0:
+                        before = last[j - 1] if j else left
+                        if before < 0:
+                            known = self.edge(t) is not None
+                        else:
+                            known = fits(before << 32 | t)
+                            if known is None:
+                                known = self.edge(t) is not None and self.neighbours(before, t)
+                        if known:
+                            token = t
+                if inner[node]:
+                    ahead.append((j, node))
+            if token < 0:
+                raise ValueError("the vocabulary lacks a single byte")
+            last.append(token)
+            n += 1
+            ahead.append((n, 0))
+            live = ahead
+        return self.between(last, n)
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.most:
-            self.reset()
         state, out = self.start, []
-        for byte in piece:
+        for i, byte in enumerate(piece):
             move = state.next.get(byte)
             if move is None:
-                if len(self.states) > 2 * self.most:  # inside one very long piece
-                    self.reset()
-                    state = self.state(state.left, state.pending, state.last, state.live)
+                if len(self.states) >= self.most:
+                    out.extend(self.follow(state, piece[i:]))
+                    return out
                 move = state.next[byte] = self.step(state, byte)
             state, tokens = move
             if tokens:
@@ -256,7 +287,7 @@ class _Pieces(dict):
         ids = self.machine.encode(piece.encode("utf-8"))
         value = (",".join(map(str, ids)), np.array(ids, np.int32).tobytes())
         if len(piece) <= 64:
-            if len(self) >= 2 * _MOST:
+            if len(self) >= _PIECES:
                 self.clear()
             self[piece] = value
         return value
