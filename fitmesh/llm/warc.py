@@ -81,10 +81,13 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, l
     rows = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     index = stored(sized.withColumn("offset", F.sum("length").over(rows) - F.col("length")), "warc-index")
 
-    whole = p.join(first, "digest", "left").withColumn("record_type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")))
-    whole = whole.withColumn("refers_to", F.when(revisit, F.col("_first"))).withColumn("archive", place)
+    # texts are dealt once: the index sends each record's type to the same archive, where both rows meet
+    texts = p.withColumn("archive", place).withColumns({"record_type": F.lit(None).cast("string"), "refers_to": F.lit(None).cast(index.schema["refers_to"].dataType)})
+    both = texts.unionByName(index.select(*[c for c in texts.columns if c != "html"], F.lit(None).cast("string").alias("html"))).repartition("archive")
+    same = Window.partitionBy("archive", "page_id", "url", "digest")
+    whole = both.withColumns({c: F.max(c).over(same) for c in ("record_type", "refers_to")}).where(F.col("html").isNotNull())
     value = F.concat(head, http, F.when(F.col("record_type") == "response", F.col("html")).otherwise(F.lit("")))
-    lines = whole.select("archive", *_ORDER, value.alias("value")).repartition("archive").sortWithinPartitions("archive", *_ORDER)
+    lines = whole.select("archive", *_ORDER, value.alias("value")).sortWithinPartitions("archive", *_ORDER)
     lines.select("archive", "value").write.partitionBy("archive").option("lineSep", END).option("compression", "none").text(path)
     files = pages.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.col("path").alias("file"), F.regexp_extract("path", r"archive=(\d+)", 1).cast("int").alias("archive"))
