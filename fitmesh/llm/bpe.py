@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _STATES = 30_000  # states of a transducer
 _PAIRS = 600_000  # pairs of neighbours remembered
-_PIECES = 250_000  # pieces remembered
+_PIECES = 500_000  # pieces remembered
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
