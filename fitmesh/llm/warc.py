@@ -1,14 +1,17 @@
 """WARC archives: an index of byte ranges first, then the records, then coalesced reads by the index.
 
-Records are lines of Spark's text writer whose line separator is the end of a WARC record, so the writer's commit
-protocol guards them. One folder per archive holds one file; its records are sorted, and the index repeats that order to
-give each record's offset before any archive exists.
+Each record is a gzip member of its own, so archives are small and any record can be read alone; unpacked as a whole, a
+file is a plain WARC archive. Members are lines of Spark's text writer whose line separator is an empty gzip member, so the
+writer's commit protocol guards them. One folder per archive holds one file; its records are sorted, and the index repeats
+that order to give each record's offset before any archive exists. Workers must pack alike, that is, share one zlib.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,6 +22,7 @@ from fitmesh.llm.storage import stored
 from fitmesh.sources.records import scratch_path
 
 END = "\r\n\r\n"  # fixed value: ends a record
+_SEPARATOR = gzip.compress(b"", mtime=0)  # follows each record's member
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: RFC 4648
 _ORDER = ["page_id", "url", "digest", "record_type"]
 
@@ -47,48 +51,58 @@ def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
     return p, first
 
 
-def _header(record_type: Column, length: Column) -> Column:
+def _header(record_type: Column, refers_to: Column, length: Column) -> Column:
     clean = F.regexp_replace("url", r"[\r\n]", " ")
     return F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: "), record_type, F.lit("\r\nWARC-Target-URI: "), clean,
         F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
         F.lit(">\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
-        F.when(F.col("refers_to").isNotNull(), F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(F.lit("")),
+        F.when(refers_to.isNotNull(), F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), refers_to.cast("string"), F.lit(">"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), length.cast("string"), F.lit("\r\n\r\n"))
 
 
+def _member(record: Column) -> Column:
+    """A record text as a gzip member; null stays null."""
+
+    @F.arrow_udf("binary")
+    def packed(records: pa.Array) -> pa.Array:
+        return pa.array([zlib.compress(r.as_buffer(), wbits=31) if r.is_valid else None for r in records], pa.binary())
+
+    return packed(record)
+
+
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = 32 << 20, least: int = 0) -> DataFrame:
     """Write ``pages`` (page_id, url, html) below ``path`` and return the index: ``page_id, url, digest, payload_bytes,
     record_type, refers_to, archive, offset, length, file``.
 
-    Revisits hold the HTTP head (with the full payload's length) and no payload. Archives hold about ``archive_bytes``;
-    a page goes to an archive by a hash of its row, so their number follows the data.
+    Revisits hold the HTTP head (with the full payload's length) and no payload. Archives hold about ``archive_bytes``
+    unpacked; a page goes to an archive by a hash of its row, so their number follows the data.
     """
     p, first = plan_records(pages, least)
-    heads = p.select("page_id", "url", "digest", "payload_bytes")
-    typed = heads.join(first, "digest", "left")
-    revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first")) & (F.col("payload_bytes") >= least)
-    typed = typed.select("page_id", "url", "digest", "payload_bytes", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
-                         F.when(revisit, F.col("_first")).alias("refers_to"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
-    body = F.octet_length(http) + F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0)
-    head = _header(F.col("record_type"), body)
+    response = F.concat(_header(F.lit("response"), F.lit(None).cast("long"), F.octet_length(http) + F.col("payload_bytes")), http, F.col("html"), F.lit(END))
+    revisit = F.when(F.col("record_type") == "revisit", F.concat(_header(F.lit("revisit"), F.col("refers_to"), F.octet_length(http)), http, F.lit(END)))
     total = p.agg(F.sum(F.col("payload_bytes") + 512)).first()[0] or 0
     archives = int(total // archive_bytes) + 1
-    place = F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(archives)).cast("int")
-    sized = typed.withColumn("archive", place).withColumn("length", (F.octet_length(head) + body + len(END)).cast("long"))
+    p = p.withColumn("archive", F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(archives)).cast("int"))
+    texts = p.select("archive", *_ORDER[:3], "payload_bytes", _member(response).alias("member"))
+    typed = texts.withColumn("packed", F.octet_length("member")).drop("member").join(first, "digest", "left")
+    again = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first")) & (F.col("payload_bytes") >= least)
+    typed = typed.withColumns({"record_type": F.when(again, F.lit("revisit")).otherwise(F.lit("response")), "refers_to": F.when(again, F.col("_first"))}).drop("_first")
+    packed = F.coalesce(F.octet_length(_member(revisit)), F.col("packed")) + len(_SEPARATOR)
+    sized = typed.withColumn("length", packed.cast("long")).drop("packed")
     order = Window.partitionBy("archive").orderBy(*_ORDER)
     rows = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     index = stored(sized.withColumn("offset", F.sum("length").over(rows) - F.col("length")), "warc-index")
 
-    # texts are dealt once: the index sends each record's type to the same archive, where both rows meet
-    texts = p.withColumn("archive", place).withColumns({"record_type": F.lit(None).cast("string"), "refers_to": F.lit(None).cast(index.schema["refers_to"].dataType)})
-    both = texts.unionByName(index.select(*[c for c in texts.columns if c != "html"], F.lit(None).cast("string").alias("html"))).repartition("archive")
+    # members are dealt once: the index sends each record's type to the same archive, where both rows meet
+    texts = texts.withColumns({"record_type": F.lit(None).cast("string"), "refers_to": F.lit(None).cast(index.schema["refers_to"].dataType)})
+    both = texts.unionByName(index.select(*[c for c in texts.columns if c != "member"], F.lit(None).cast("binary").alias("member"))).repartition("archive")
     same = Window.partitionBy("archive", "page_id", "url", "digest")
-    whole = both.withColumns({c: F.max(c).over(same) for c in ("record_type", "refers_to")}).where(F.col("html").isNotNull())
-    value = F.concat(head, http, F.when(F.col("record_type") == "response", F.col("html")).otherwise(F.lit("")))
-    lines = whole.select("archive", *_ORDER, value.alias("value")).sortWithinPartitions("archive", *_ORDER)
-    lines.select("archive", "value").write.partitionBy("archive").option("lineSep", END).option("compression", "none").text(path)
+    whole = both.withColumns({c: F.max(c).over(same) for c in ("record_type", "refers_to")}).where(F.col("member").isNotNull())
+    lines = whole.select("archive", *_ORDER, F.coalesce(_member(revisit), F.col("member")).cast("string").alias("value")).sortWithinPartitions("archive", *_ORDER)
+    writer = lines.select("archive", "value").write.partitionBy("archive").option("compression", "none")
+    writer.option("encoding", "ISO-8859-1").option("lineSep", _SEPARATOR.decode("latin-1")).text(path)
     files = pages.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.col("path").alias("file"), F.regexp_extract("path", r"archive=(\d+)", 1).cast("int").alias("archive"))
     return index.join(files, "archive")
@@ -130,7 +144,8 @@ def _read(gap: int, most: int):
                 handle.seek(offset[at])
                 block = handle.read(end - offset[at])
                 for k in range(at, to):
-                    warc, http, payload = parse_record(block[offset[k] - offset[at] : offset[k] - offset[at] + length[k]])
+                    member = block[offset[k] - offset[at] : offset[k] - offset[at] + length[k]]
+                    warc, http, payload = parse_record(zlib.decompressobj(wbits=31).decompress(member))
                     page, refers = (warc.get(n, "<urn:page:>")[10:-1] for n in ("WARC-Record-ID", "WARC-Refers-To"))
                     digest, kind = warc["WARC-Payload-Digest"].removeprefix("sha1:"), warc["WARC-Type"]
                     if kind == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
