@@ -24,6 +24,7 @@ from fitmesh.sources.records import scratch_path
 END = "\r\n\r\n"  # fixed value: ends a record
 _SEPARATOR = gzip.compress(b"", mtime=0)  # follows each record's member
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: RFC 4648
+_TASK_BYTES = 16 << 20  # bytes of archives that one task reads
 _ORDER = ["page_id", "url", "digest", "record_type"]
 
 
@@ -166,7 +167,9 @@ def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20) ->
     Each archive's ranges are sorted; ranges at most ``gap`` bytes apart are read at once, at most ``most`` bytes each (a
     larger record alone). Digests are verified. An empty selection reads nothing.
     """
-    ranges = index.select("file", "offset", "length", "archive").repartition("archive").sortWithinPartitions("file", "offset").drop("archive")
+    # the ranges are few bytes but stand for many: the number of tasks follows what they read, not the index
+    tasks = int((index.agg(F.sum("length")).first()[0] or 0) // _TASK_BYTES) + 1
+    ranges = index.select("file", "offset", "length", "archive").repartition(tasks, "archive").sortWithinPartitions("file", "offset").drop("archive")
     return ranges.mapInArrow(_read(gap, most), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
