@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -310,13 +311,15 @@ def _machine(content: bytes):
     return _machines[key]
 
 
-_STEP = 1 << 16
+_STEP = 1 << 16  # pieces looked up at once
+_WHOLE = 1 << 18  # characters of a text that is split at once; a longer one is split as it is read
 
 
 def _encode(content: bytes, pattern: str, ids_out: bool, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, tokens, whole = _machine(content)
         split = regex.compile(pattern)
+        at_once = not split.groups  # findall returns groups where the pattern has some
         complete = np.array([whole.get(i, False) for i in range(max(whole, default=-1) + 1)], bool)
 
         def decoded(ids: np.ndarray) -> Iterator[bytes]:
@@ -336,9 +339,9 @@ def _encode(content: bytes, pattern: str, ids_out: bool, digests: bool):
                 for text in part.column(1):
                     text = text.as_py() or ""
                     count, dec, raw, sha, back = 0, [], [], hashlib.sha256(), hashlib.sha256()
-                    found = split.finditer(text)
+                    found = iter(split.findall(text)) if at_once and len(text) <= _WHOLE else (m.group() for m in split.finditer(text))
                     while True:
-                        some = [pieces[m.group()] for m, _ in zip(found, range(_STEP))]
+                        some = [pieces[piece] for piece in islice(found, _STEP)]
                         if not some:
                             break
                         packed = b"".join([x[1] for x in some])
