@@ -32,7 +32,7 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
 class _State:
     __slots__ = ("left", "pending", "last", "live", "next")
 
-    def __init__(self, left: int, pending: bytes, last: tuple[int, ...], live: tuple[tuple[int, int], ...]):
+    def __init__(self, left: int, pending: bytes, last: tuple[int, ...], live: tuple[tuple[int, dict], ...]):
         self.left, self.pending, self.last, self.live, self.next = left, pending, last, live, {}
 
 
@@ -40,32 +40,28 @@ class Transducer:
     """Merge ranks as a transducer over bytes; ``encode`` takes one piece of the splitting pattern.
 
     A state's ``last`` holds the last token of each prefix of its pending bytes, ``live`` the boundaries that an entry
-    of the vocabulary could still start from, each with its node of the prefix tree.
+    of the vocabulary could still start from, each with the part of the prefix tree that lies ahead.
     """
 
     def __init__(self, ranks: dict[bytes, int], most: int = _STATES):
         self.ranks, self.most = ranks, most
         self.tokens = {v: k for k, v in ranks.items()}
         self.size = {v: len(k) for k, v in ranks.items()}
-        self.child: dict[int, int] = {}  # node and byte to node of the prefix tree; the root is 0
-        self.token, self.inner = [-1], bytearray(1)
+        self.root: dict[int, list] = {}  # prefix tree: byte to [entry that ends here or -1, the tree below or None]
         for text, rank in ranks.items():
-            node = 0
-            for byte in text:
-                self.inner[node] = 1
-                key = node << 8 | byte
-                node = self.child.get(key, -1)
-                if node < 0:
-                    node = self.child[key] = len(self.token)
-                    self.token.append(-1)
-                    self.inner.append(0)
-            self.token[node] = rank
+            below = self.root
+            for byte in text[:-1]:
+                node = below.setdefault(byte, [-1, None])
+                if node[1] is None:
+                    node[1] = {}
+                below = node[1]
+            below.setdefault(text[-1], [-1, None])[0] = rank
         self.fits: dict[int, bool] = {}
         self.edges: dict[int, tuple | None] = {}
         self.states: dict[tuple[int, bytes], _State] = {}
-        self.start = self.state(-1, b"", (), ((0, 0),))
+        self.start = self.state(-1, b"", (), ((0, self.root),))
 
-    def state(self, left: int, pending: bytes, last: tuple[int, ...], live: tuple[tuple[int, int], ...]) -> _State:
+    def state(self, left: int, pending: bytes, last: tuple[int, ...], live: tuple[tuple[int, dict], ...]) -> _State:
         found = self.states.get((left, pending))
         if found is None:
             found = self.states[left, pending] = _State(left, pending, last, live)
@@ -127,23 +123,22 @@ class Transducer:
         return known
 
     def step(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        left, last, token, live, child = state.left, state.last, -1, [], self.child
-        for j, node in state.live:
-            node = child.get(node << 8 | byte, -1)
-            if node < 0:
+        left, last, token, live = state.left, state.last, -1, []
+        for j, tree in state.live:
+            node = tree.get(byte)
+            if node is None:
                 continue
-            if token < 0:
-                t = self.token[node]
-                if t >= 0 and self.edge(t) is not None:
-                    before = last[j - 1] if j else left
-                    if before < 0 or self.neighbours(before, t):
-                        token = t
-            if self.inner[node]:
-                live.append((j, node))
+            t, below = node
+            if token < 0 and t >= 0 and self.edge(t) is not None:
+                before = last[j - 1] if j else left
+                if before < 0 or self.neighbours(before, t):
+                    token = t
+            if below is not None:
+                live.append((j, below))
         if token < 0:
             raise ValueError("the vocabulary lacks a single byte")
         text, last = state.pending + bytes((byte,)), (*last, token)
-        live.append((len(text), 0))
+        live.append((len(text), self.root))
         cut = live[0][0]
         if cut == 0:
             return self.state(left, text, last, tuple(live)), ()
@@ -155,7 +150,7 @@ class Transducer:
                     cut -= self.size[last[cut - 1]]
             if cut == 0:
                 return self.state(left, text, last, tuple(live)), ()
-        return self.state(last[cut - 1], text[cut:], last[cut:], tuple([(j - cut, node) for j, node in live])), tuple(self.between(last, cut))
+        return self.state(last[cut - 1], text[cut:], last[cut:], tuple([(j - cut, tree) for j, tree in live])), tuple(self.between(last, cut))
 
     def between(self, last: tuple[int, ...], at: int) -> list[int]:
         out = []
@@ -167,17 +162,14 @@ class Transducer:
     def follow(self, state: _State, rest: bytes) -> list[int]:
         """The same walk without making states, for bytes beyond those that the state table has room for."""
         left, last, live = state.left, list(state.last), state.live
-        child, token_of, inner, fits = self.child.get, self.token, self.inner, self.fits.get
+        fits, root = self.fits.get, self.root
         n = len(last)
         for byte in rest:
             token, ahead = -1, []
-            for j, node in live:
-                node = child(node << 8 | byte)
-                if node is None:
-                    continue
-                if token < 0:
-                    t = token_of[node]
-                    if t >= 0:
+            for j, tree in live:
+                if byte in tree:
+                    t, below = tree[byte]
+                    if token < 0 <= t:
                         before = last[j - 1] if j else left
                         if before < 0:
                             known = self.edge(t) is not None
@@ -187,13 +179,13 @@ class Transducer:
                                 known = self.edge(t) is not None and self.neighbours(before, t)
                         if known:
                             token = t
-                if inner[node]:
-                    ahead.append((j, node))
+                    if below is not None:
+                        ahead.append((j, below))
             if token < 0:
                 raise ValueError("the vocabulary lacks a single byte")
             last.append(token)
             n += 1
-            ahead.append((n, 0))
+            ahead.append((n, root))
             live = ahead
         return self.between(last, n)
 
@@ -324,13 +316,18 @@ def _encode(content: bytes, pattern: str, ids_out: bool, digests: bool):
 
         def decoded(ids: np.ndarray) -> Iterator[bytes]:
             """Bytes of the ids; runs of whole characters at once, the rest through the state machine."""
-            if complete[ids].all():
-                yield b"".join(map(tokens.__getitem__, ids.tolist()))
-                return
-            stream = Decoder(tokens)
-            for t in ids.tolist():
-                yield stream.feed(t).encode("utf-8")
-            yield stream.end().encode("utf-8")
+            broken, run = np.flatnonzero(~complete[ids]).tolist(), ids.tolist()
+            stream, at = Decoder(tokens), 0
+            for b in broken:
+                if b < at:
+                    continue
+                yield b"".join(map(tokens.__getitem__, run[at:b]))
+                at, text = b + 1, stream.feed(run[b])
+                while stream.state and at < len(run):
+                    text += stream.feed(run[at])
+                    at += 1
+                yield text.encode("utf-8")
+            yield b"".join(map(tokens.__getitem__, run[at:])) + stream.end().encode("utf-8")
 
         for batch in batches:
             for at in range(0, len(batch), 256):
@@ -348,8 +345,7 @@ def _encode(content: bytes, pattern: str, ids_out: bool, digests: bool):
                         ids = np.frombuffer(packed, np.int32)
                         if digests:
                             sha.update(("," if count else "").encode() + ",".join([x[0] for x in some]).encode())
-                            for chunk in decoded(ids):
-                                back.update(chunk)
+                            back.update(b"".join(decoded(ids)))
                         count += len(ids)
                         if ids_out:
                             raw.append(ids)
