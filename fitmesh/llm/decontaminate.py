@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -14,28 +14,30 @@ from fitmesh.llm.words import Words, words
 BLOCK_WORDS = 1 << 18  # words of test items handled at once; more items take more blocks
 MATCH, MISMATCH, GAP = 2, -1, -1
 _FILTER_BITS = 22
+_ENTRIES = 1 << 20  # pairs of a hit and a place in an item that are handled at once
 
 
 class Items:
-    """Words, n-grams and seeds of one block of test items."""
+    """Words and seeds of one block of test items: every n-gram of an item is a seed."""
 
-    def __init__(self, ids: list[int], texts: list[str], n: int, window: int):
-        self.ids, self.n, self.window = np.array(ids, np.int64), n, window
+    def __init__(self, ids: list[int], texts: list[str], n: int):
+        self.ids, self.n = np.array(ids, np.int64), n
         self.words: list[np.ndarray] = []
         grams = []
         for w in words(pa.array(texts, pa.string()), lower=True):
             g, _, first = w.grams(n)
             self.words += np.split(w.hash, w.first[1:-1])
             grams += np.split(g, first[1:-1])
-        self.grams = grams
-        self.known = np.unique(np.concatenate([*grams, np.zeros(0, np.uint64)]))
-        self.sets = [np.unique(x) for x in self.words]
-        self.use(self.known)
-
-    def use(self, keys: np.ndarray) -> None:
-        self.keys = keys
+        seeds = np.concatenate([*grams, np.zeros(0, np.uint64)])
+        size = np.array([len(g) for g in grams], np.int64)
+        item = np.repeat(np.arange(len(grams)), size)
+        inside = np.arange(len(seeds)) - np.repeat(np.cumsum(size) - size, size)
+        self.keys, key = np.unique(seeds, return_inverse=True)
+        order = np.lexsort((inside, item, key))
+        self.item, self.inside = item[order], inside[order]
+        self.place = key[order] * len(self.ids) + self.item  # ascending: the places of one seed in a range of items are a slice
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[keys >> np.uint64(64 - _FILTER_BITS)] = True
+        self.filter[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of grams that are keys, and which key."""
@@ -46,23 +48,22 @@ class Items:
         real = self.keys[at] == grams[maybe]
         return maybe[real], at[real]
 
-    def choose(self, frequency: dict[int, int]) -> None:
-        """Seeds: of each ``window`` consecutive n-grams of an item the one that the fewest documents hold."""
-        df = np.array([frequency.get(int(k), 0) for k in self.known.view(np.int64)], np.int64)
-        seeds, where = [], []
-        for item, g in enumerate(self.grams):
-            if not len(g):
-                continue
-            count = df[np.searchsorted(self.known, g)]
-            chosen = {i + int(np.argmin(count[i : i + self.window])) for i in range(max(1, len(g) - self.window + 1))}
-            seeds += [g[i] for i in sorted(chosen)]
-            where += [(item, i) for i in sorted(chosen)]
-        seeds, where = np.array(seeds, np.uint64), np.array(where, np.int64).reshape(-1, 2)
-        order = np.argsort(seeds, kind="stable")
-        self.where = where[order]
-        keys, self.from_ = np.unique(seeds[order], return_index=True)
-        self.from_ = np.append(self.from_, len(seeds))
-        self.use(keys)
+    def entries(self, row: np.ndarray, key: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Hits with their places: a slice of the hits, the first place of each and how many. A row and an item meet in one part only."""
+        todo = [(0, len(row), 0, len(self.ids))] if len(row) else []
+        while todo:
+            a, b, low, high = todo.pop()
+            begin, end = (np.searchsorted(self.place, key[a:b] * len(self.ids) + i) for i in (low, high))
+            middle = row[(a + b) // 2]
+            cut = int(np.searchsorted(row, middle)) if row[a] < middle else int(np.searchsorted(row, middle, "right"))
+            total = (end - begin).sum()
+            if total <= _ENTRIES or (cut >= b and high - low == 1):
+                if total:
+                    yield slice(a, b), begin, end - begin
+            elif cut < b:
+                todo += [(a, cut, low, high), (cut, b, low, high)]
+            else:
+                todo += [(a, b, low, (low + high) // 2), (a, b, (low + high) // 2, high)]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> int:
@@ -78,41 +79,28 @@ def align(item: np.ndarray, text: np.ndarray) -> int:
     return best
 
 
-def _counted(items: Items):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.known), np.int64)
-        for batch in batches:
-            for w in words(batch.column(0), lower=True):
-                g, _, first = w.grams(items.n)
-                at, key = items.hits(g)
-                row = np.searchsorted(first, at, "right") - 1
-                pair = np.unique(row * len(items.known) + key)
-                total += np.bincount(pair % max(1, len(items.known)), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(items.known[some].view(np.int64)), pa.array(total[some])], names=["gram", "docs"])
-
-    return run
-
-
 def _matches(w: Words, items: Items, share: float) -> dict[int, tuple[float, int, int]]:
     """Row to (best score, item id, number of items that match)."""
     g, at_word, first = w.grams(items.n)
     at, key = items.hits(g)
-    if not len(at):
-        return {}
-    count = items.from_[key + 1] - items.from_[key]
-    entry = np.repeat(items.from_[key], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    item, inside = items.where[entry].T
-    row = np.repeat(np.searchsorted(first, at, "right") - 1, count)
-    begin = np.repeat(at_word[at], count) - inside
-    order = np.lexsort((begin, item, row))
-    item, row, begin = item[order], row[order], begin[order]
     out: dict[int, tuple[float, int, int]] = {}
+    rows = np.searchsorted(first, at, "right") - 1
+    for part, start, count in items.entries(rows, key):
+        entry = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        item, row = items.item[entry], np.repeat(rows[part], count)
+        begin = np.repeat(at_word[at[part]], count) - items.inside[entry]
+        order = np.lexsort((begin, item, row))
+        _score(w, items, share, row[order], item[order], begin[order], out)
+    return out
+
+
+def _score(w: Words, items: Items, share: float, row: np.ndarray, item: np.ndarray, begin: np.ndarray, out: dict[int, tuple[float, int, int]]) -> None:
+    """Adds to ``out`` the alignments around sorted hits; ``begin`` is where the item would begin."""
     cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(row) != 0)) + 1
     for a, b in zip(np.append(0, cuts), np.append(cuts, len(item))):
         i, r = int(item[a]), int(row[a])
         own, most = items.words[i], 0
-        pad = len(own) // 2 + 2
+        pad = int(2 * len(own) * (1 - share)) + 1  # more gaps leave less than the share, whatever matches
         low, high = w.first[r], w.first[r + 1]
         k = a
         while k < b:
@@ -133,7 +121,6 @@ def _matches(w: Words, items: Items, share: float) -> dict[int, tuple[float, int
                 out[r] = (*one, best[2] + 1)
             else:
                 out[r] = (best[0], best[1], best[2] + 1)
-    return out
 
 
 def _aligned(items: Items, share: float):
@@ -155,14 +142,14 @@ def _aligned(items: Items, share: float):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text",
-                  share: float = 0.5, n: int = 3, window: int = 4) -> DataFrame:
+                  share: float = 0.5, n: int = 3) -> DataFrame:
     """All rows and columns of ``docs`` plus ``item_id, score, n_items, kept``.
 
     ``score`` is the best Smith-Waterman score (words, A-Z lower-cased; match 2, mismatch and gap -1) of a test item
     inside the text over the score of a whole copy. Items with at least ``share`` match; the best one (smallest id on
-    ties) is named, ``n_items`` counts them, and matching documents are not kept. Document frequencies of the items'
-    n-grams over all of ``docs`` decide the seeds: of each ``window`` consecutive n-grams the rarest, so any
-    ``n + window - 1`` words copied in a row are found. All hits of seeds are aligned.
+    ties) is named, ``n_items`` counts them, and matching documents are not kept. Every n-gram of an item is a seed and
+    every hit is aligned, so any item of which ``n`` words in a row are left in the text is found. An item that matches
+    without ``n`` common words in a row (say, one word in each ``n`` changed) is not.
 
     Items are taken in blocks of about ``BLOCK_WORDS`` words, every block against all rows. Null or empty texts match
     nothing. Items with fewer than ``n`` words, null texts or null ids cannot match; repeated items are repeated matches.
@@ -179,9 +166,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_column: str = "text",
         rows = usable.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t").collect()  # one block
         if not rows:
             continue
-        block = Items([r["i"] for r in rows], [r["t"] for r in rows], n, window)
-        counted = docs.select(F.col(f"`{text_column}`").alias("t")).mapInArrow(_counted(block), "gram long, docs long")
-        block.choose({r["gram"]: r["docs"] for r in counted.groupBy("gram").agg(F.sum("docs").alias("docs")).collect()})  # the block's n-grams
+        block = Items([r["i"] for r in rows], [r["t"] for r in rows], n)
         work = work.mapInArrow(_aligned(block, share), work.schema)
     out = work.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], F.col("_item").alias("item_id"), F.col("_score").alias("score"),
                       F.col("_number").alias("n_items"))

@@ -298,6 +298,35 @@ def test_copies_and_edited_copies_of_items_are_found(spark, monkeypatch):
     assert decontaminate.decontaminate(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("copies", [0, 3])
+def test_changed_items_match_as_alignment_of_all_pairs_says(spark, monkeypatch, copies):
+    """One word changed in every 4, 5 or 6, words put in or left out; with and without exact copies elsewhere."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(300)]
+    draw = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [(i, draw(k)) for i, k in enumerate((16, 23, 30, 37, 44, 59))]
+    rows = []
+    for _, text in items:
+        w = text.split()
+        edits = [" ".join("changed" if k % every == every - 1 else x for k, x in enumerate(w)) for every in (4, 5, 6)]
+        edits += [" ".join(w[:4] + [y for x in w[4:] for y in (x, "more")][: len(w) - 6] + w[len(w) // 2 + 1 :]), " ".join(x for k, x in enumerate(w) if k % 5)]
+        edits += [" ".join(w[:5] + [y for x in w[5:] for y in (x, "more")]), " ".join(w[: len(w) // 2 - 2])]
+        for e in [*edits, *[text] * copies]:
+            rows.append((len(rows), f"{draw(70)} {e} {draw(50)}", ""))
+    number = {}
+    code = lambda text: np.array([number.setdefault(x, len(number)) for x in text.split()])
+    want = {}
+    for d, text, _ in rows:
+        scores = sorted((-brute_align(code(t).tolist(), code(text).tolist()) / (2 * len(t.split())), i) for i, t in items)
+        matching = [(-s, i) for s, i in scores if -s >= 0.5]
+        want[d] = (matching[0][1], matching[0][0], len(matching)) if matching else (None, 0.0, 0)
+    assert sum(x[2] > 0 for x in want.values()) >= 36
+    for limit in (1 << 20, 8):  # the second handles hits in many parts
+        monkeypatch.setattr(decontaminate, "_ENTRIES", limit, raising=False)
+        found = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+        assert {r["doc_id"]: (r["item_id"], r["score"], r["n_items"]) for r in found.collect()} == want
+
+
 # ------------------------------------------------------------------ 6
 
 
