@@ -22,30 +22,56 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` segments resolved."""
+    def add(done: Column, segment: Column) -> Column:
+        return F.when(segment == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(segment == ".", done).otherwise(F.array_append(done, segment))
+
+    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
+    clean = F.concat(F.lit("/"), F.array_join(F.aggregate(segments, F.array().cast("array<string>"), add), "/"))
+    return F.when(F.regexp_like(path, F.lit(r"/\.\.?(/|$)")), clean).otherwise(path)
+
+
 def canonical(url: Column) -> Column:
-    """One spelling of a URL: no scheme, ``www.``, default port, fragment, tracking parameters or trailing slash."""
+    """One spelling of a URL: no scheme, ``www.``, default port, dot segments, fragment, tracking parameters or trailing slash."""
     host = F.regexp_replace(F.regexp_replace(host_of(url), r"^www\.", ""), r":(80|443)$", "")
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
     query = F.array_join(F.array_sort(F.filter(F.split(query, "&"), lambda q: (q != "") & ~F.regexp_like(q, F.lit(r"^(utm_[a-z]*|ref|fbclid|gclid)(=|$)")))), "&")
-    path = F.regexp_replace(path_of(url), r"/+$", "")
-    return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    path = F.regexp_replace(without_dots(path_of(url)), r"/+$", "")
+    return F.when(url.isNotNull(), F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
+
+
+def resolved(to: Column, base: Column) -> Column:
+    """The absolute URL that ``to`` means on ``base``; null for schemes without ``//`` such as ``mailto:``."""
+    root, path = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1), path_of(base)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    return (F.when(F.regexp_like(to, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), to)
+            .when(F.regexp_like(to, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None))
+            .when(to.startswith("//"), F.concat(F.lit("http:"), to))
+            .when(to.startswith("/"), F.concat(root, to))
+            .when(to.startswith("?"), F.concat(root, path, to))
+            .when(to.startswith("#"), F.regexp_extract(base, r"(?s)^([^#]*)", 1))
+            .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), to)))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``(a, b)`` canonical URL spellings that one page declares equal: ``rel=canonical`` and ``http-equiv=refresh``."""
+    """``(a, b)`` canonical URL spellings that one page declares equal: ``rel=canonical`` and ``http-equiv=refresh``.
+
+    Tags and attributes in any case. Relative targets are resolved against the page's ``<base href>`` or its URL.
+    """
     def target(tag: str, value: str) -> Column:
         found = F.regexp_extract(F.regexp_extract("html", tag, 0), value, 1)
         return F.regexp_replace(found, "&amp;", "&")
 
     html = F.coalesce(F.col("html"), F.lit(""))
-    p = pages.select("url", html.alias("html")).where(F.col("url").contains("://") & (F.contains("html", F.lit("canonical")) | F.contains("html", F.lit("refresh"))))
+    p = pages.select("url", html.alias("html")).where(F.col("url").contains("://") & (F.contains(F.lower("html"), F.lit("canonical")) | F.contains(F.lower("html"), F.lit("refresh"))))
     links = F.array(target(r"(?i)<link\b[^>]*\brel=[\"']?canonical\b[^>]*>", r"(?i)\bhref=[\"']?([^\"'\s>]+)"),
                     target(r"(?i)<meta\b[^>]*\bhttp-equiv=[\"']?refresh\b[^>]*>", r"(?i)\burl=[\"']?([^\"'\s>]+)"))
-    p = p.select("url", F.explode(links).alias("to")).where("to <> ''")
-    root = F.regexp_extract("url", r"^(.*?://[^/?#]*)", 1)
-    absolute = F.when(F.col("to").contains("://"), F.col("to")).when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to"))).when(
-        F.col("to").startswith("/"), F.concat(root, F.col("to")))
-    return p.select(canonical(F.col("url")).alias("a"), canonical(absolute).alias("b")).where("b is not null")
+    declared = target(r"(?i)<base\b[^>]*\bhref=[^>]*>", r"(?i)\bhref=[\"']?([^\"'\s>]+)")
+    p = p.select("url", declared.alias("declared"), F.explode(links).alias("to")).where("to <> ''")
+    base = F.when(F.col("declared") != "", resolved(F.col("declared"), F.col("url")))
+    p = p.select("url", "to", F.coalesce(base, "url").alias("base"))
+    return p.select(canonical(F.col("url")).alias("a"), canonical(resolved(F.col("to"), F.col("base"))).alias("b")).where("b is not null")
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], redirects: DataFrame | None = None) -> DataFrame:

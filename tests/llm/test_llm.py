@@ -379,6 +379,24 @@ def test_rules_and_aliases(spark, data):
     assert url_filter.filter_urls(df.limit(0), RULES).count() == 0
 
 
+def test_links_in_any_case_and_relative_links_are_followed(spark):
+    refresh = lambda to: f'<META HTTP-EQUIV="Refresh" CONTENT="0; URL={to}">'
+    rel = lambda to: f"<LINK REL=CANONICAL HREF={to}>"
+    base = "http://www.a.com/p/q/page?x=1"
+    cases = [(base, refresh("http://b.net/Z"), "b.net/Z"), (base, rel("http://b.net/Z"), "b.net/Z"), (base, rel("other.html"), "a.com/p/q/other.html"),
+             (base, rel("../x"), "a.com/p/x"), (base, refresh("../../../../x/./y/"), "a.com/x/y"), (base, rel("?id=2"), "a.com/p/q/page?id=2"), (base, rel("#top"), "a.com/p/q/page?x=1"),
+             (base, rel("/go?u=http://c.org/k"), "a.com/go?u=http://c.org/k"), (base, rel("go?u=http://c.org/k"), "a.com/p/q/go?u=http://c.org/k"), (base, rel("//d.org/e"), "d.org/e"),
+             (base, rel("mailto:x@y.z"), None), ("http://a.com", rel("x.html"), "a.com/x.html"), ("http://a.com?q=1", rel("?q=2"), "a.com?q=2"),
+             (base, '<base href="/root/"><link rel="canonical" href="x">', "a.com/root/x"), (base, "<Base Href='http://e.org/f/g'>" + refresh("h"), "e.org/f/h"), (base, "canonical refresh", None)]
+    own = [tuple(x and x.replace("a.com", f"a{k}.com") for x in case) for k, case in enumerate(cases)]  # a host for each case
+    got = url_filter.page_links(spark.createDataFrame([x[:2] for x in own], "url string, html string")).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == sorted((url.split("://")[1].removeprefix("www."), want) for url, _, want in own if want)
+    rows = [(1, "http://bad.com/de/1", ""), (2, "http://copy.net/x", refresh("http://bad.com/de/1")), (3, "http://copy.net/k/y", rel("../x")), (4, "http://copy.net/k/z", rel("y")), (5, "http://copy.net/k/z?q=2", rel("?")),
+            (6, "http://copy.net/k/../x", "")]
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), [("block", "bad.com", "/de/")]).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {k: "block" for k in range(1, 7)}
+
+
 # ------------------------------------------------------------------ 8
 
 
