@@ -1,12 +1,14 @@
 """Extremely randomised trees, grown level by level for many trees at once.
 
-A level takes two passes: value ranges of every open node, then counts and label
-sums left of one random threshold per (node, feature). Tasks emit dense arrays
-per batch of trees, so the shuffle is independent of the number of rows.
+A level takes two passes per batch of open nodes: value ranges of every node, then
+counts and label sums left of one random threshold per (node, feature). Tasks emit
+dense arrays per batch, so their size is bounded at any depth.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.ml.param import TypeConverters
 from pyspark.ml.param.shared import HasSeed
@@ -19,7 +21,6 @@ from fitmesh.models.base import RegressionModel, Regressor, param
 from fitmesh.operators.partials import reduce_arrays
 from fitmesh.session import held
 
-DEEPEST = 12               # stands for an unlimited depth: 4096 leaves per tree
 _STATE_BYTES = 64 << 20    # dense statistics per task
 
 
@@ -55,28 +56,25 @@ def _flatten(trees: list[_Tree]) -> dict[str, np.ndarray]:
     return out
 
 
-def _slots(trees: list[_Tree]) -> tuple[FlatForest, np.ndarray, int]:
-    """The forest so far and, per array position, the index of the open node there (or -1)."""
+def _slots(trees: list[_Tree], part: list[tuple[int, tuple]]) -> tuple[FlatForest, np.ndarray]:
+    """The forest so far and, per array position, the index in ``part`` of the open node there (or -1)."""
     flat = _flatten(trees)
     forest = FlatForest(*[flat[c] for c in ("tree", "feature", "threshold", "left", "right", "value")])
     slot = np.full(len(flat["tree"]), -1)
-    n = 0
-    for root, tree in zip(forest.roots, trees):
-        for node, *_ in tree.open:
-            slot[root + node] = n
-            n += 1
-    return forest, slot, n
+    for n, (i, (node, *_)) in enumerate(part):
+        slot[forest.roots[i] + node] = n
+    return forest, slot
 
 
 class ExtraTrees(Regressor, HasSeed):
     """No bootstrap; each open node draws one uniform threshold per feature and keeps the best."""
 
     n_estimators = param("n_estimators", "trees", TypeConverters.toInt)
-    max_depth = param("max_depth", "None: up to 12 levels")
+    max_depth = param("max_depth", "None: until every leaf is pure")
     DEFAULTS = {"n_estimators": 100, "max_depth": None, "seed": 42}
 
     def _fit(self, df: DataFrame) -> ExtraTreesModel:
-        depth = DEEPEST if self.get("max_depth") is None else int(self.get("max_depth"))
+        depth = None if self.get("max_depth") is None else int(self.get("max_depth"))
         p = width(df, self.getFeaturesCol())
         data = df.select(as_array(df, self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
         data = held(data)
@@ -84,8 +82,10 @@ class ExtraTrees(Regressor, HasSeed):
             r = data.agg(F.count("y").alias("n"), F.avg("y").alias("m"), F.var_pop("y").alias("v")).first()
             if not r["n"]:
                 raise ValueError("empty input")
-            per_tree = (2 ** max(depth - 1, 0)) * p * 5 * 8
-            batch = max(1, min(self.get("n_estimators"), _STATE_BYTES // per_tree))
+            widest = max(1, int(r["n"]) // 2)  # open nodes have two rows at least
+            if depth is not None and depth - 1 < widest.bit_length():
+                widest = min(widest, 2 ** max(depth - 1, 0))
+            batch = max(1, min(self.get("n_estimators"), _STATE_BYTES // (widest * p * 5 * 8)))
             trees: list[_Tree] = []
             for start in range(0, self.get("n_estimators"), batch):
                 count = min(batch, self.get("n_estimators") - start)
@@ -96,70 +96,74 @@ class ExtraTrees(Regressor, HasSeed):
         flat["value"] = flat["value"] + float(r["m"])
         return self._hand_over(ExtraTreesModel(flat))
 
-    def _grow(self, data: DataFrame, p: int, depth: int, count: int, first: int, n: float, mean: float, var: float) -> list[_Tree]:
+    def _grow(self, data: DataFrame, p: int, depth: int | None, count: int, first: int, n: float, mean: float, var: float) -> list[_Tree]:
         trees = [_Tree(n, 0.0, n * var) for _ in range(count)]
         rngs = [np.random.default_rng([self.getSeed(), first + i]) for i in range(count)]
-        for _ in range(depth):
+        most = max(1, _STATE_BYTES // (p * 5 * 8))
+        for _ in itertools.count() if depth is None else range(depth):
+            todo = [(i, o) for i, t in enumerate(trees) for o in t.open
+                    if o[1] >= 2 and o[3] - o[2] ** 2 / o[1] > 1e-12 * max(n * var, 1e-300) / n]
             for t in trees:
-                t.open = [o for o in t.open if o[1] >= 2 and o[3] - o[2] ** 2 / o[1] > 1e-12 * max(n * var, 1e-300) / n]
-            forest, slot, size = _slots(trees)
-            if not size:
+                t.open = []
+            if not todo:
                 break
-
-            def ranges(batches):
-                low, high = np.full((size, p), np.inf), np.full((size, p), np.inf)
-                for b in batches:
-                    x = matrix(b.column("x"))
-                    for root in forest.roots:
-                        s = slot[forest.leaves(x, root)]
-                        rows = np.flatnonzero(s >= 0)
-                        if len(rows):
-                            order = rows[np.argsort(s[rows], kind="stable")]
-                            starts = np.flatnonzero(np.r_[True, np.diff(s[order]) > 0])
-                            at = s[order][starts]
-                            low[at] = np.minimum(low[at], np.minimum.reduceat(x[order], starts, axis=0))
-                            high[at] = np.minimum(high[at], np.minimum.reduceat(-x[order], starts, axis=0))
-                return {"r": np.concatenate([low.ravel(), high.ravel()])}
-
-            r = reduce_arrays(data.select("x"), ranges, "min")["r"].reshape(2, size, p)
-            low, high = r[0], -r[1]
-            cut = np.empty((size, p))
-            at = 0
-            for t, rng in zip(trees, rngs):
-                k = len(t.open)
-                cut[at:at + k] = low[at:at + k] + rng.random((k, p)) * (high[at:at + k] - low[at:at + k])
-                at += k
-
-            def sides(batches):
-                acc = np.zeros((3, size, p))
-                for b in batches:
-                    x = matrix(b.column("x"))
-                    y = b.column("y").to_numpy(zero_copy_only=False) - mean
-                    for root in forest.roots:
-                        s = slot[forest.leaves(x, root)]
-                        rows = np.flatnonzero(s >= 0)
-                        if not len(rows):
-                            continue
-                        go = x[rows] <= cut[s[rows]]
-                        for f in range(p):
-                            left = rows[go[:, f]]
-                            where, yl = s[left], y[left]
-                            acc[0, :, f] += np.bincount(where, minlength=size)
-                            acc[1, :, f] += np.bincount(where, yl, minlength=size)
-                            acc[2, :, f] += np.bincount(where, yl * yl, minlength=size)
-                return {"s": acc.ravel()}
-
-            left = reduce_arrays(data, sides)["s"].reshape(3, size, p)
-            at = 0
-            for t in trees:
-                todo, t.open = t.open, []
-                for node, nn, s, ss in todo:
-                    nl, sl, ssl = left[:, at]
-                    ok = (nl > 0) & (nl < nn) & (high[at] > low[at])
-                    gain = np.where(ok, sl ** 2 / np.maximum(nl, 1) + (s - sl) ** 2 / np.maximum(nn - nl, 1), -np.inf)
-                    f = int(gain.argmax())
-                    if ok[f]:
-                        t.open += t.split(node, f, float(cut[at, f]),
-                                          [(nl[f], sl[f], ssl[f]), (nn - nl[f], s - sl[f], ss - ssl[f])])
-                    at += 1
+            for at in range(0, len(todo), most):
+                self._split(data, p, trees, rngs, todo[at:at + most], mean)
         return trees
+
+    def _split(self, data: DataFrame, p: int, trees: list[_Tree], rngs: list, part: list[tuple[int, tuple]], mean: float) -> None:
+        """Splits the open nodes of one batch; their children are open in the next level."""
+        forest, slot = _slots(trees, part)
+        size, roots = len(part), forest.roots[sorted({i for i, _ in part})]
+
+        def ranges(batches):
+            low, high = np.full((size, p), np.inf), np.full((size, p), np.inf)
+            for b in batches:
+                x = matrix(b.column("x"))
+                for root in roots:
+                    s = slot[forest.leaves(x, root)]
+                    rows = np.flatnonzero(s >= 0)
+                    if len(rows):
+                        order = rows[np.argsort(s[rows], kind="stable")]
+                        starts = np.flatnonzero(np.r_[True, np.diff(s[order]) > 0])
+                        at = s[order][starts]
+                        low[at] = np.minimum(low[at], np.minimum.reduceat(x[order], starts, axis=0))
+                        high[at] = np.minimum(high[at], np.minimum.reduceat(-x[order], starts, axis=0))
+            return {"r": np.concatenate([low.ravel(), high.ravel()])}
+
+        r = reduce_arrays(data.select("x"), ranges, "min")["r"].reshape(2, size, p)
+        low, high = r[0], -r[1]
+        cut = np.empty((size, p))
+        for i, group in itertools.groupby(range(size), lambda k: part[k][0]):
+            k = list(group)
+            cut[k] = low[k] + rngs[i].random((len(k), p)) * (high[k] - low[k])
+        cut = np.where(cut < high, cut, low)  # rounding must not put all rows on one side
+
+        def sides(batches):
+            acc = np.zeros((3, size, p))
+            for b in batches:
+                x = matrix(b.column("x"))
+                y = b.column("y").to_numpy(zero_copy_only=False) - mean
+                for root in roots:
+                    s = slot[forest.leaves(x, root)]
+                    rows = np.flatnonzero(s >= 0)
+                    if not len(rows):
+                        continue
+                    go = x[rows] <= cut[s[rows]]
+                    for f in range(p):
+                        left = rows[go[:, f]]
+                        where, yl = s[left], y[left]
+                        acc[0, :, f] += np.bincount(where, minlength=size)
+                        acc[1, :, f] += np.bincount(where, yl, minlength=size)
+                        acc[2, :, f] += np.bincount(where, yl * yl, minlength=size)
+            return {"s": acc.ravel()}
+
+        left = reduce_arrays(data, sides)["s"].reshape(3, size, p)
+        for at, (i, (node, nn, s, ss)) in enumerate(part):
+            nl, sl, ssl = left[:, at]
+            ok = (nl > 0) & (nl < nn) & (high[at] > low[at])
+            gain = np.where(ok, sl ** 2 / np.maximum(nl, 1) + (s - sl) ** 2 / np.maximum(nn - nl, 1), -np.inf)
+            f = int(gain.argmax())
+            if ok[f]:
+                trees[i].open += trees[i].split(node, f, float(cut[at, f]),
+                                                [(nl[f], sl[f], ssl[f]), (nn - nl[f], s - sl[f], ss - ssl[f])])

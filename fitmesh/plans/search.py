@@ -34,20 +34,20 @@ FOREST_GRID = {
     "max_features": ["sqrt", "log2", None],
 }
 
-# values a round search may try, per family
+# values a round search may try, per family; the families' defaults are among them
 MUTATIONS = {
     "Ridge": {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0]},
     "Lasso": {"alpha": [0.001, 0.01, 0.1, 1.0]},
     "ElasticNet": {"alpha": [0.001, 0.01, 0.1, 1.0], "l1_ratio": [0.15, 0.5, 0.85]},
     "SVR": {"C": [1.0, 10.0, 100.0], "kernel": ["rbf", "linear"]},
-    "DecisionTree": {"max_depth": [4, 6, 8, 10], "min_samples_split": [2, 5, 10]},
-    "RandomForest": {"n_estimators": [20, 50], "max_depth": [5, 8], "max_features": ["sqrt", "log2", None]},
-    "ExtraTrees": {"n_estimators": [20, 50], "max_depth": [5, 8]},
-    "GradientBoosting": {"n_estimators": [20, 50], "learning_rate": [0.05, 0.1, 0.3], "max_depth": [3, 5]},
-    "AdaBoost": {"n_estimators": [5, 10], "learning_rate": [0.5, 1.0]},
-    "MLP": {"hidden_layer_sizes": [[16], [32], [16, 16]], "activation": ["relu", "tanh"], "solver": ["adam", "lbfgs"]},
-    "XGBoost": {"n_estimators": [20, 50], "learning_rate": [0.1, 0.3], "max_depth": [4, 6]},
-    "LightGBM": {"n_estimators": [20, 50], "num_leaves": [15, 31]},
+    "DecisionTree": {"max_depth": [None, 4, 6, 8, 10], "min_samples_split": [2, 5, 10]},
+    "RandomForest": FOREST_GRID,
+    "ExtraTrees": {"n_estimators": [20, 50, 100, 200], "max_depth": [None, 5, 8, 20]},
+    "GradientBoosting": {"n_estimators": [20, 50, 100, 200], "learning_rate": [0.05, 0.1, 0.3], "max_depth": [3, 5]},
+    "AdaBoost": {"n_estimators": [5, 10, 50, 100], "learning_rate": [0.5, 1.0]},
+    "MLP": {"hidden_layer_sizes": [[16], [32], [16, 16], [100]], "activation": ["relu", "tanh"], "solver": ["adam", "lbfgs"]},
+    "XGBoost": {"n_estimators": [20, 50, 100, 200], "learning_rate": [0.1, 0.3], "max_depth": [4, 6]},
+    "LightGBM": {"n_estimators": [20, 50, 100, 200], "num_leaves": [15, 31]},
     "KNN": {"n_neighbors": [3, 5, 10], "weights": ["uniform", "distance"]},
     "OLS": {},
 }
@@ -216,8 +216,8 @@ class RoundSearch:
     name: str = "rounds"
     families: Sequence[str] | None = None
     preparations: Sequence[str | None] = (None, "StandardScaler")
-    population: int = 20
-    generations: int = 5
+    population: int = 100
+    generations: int = 100
     patience: int = 20
     metric: str = "r2"
     parallelism: int = 4

@@ -90,6 +90,20 @@ def test_extra_trees_do_not_depend_on_partitioning(spark):
     assert np.allclose(a, b)
 
 
+def test_extra_trees_without_depth_grow_until_leaves_are_pure(spark, monkeypatch):
+    x = 1000.0 ** np.arange(16)[:, None]  # a uniform threshold takes off about one value a level
+    y = np.random.default_rng(4).permutation(16).astype(float)
+    df = vectors(spark, x, y)
+    whole = ExtraTrees(n_estimators=2).fit(df)
+    assert np.allclose(predictions(whole, df), y)
+    monkeypatch.setattr("fitmesh.models.extratrees._STATE_BYTES", 120)  # three open nodes at once
+    parts = ExtraTrees(n_estimators=2, max_depth=5).fit(vectors(spark, np.arange(16.0)[:, None], y))
+    monkeypatch.undo()
+    same = ExtraTrees(n_estimators=2, max_depth=5).fit(vectors(spark, np.arange(16.0)[:, None], y))
+    new = vectors(spark, np.arange(16.0)[:, None])
+    assert np.allclose(predictions(parts, new), predictions(same, new))
+
+
 def test_svr_ignores_a_gross_outlier(spark):
     x = np.linspace(-1, 1, 101)[:, None]
     y = 2 * x[:, 0] + 1

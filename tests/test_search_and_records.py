@@ -14,12 +14,12 @@ from fitmesh.operators.outliers import KMeansOutlier
 from fitmesh.operators.reduce import PCA
 from fitmesh.operators.scale import RobustScale, StandardScale
 from fitmesh.operators.splits import repeated_kfold
-from fitmesh.plans.chain import Chain, clean_names
+from fitmesh.plans.chain import MODELS, Chain, clean_names
 from fitmesh.plans.crossval import cross_validate, cross_validate_keep_best, moment_solver
 from fitmesh.plans.ensemble import EnsembleModel, blend, promote_if_better, stack_models
 from fitmesh.plans.parallel import run_limited
 from fitmesh.plans.run import run
-from fitmesh.plans.search import (Candidate, FOREST_GRID, PortfolioSearch, RoundSearch, draw_combinations, meta_search,
+from fitmesh.plans.search import (Candidate, FOREST_GRID, MUTATIONS, PortfolioSearch, RoundSearch, draw_combinations, meta_search,
                                   random_search)
 from fitmesh.plans.selection import champion_row, leaderboard
 from fitmesh.sources import records
@@ -139,6 +139,22 @@ def test_round_search_stops_without_gain(spark):
     assert len(calls) == 4  # one gain, then three rounds without
 
 
+def test_round_search_defaults_let_patience_act(spark):
+    calls = []
+
+    def evaluate(batch, left):
+        calls.append(len(batch))
+        return [(c, "ok", 0.5, "", 0.0) for c in batch]
+
+    search = RoundSearch(families=["RandomForest", "GradientBoosting", "ExtraTrees", "XGBoost", "MLP"])
+    assert (search.population, search.generations, search.patience) == (100, 100, 20)
+    search.run(spark.range(1), ["id"], evaluate)
+    assert calls[0] == 100 and len(calls) <= 21  # one gain, then at most 20 rounds without
+    for family, values in MUTATIONS.items():
+        defaults = MODELS[family].DEFAULTS
+        assert all(defaults[k] in v for k, v in values.items() if k in defaults), family
+
+
 def _strategies():
     class Broken:
         name = "broken"
