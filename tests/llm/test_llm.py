@@ -116,6 +116,25 @@ def test_near_duplicates_of_edited_copies(spark):
     assert got == jaccard_components(rows, 5, 80)
 
 
+def test_near_duplicate_of_one_of_an_ids_texts(spark):
+    """A linked pair that no leader of a crowded key finds, one of them with a long unrelated text under the same id."""
+    rng = random.Random(5)
+    ids = rng.sample(range(1 << 20), 200)
+    orders = [sorted(ids), sorted(ids, reverse=True), *[sorted(ids, key=lambda i: i ^ m) for m in near_dedup._MASKS]]
+    a, b = sorted(ids, key=lambda i: -min(o.index(i) for o in orders))[:2]  # far from leading in every order
+    base = [f"w{k}" for k in range(120)]
+
+    def edited(*places):
+        return " ".join(f"e{rng.random()}" if k in places else w for k, w in enumerate(base))
+
+    rows = [(i, edited(*(rng.randrange(x, x + 30) for x in (5, 45, 85)))) for i in ids if i not in (a, b)]
+    rows += [(a, edited(40)), (b, edited(80)), (a, " ".join(f"u{k}" for k in range(400)))]
+    want = jaccard_components(rows, 5, 80)
+    assert want[a] == want[b] == min(a, b) and len(set(want.values())) == 199
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(got) == len(rows)
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = near_dedup.near_duplicates(frame(spark)).collect()
     assert len(got) == len(AWKWARD)
