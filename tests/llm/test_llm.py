@@ -33,7 +33,7 @@ def frame(spark, rows=AWKWARD):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, data, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{data}/{t}.parquet'")
     got, want = QUERIES[name](spark, data).toPandas(), con.sql(SQL[name]).df()
     columns = sorted(want.columns)
