@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 21
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -114,9 +114,9 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def words(column: pa.Array, lower: bool = False, hashed: bool = True) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, hashed: bool = True, limit: int = SLICE_BYTES) -> Iterator[Words]:
     data, offsets = text_buffers(column)
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, limit):
         low, high = offsets[i], offsets[j]
         part, bounds = data[low:high], offsets[i : j + 1] - low
         if lower:
