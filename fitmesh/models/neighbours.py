@@ -1,4 +1,4 @@
-"""k-nearest-neighbour regression on the exact neighbour join."""
+"""k-nearest-neighbour regression on the exact or the hashed neighbour join."""
 
 from __future__ import annotations
 
@@ -12,12 +12,13 @@ from fitmesh.functions.vectors import as_array
 from fitmesh.models.base import ColumnNames, Configurable, Regressor, param, score_model
 from fitmesh.operators.knn import knn_join
 from fitmesh.operators.lookup import keyed_lookup
+from fitmesh.operators.lsh import lsh_knn_join
 
 
 class _KNNParams(Configurable):
     n_neighbors = param("n_neighbors", "neighbours per query", TypeConverters.toInt)
     weights = param("weights", "uniform or distance", TypeConverters.toString)
-    algorithm = param("algorithm", "auto and the tree names use pivots, brute does not; all are exact", TypeConverters.toString)
+    algorithm = param("algorithm", "auto and the tree names use pivots, brute does not, all exact; lsh hashes (approximate, for many dimensions)", TypeConverters.toString)
     idCol = param("idCol", "unique row id (bigint or string)", TypeConverters.toString)
     DEFAULTS = {"n_neighbors": 5, "weights": "uniform", "algorithm": "auto", "idCol": "id"}
 
@@ -50,9 +51,11 @@ class KNNModel(_KNNParams, ColumnNames, Model, MLReadable, MLWritable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         id_column, out = self.get("idCol"), self.getPredictionCol()
-        pairs = knn_join(df, self.rows, self.get("n_neighbors"), query_id=id_column, base_id="id",
-                         vector=self.getFeaturesCol(), base_vector="features",
-                         pivots=1 if self.get("algorithm") == "brute" else None)
+        columns = {"query_id": id_column, "base_id": "id", "vector": self.getFeaturesCol(), "base_vector": "features"}
+        if self.get("algorithm") == "lsh":
+            pairs = lsh_knn_join(df, self.rows, self.get("n_neighbors"), **columns)
+        else:
+            pairs = knn_join(df, self.rows, self.get("n_neighbors"), pivots=1 if self.get("algorithm") == "brute" else None, **columns)
         scored = combine_labels(pairs, self.rows.select(F.col("id").alias("neighbor_id"), "label"), self.get("weights"))
         return df.join(scored.withColumnRenamed("query_id", id_column).withColumnRenamed("prediction", out), id_column, "left")
 
@@ -88,7 +91,7 @@ def combine_labels(pairs: DataFrame, labels: DataFrame, weights: str) -> DataFra
 
 class KNN(_KNNParams, Regressor):
     def _fit(self, df: DataFrame) -> KNNModel:
-        if self.get("algorithm") not in ("auto", "brute", "kd_tree", "ball_tree"):
+        if self.get("algorithm") not in ("auto", "brute", "kd_tree", "ball_tree", "lsh"):
             raise ValueError("unknown algorithm")
         rows = df.select(F.col(self.get("idCol")).alias("id"), as_array(df, self.getFeaturesCol()).alias("features"),
                          F.col(self.getLabelCol()).cast("double").alias("label"))

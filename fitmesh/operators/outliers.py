@@ -17,6 +17,7 @@ from fitmesh.functions.vectors import as_array, as_vector, map_rows, matrix, wid
 from fitmesh.models.base import Configurable, StateModel, param
 from fitmesh.operators.knn import BLOCK_ROWS, knn_join
 from fitmesh.operators.lookup import keyed_lookup
+from fitmesh.operators.lsh import lsh_knn_join
 from fitmesh.operators.orderstats import quantiles
 from fitmesh.session import durable, held
 
@@ -182,9 +183,12 @@ class IsolationForest(OutlierEstimator):
 # --------------------------------------------------------------------------- local outlier factor
 
 def local_outlier_factor(df: DataFrame, k: int, id_column: str, vector: str, pivots: int | None = None,
-                         block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``(id, lof)`` from the exact neighbour lists (exactly ``k`` neighbours, the row itself left out)."""
-    pairs = durable(knn_join(df, None, k, query_id=id_column, vector=vector, pivots=pivots, block_rows=block_rows))
+                         block_rows: int = BLOCK_ROWS, algorithm: str = "auto") -> DataFrame:
+    """``(id, lof)`` from neighbour lists (exactly ``k`` neighbours, the row itself left out): exact ones, or hashed with ``lsh``."""
+    if algorithm == "lsh":
+        pairs = durable(lsh_knn_join(df, None, k, query_id=id_column, vector=vector))
+    else:
+        pairs = durable(knn_join(df, None, k, query_id=id_column, vector=vector, pivots=pivots, block_rows=block_rows))
     reach_k = pairs.groupBy(F.col("query_id").alias("neighbor_id")).agg(F.max("distance").alias("k_distance"))
     uses = pairs.groupBy("neighbor_id").agg(F.count(F.lit(1)).alias("_uses"))
     reached = keyed_lookup(pairs, reach_k.join(uses, "neighbor_id"), "neighbor_id", "_uses")
@@ -201,13 +205,14 @@ class LocalOutlierFactor(OutlierEstimator):
 
     n_neighbors = param("n_neighbors", "neighbours", TypeConverters.toInt)
     contamination = param("contamination", "auto or share of outliers")
-    DEFAULTS = {"n_neighbors": 20, "contamination": AUTO, "idCol": "id", "seed": 42}
+    algorithm = param("algorithm", "auto (exact) or lsh (hashed neighbours)", TypeConverters.toString)
+    DEFAULTS = {"n_neighbors": 20, "contamination": AUTO, "algorithm": "auto", "idCol": "id", "seed": 42}
 
     def mask(self, df: DataFrame) -> DataFrame:
         k = self.get("n_neighbors")
         n = df.limit(k + 1).count()
         k = max(1, min(k, n - 1))
-        lof = durable(local_outlier_factor(df, k, self.get("idCol"), self.getFeaturesCol()))
+        lof = durable(local_outlier_factor(df, k, self.get("idCol"), self.getFeaturesCol(), algorithm=self.get("algorithm")))
         limit = 1.5
         if self.get("contamination") != AUTO:
             limit = float(quantiles(lof, ["lof"], [1.0 - float(self.get("contamination"))])["lof"][0])

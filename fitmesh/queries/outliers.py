@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fitmesh.functions.vectors import assemble
 from fitmesh.operators.columns import keep_inliers
 from fitmesh.operators.knn import knn_join
+from fitmesh.operators.lsh import lsh_knn_join
 from fitmesh.operators.outliers import IsolationForest, KMeansOutlier, LocalOutlierFactor, drop_small_groups, local_outlier_factor
 from fitmesh.queries.registry import lines, query, rounded, table
 
@@ -29,6 +30,20 @@ def knn_join_query(spark, sf_dir):
     return rounded(knn_join(e, None, 5, query_id="vec_id", vector="embedding"), {"distance": 6})
 
 
+@query("knn_join_lsh", f"WITH {neighbours_sql(5)} SELECT count(*) AS n_pairs, count(*) AS n_exact_distances, true AS recall_is_high FROM p")
+def knn_join_lsh_query(spark, sf_dir):
+    """Hashed neighbours against the exact ones: as many, true distances, at least 0.9 of them the same."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    pair = ["query_id", "neighbor_id"]
+    hashed = lsh_knn_join(e, None, 5, query_id="vec_id", vector="embedding").drop("rank")
+    exact = knn_join(e, None, 5, query_id="vec_id", vector="embedding").select(*pair, F.lit(1).alias("hit"))
+    v = e.select(F.col("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    both = hashed.join(exact, pair, "left").join(v.toDF("query_id", "a"), "query_id").join(v.toDF("neighbor_id", "b"), "neighbor_id")
+    true = F.sqrt(F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    return both.agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.abs(F.col("distance") - true) < 1e-9).alias("n_exact_distances"),
+                    (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_is_high"))
+
+
 @query("local_outlier_factor", f"WITH {LOF_SQL} SELECT id, round(lof, 8) AS lof FROM lof")
 def local_outlier_factor_query(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")

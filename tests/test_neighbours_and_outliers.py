@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fitmesh.models.neighbours import KNN, KNNModel
 from fitmesh.operators import lookup
 from fitmesh.operators.knn import knn_join
+from fitmesh.operators.lsh import lsh_knn_join
 from fitmesh.operators.outliers import IsolationForest, KMeansOutlier, LocalOutlierFactor, drop_small_groups, local_outlier_factor
 
 
@@ -142,3 +143,55 @@ def test_integer_ids_keep_their_type(spark):
     df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(6)], "id int, features array<double>")
     got = {r["query_id"]: r["neighbor_id"] for r in knn_join(df, None, 1).collect()}
     assert got[0] == 1 and got[5] == 4
+
+
+def recall(got, want):
+    return sum(len({j for _, j in got[i]} & {j for _, j in w}) for i, w in want.items()) / sum(map(len, want.values()))
+
+
+def test_hashed_neighbours_recall_and_distances(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 32)) * 3
+    x = centres[rng.integers(0, 30, 1500)] + rng.normal(size=(1500, 32))
+    got = collected(lsh_knn_join(vectors(spark, x), None, 5, bucket_rows=64))
+    want = brute(x, range(len(x)), x, range(len(x)), 5, True)
+    assert {i: len(g) for i, g in got.items()} == {i: 5 for i in want} and recall(got, want) >= 0.9
+    assert all(np.isclose(d, np.sqrt(((x[i] - x[j]) ** 2).sum())) for i, g in got.items() for d, j in g)
+
+
+def test_hashed_neighbours_of_other_rows_copies_and_few_points(spark):
+    rng = np.random.default_rng(4)
+    base = np.concatenate([np.zeros((400, 3)), rng.normal(size=(100, 3)), np.full((3, 3), 1e6)])
+    asked = np.concatenate([np.zeros((50, 3)), rng.normal(size=(40, 3)), [[1e6, 1e6, 1e6], [-1e9, 0, 0]]])
+    ids = [f"b{i:04d}" for i in range(len(base))]
+    got = collected(lsh_knn_join(vectors(spark, asked), vectors(spark, base, ids=ids), 4, bucket_rows=16, tables=8))
+    want = brute(asked, range(len(asked)), base, ids, 4, False)
+    assert recall(got, want) >= 0.9
+    same({i: got[i] for i in (0, 49, 90, 91)}, {i: want[i] for i in (0, 49, 90, 91)})  # copies, a far group, and one that finds no bucket
+    few = vectors(spark, base[:3] + [[0, 0, 0], [1, 0, 0], [5, 0, 0]])
+    same(collected(lsh_knn_join(few, None, 5)), brute(base[:3] + [[0, 0, 0], [1, 0, 0], [5, 0, 0]], range(3), base[:3] + [[0, 0, 0], [1, 0, 0], [5, 0, 0]], range(3), 5, True))
+
+
+def test_hashed_work_grows_with_the_rows(spark):
+    from fitmesh.operators import lsh
+
+    def met(n):
+        x = np.random.default_rng(n).normal(size=(n, 64))
+        points = vectors(spark, x).select(F.col("id").alias("pid"), F.col("features").alias("vec"))
+        t = lsh._Tables(np.zeros(64), 8.0, 4, 2.0, 1)
+        buckets, levels = lsh._bucketed(points, t, 64)
+        probed = points.withColumnRenamed("pid", "qid").mapInArrow(lsh._probe_keys(t, levels, 2), "qid long, key long").distinct()
+        return probed.join(buckets, "key").count()
+
+    assert met(3200) < 3 * met(1600)
+
+
+def test_hashed_neighbours_in_regression_and_density(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 8))
+    x[:5] += 40 + 20 * np.arange(5)[:, None]
+    df = vectors(spark, x, x[:, 0])
+    exact, hashed = (KNN(algorithm=a).fit(df).transform(df).toPandas().sort_values("id")["prediction"].to_numpy() for a in ("auto", "lsh"))
+    assert np.mean(np.isclose(exact, hashed)) > 0.8
+    out = LocalOutlierFactor(algorithm="lsh").mask(df).where("not is_inlier").select("id").toPandas()["id"]
+    assert set(range(5)) <= set(out)
