@@ -1,38 +1,91 @@
 """Exact order statistics of many columns without sorting the table.
 
-Pass 1 draws bucket limits from a mergeable quantile sketch, pass 2 counts rows
-per bucket, pass 3 looks only at the buckets that hold a requested position and
-ranks their distinct values with counts. Equal values collapse before the
-shuffle, so a hot value costs one row per batch.
+Doubles are read as 64-bit integers of the same order. A pass counts rows by the next bits of that integer, only inside the
+cells that hold a requested position, for all columns in one grouped shuffle; cells that would still send more than
+``_CELL_ROWS`` rows are cut further. What is left is small: a last pass ranks the distinct values of each cell with counts.
+Equal values collapse before every shuffle, so a hot value costs one row per batch, and no task gets more than a cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fitmesh.operators.partials import reduce_arrays
+_CELL_ROWS = 250_000  # rows of one cell in the last shuffle
+_BITS = 8  # a cell is cut into 2**_BITS
+_TOP = np.uint64(1 << 63)
 
-_ROWS_PER_BUCKET = 250_000
-_MAX_BUCKETS = 20_000
-_FEW_BUCKETS = 128
+
+def _ordered(v: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the order of the doubles; both zeros are one value."""
+    u = (v + 0.0).view(np.uint64)
+    return np.where(u & _TOP, ~u, u | _TOP)
+
+
+def _doubles(u: np.ndarray) -> np.ndarray:
+    return np.where(u & _TOP, u ^ _TOP, ~u).view(np.float64)
 
 
 def _batch_columns(batch: pa.RecordBatch, names: Sequence[str]):
+    """Distinct present values of each column, with their counts."""
     for name in names:
         v = batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-        yield name, v[~np.isnan(v)]
+        yield name, *np.unique(_ordered(v[~np.isnan(v)]), return_counts=True)
+
+
+@dataclass
+class _Cell:
+    """Integers from ``low`` whose last ``shift`` bits are free; ``before`` rows lie below, ``wanted`` positions inside."""
+
+    low: int
+    shift: int
+    before: int
+    wanted: list[int]
 
 
-def _sketch(data: DataFrame, names: Sequence[str], buckets: int):
-    """Row count and approximate bucket limits of every column, in one aggregation."""
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    accuracy = F.lit(min(10 * buckets, 200_000))
-    return data.agg(F.count(F.lit(1)).alias("rows"), *[F.percentile_approx(n, grid, accuracy).alias(n) for n in names]).first()
+def _locate(cells: Sequence[_Cell]):
+    """Which of the cells (ascending, apart) a sorted array of integers falls into, and which entries fall into one."""
+    low = np.array([c.low for c in cells], np.uint64)
+    last = np.array([c.low + (1 << c.shift) - 1 for c in cells], np.uint64)
+
+    def run(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(low, u, "right") - 1
+        inside = np.flatnonzero((at >= 0) & (u <= last[at]))
+        return inside, at[inside]
+
+    return run
+
+
+def _children(data: DataFrame, names: Sequence[str], cells: Mapping[str, list[_Cell]], bits: int) -> dict[tuple[int, int], list]:
+    """Per (column, cell) its parts with rows as ``(part, rows, rows a shuffle would carry)``, ascending."""
+
+    def count(batches):
+        find = {n: _locate(cells[n]) for n in names if cells[n]}
+        low = {n: np.array([c.low for c in cells[n]], np.uint64) for n in find}
+        shift = {n: np.array([max(c.shift - bits, 0) for c in cells[n]], np.uint64) for n in find}
+        for b in batches:
+            for n, u, times in _batch_columns(b, list(find)):
+                inside, at = find[n](u)
+                part = ((u[inside] - low[n][at]) >> shift[n][at]).astype(np.int64)
+                if not len(part):
+                    continue
+                key = at << bits | part
+                start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(start), names.index(n)), pa.int32()), pa.array(key[start]),
+                    pa.array(np.add.reduceat(times[inside], start)), pa.array(np.diff(np.append(start, len(key))))], names=["col", "key", "n", "d"])
+
+    out: dict[tuple[int, int], list] = {}
+    counted = data.mapInArrow(count, "col int, key long, n long, d long").groupBy("col", "key").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    # 2**bits rows at most for each cell, and as many cells as positions
+    for r in sorted(counted.collect(), key=lambda r: (r["col"], r["key"])):
+        out.setdefault((r["col"], r["key"] >> bits), []).append((r["key"] & (1 << bits) - 1, r["n"], r["d"]))
+    return out
 
 
 def order_statistics(df: DataFrame, columns: Sequence[str], positions_of) -> tuple[dict[str, int], dict[str, dict[int, float]]]:
@@ -44,44 +97,49 @@ def order_statistics(df: DataFrame, columns: Sequence[str], positions_of) -> tup
     columns = list(columns)
     names = [f"c{i}" for i in range(len(columns))]
     data = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(n) for c, n in zip(columns, names)])
-    sketch = _sketch(data, names, _FEW_BUCKETS)
-    wanted_buckets = int(min(_MAX_BUCKETS, sketch["rows"] // _ROWS_PER_BUCKET))
-    if wanted_buckets > _FEW_BUCKETS:  # a large table gets finer limits from a second look
-        sketch = _sketch(data, names, wanted_buckets)
-    limits = {n: np.unique(np.array(sketch[n] if sketch[n] is not None else [], dtype=float)) for n in names}
-
-    def count(batches):
-        acc = {n: np.zeros(len(limits[n]) + 1) for n in names}
-        for b in batches:
-            for n, v in _batch_columns(b, names):
-                acc[n] += np.bincount(np.searchsorted(limits[n], v, side="right"), minlength=len(acc[n]))
-        return acc
-
-    counts = reduce_arrays(data, count)
-    totals, wanted, before = {}, {}, {}
-    for c, n in zip(columns, names):
-        per = counts.get(n, np.zeros(1))
-        ends = np.cumsum(per).astype(np.int64)
-        totals[c] = int(ends[-1])
-        want = sorted({int(p) for p in positions_of(c, totals[c])}) if totals[c] else []
-        wanted[n] = np.array(want, dtype=np.int64)
-        before[n] = ends - per.astype(np.int64)
-    needed = {n: np.unique(np.searchsorted(before[n], wanted[n], side="right") - 1) if len(wanted[n]) else np.array([], int)
-              for n in names}
+    bits = 16 if len(columns) <= 64 else 12  # sign, exponent and the first bits of the fraction at once
+    open_cells = {n: [_Cell(0, 64, 0, [])] for n in names}
+    ready: dict[str, list[_Cell]] = {n: [] for n in names}
+    found: dict[str, dict[int, float]] = {c: {} for c in columns}
+    totals: dict[str, int] = {}
+    while any(open_cells.values()):
+        parts = _children(data, names, open_cells, bits)
+        for i, (c, n) in enumerate(zip(columns, names)):
+            cut = []
+            for k, cell in enumerate(open_cells[n]):
+                own = parts.get((i, k), [])
+                if c not in totals:
+                    totals[c] = sum(rows for _, rows, _ in own)
+                    cell.wanted = sorted({int(p) for p in positions_of(c, totals[c])}) if totals[c] else []
+                shift, before, at = max(cell.shift - bits, 0), cell.before, 0
+                for part, rows, sent in own:
+                    inside = []
+                    while at < len(cell.wanted) and cell.wanted[at] < before + rows:
+                        inside.append(cell.wanted[at])
+                        at += 1
+                    one = _Cell(cell.low + (part << shift), shift, before, inside)
+                    if inside and shift == 0:
+                        value = float(_doubles(np.array([one.low], np.uint64))[0])
+                        found[c].update(dict.fromkeys(inside, value))
+                    elif inside:
+                        (ready[n] if sent <= _CELL_ROWS else cut).append(one)
+                    before += rows
+            open_cells[n] = cut
+        bits = _BITS
+    if not any(ready.values()):
+        return totals, found
+
+    cells = {n: sorted(ready[n], key=lambda c: c.low) for n in names}
 
     def tally(batches):
+        find = {n: _locate(cells[n]) for n in names if cells[n]}
         for b in batches:
-            for i, (n, v) in enumerate(_batch_columns(b, names)):
-                if not len(needed[n]) or not len(v):
-                    continue
-                cell = np.searchsorted(limits[n], v, side="right")
-                v = v[np.isin(cell, needed[n])]
-                if len(v):
-                    values, times = np.unique(v, return_counts=True)
+            for n, u, times in _batch_columns(b, list(find)):
+                inside, at = find[n](u)
+                if len(inside):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(values), i), pa.int32()),
-                        pa.array(np.searchsorted(limits[n], values, side="right"), pa.int32()),
-                        pa.array(values), pa.array(times, pa.int64())], names=["col", "cell", "value", "times"])
+                        pa.array(np.full(len(inside), names.index(n)), pa.int32()), pa.array(at, pa.int32()),
+                        pa.array(_doubles(u[inside])), pa.array(times[inside])], names=["col", "cell", "value", "times"])
 
     distinct = data.mapInArrow(tally, "col int, cell int, value double, times long") \
         .groupBy("col", "cell", "value").agg(F.sum("times").alias("times"))
@@ -89,6 +147,8 @@ def order_statistics(df: DataFrame, columns: Sequence[str], positions_of) -> tup
     running = distinct.select("col", "cell", "value", "times", F.sum("times").over(window).alias("upto"))
 
     def pick(batches):
+        before = {n: np.array([c.before for c in cells[n]], np.int64) for n in names}
+        wanted = {n: np.array(sorted(p for c in cells[n] for p in c.wanted), np.int64) for n in names}
         for b in batches:
             col, cell = b.column("col").to_numpy(), b.column("cell").to_numpy()
             value, times, upto = (b.column(c).to_numpy() for c in ("value", "times", "upto"))
@@ -105,11 +165,9 @@ def order_statistics(df: DataFrame, columns: Sequence[str], positions_of) -> tup
                                                       pa.array(wanted[n][at]), pa.array(value[rows][hit])],
                                                      names=["col", "position", "value"])
 
-    found: dict[str, dict[int, float]] = {c: {} for c in columns}
-    if any(len(w) for w in wanted.values()):
-        # one row per requested position
-        for r in running.mapInArrow(pick, "col int, position long, value double").collect():
-            found[columns[r["col"]]][r["position"]] = r["value"]
+    # one row per requested position
+    for r in running.mapInArrow(pick, "col int, position long, value double").collect():
+        found[columns[r["col"]]][r["position"]] = r["value"]
     return totals, found
 
 

@@ -221,6 +221,39 @@ def quantile_transform(spark, sf_dir):
     return out.select("id", F.round(F.col("features")[0], 5).alias("price"))
 
 
+def _polynomial(coefficients: list[float], x: str) -> str:
+    out = str(coefficients[0])
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c})"
+    return out
+
+
+# fixed values: rational approximation of the inverse normal CDF, relative error below 1.2e-9
+_PPF_A = [-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239]
+_PPF_B = [-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0]
+_PPF_C = [-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783]
+_PPF_D = [0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0]
+
+
+@query("quantile_transform_normal", f"""
+WITH {LI}, g AS (SELECT quantile_cont(price, [{", ".join(f"{i}/999::DOUBLE" for i in range(1000))}]) AS q FROM li),
+c AS (SELECT l_returnflag, price, q, greatest(1, least(999, len(list_filter(q, lambda v: v <= price)))) AS i FROM li, g),
+u AS (SELECT l_returnflag, greatest(1e-7::DOUBLE, least(1 - 1e-7::DOUBLE, CASE WHEN price <= q[1] THEN 0.0 WHEN price >= q[1000] THEN 1.0
+  ELSE (i - 1) / 999.0::DOUBLE + (price - q[i]) / (q[i + 1] - q[i]) / 999.0::DOUBLE END)) AS p FROM c),
+t AS (SELECT *, least(p, 1 - p) AS h, sqrt(-2 * ln(least(p, 1 - p))) AS r, p - 0.5 AS m FROM u),
+z AS (SELECT l_returnflag, CASE WHEN h < 0.02425 THEN sign(0.5 - p) * {_polynomial(_PPF_C, "r")} / {_polynomial(_PPF_D, "r")}
+  ELSE m * {_polynomial(_PPF_A, "(m * m)")} / {_polynomial(_PPF_B, "(m * m)")} END AS z FROM t)
+SELECT l_returnflag, count(*) AS n, round(avg(z), 6) AS mean, round(stddev_pop(z), 6) AS deviation, round(min(z), 6) AS least, round(max(z), 6) AS most
+FROM z GROUP BY l_returnflag""")
+def quantile_transform_normal(spark, sf_dir):
+    """The default grid of 1000 points and the normal scale, summed up by flag."""
+    v = assemble(lines(spark, sf_dir, "l_returnflag"), ["price"])
+    z = F.col("features")[0]
+    out = QuantileTransform(output="normal").fit(v).transform(v)
+    return out.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), *[F.round(f(z), 6).alias(c) for f, c in (
+        (F.avg, "mean"), (F.stddev_pop, "deviation"), (F.min, "least"), (F.max, "most"))])
+
+
 _AXES = f"""{LI}, v AS (SELECT id, price / 1e3 AS a, label / 1e3 AS b FROM li),
 m AS (SELECT avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab FROM v),
 e AS (SELECT *, (aa + bb) / 2 + sqrt(pow((aa - bb) / 2, 2) + ab * ab) AS l1, (aa + bb) / 2 - sqrt(pow((aa - bb) / 2, 2) + ab * ab) AS l2 FROM m),

@@ -44,8 +44,7 @@ def test_large_lookup_keeps_every_row_of_a_hot_key(spark, monkeypatch):
 
 @pytest.mark.parametrize("rows_per_bucket", [250_000, 3])
 def test_order_statistics_match_sorting(spark, monkeypatch, rows_per_bucket):
-    monkeypatch.setattr(orderstats, "_ROWS_PER_BUCKET", rows_per_bucket)
-    monkeypatch.setattr(orderstats, "_FEW_BUCKETS", 16)
+    monkeypatch.setattr(orderstats, "_CELL_ROWS", rows_per_bucket)
     rng = np.random.default_rng(3)
     a = np.where(rng.random(900) < 0.4, 5.0, rng.normal(size=900))  # one value holds 40% of the rows
     b = rng.integers(0, 4, 900).astype(float)
@@ -59,6 +58,15 @@ def test_order_statistics_match_sorting(spark, monkeypatch, rows_per_bucket):
     assert np.allclose(q["a"], np.quantile(a, [0.0, 0.1, 0.5, 0.99, 1.0]))
 
 
+def test_order_statistics_of_signs_zeros_infinities_and_one_hot_value(spark, monkeypatch):
+    monkeypatch.setattr(orderstats, "_CELL_ROWS", 20)
+    inf = float("inf")
+    a = [-inf, -1e300, -1.5, -1e-300, -0.0, 0.0, 5e-324, 1e-300, 1.5, 1.5 + 2**-52, 1e300, inf] + [7.25] * 400
+    df = spark.createDataFrame([(x, None) for x in a], "a double, b double").repartition(30)
+    totals, found = order_statistics(df, ["a", "b"], lambda c, n: range(n))
+    assert totals == {"a": len(a), "b": 0} and [found["a"][i] for i in range(len(a))] == sorted(a) and found["b"] == {}
+
+
 def test_scalers_on_known_values(spark):
     df = vectors(spark, [[1.0], [2.0], [4.0], [9.0]])
     std = StandardScale().fit(df)
