@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import regression as ml
 from pyspark.ml.base import Model
 from pyspark.ml.param import TypeConverters
@@ -150,35 +148,3 @@ class GradientBoosting(TreeRegressor):
 
     def native(self):
         return _boosted(self.get("n_estimators"), self.get("learning_rate"), _depth(self.get("max_depth")))
-
-
-class XGBoost(TreeRegressor):
-    """Boosted trees under that library's parameter names and defaults.
-
-    Fitted by Spark's first-order boosting: no second-order gain, no leaf penalty.
-    """
-
-    n_estimators = param("n_estimators", "boosting rounds", TypeConverters.toInt)
-    learning_rate = param("learning_rate", "shrinkage", TypeConverters.toFloat)
-    max_depth = param("max_depth", "tree depth", TypeConverters.toInt)
-    subsample = param("subsample", "share of rows per round", TypeConverters.toFloat)
-    DEFAULTS = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "subsample": 1.0}
-
-    def native(self):
-        return _boosted(self.get("n_estimators"), self.get("learning_rate"), _depth(self.get("max_depth")), self.get("subsample"))
-
-
-class LightGBM(TreeRegressor):
-    """Boosted trees under that library's parameter names; depth follows ``num_leaves``, growth is level by level."""
-
-    n_estimators = param("n_estimators", "boosting rounds", TypeConverters.toInt)
-    learning_rate = param("learning_rate", "shrinkage", TypeConverters.toFloat)
-    num_leaves = param("num_leaves", "leaves per tree", TypeConverters.toInt)
-    max_depth = param("max_depth", "-1: no further limit", TypeConverters.toInt)
-    DEFAULTS = {"n_estimators": 100, "learning_rate": 0.1, "num_leaves": 31, "max_depth": -1}
-
-    def native(self):
-        depth = math.ceil(math.log2(max(2, self.get("num_leaves"))))
-        if self.get("max_depth") > 0:
-            depth = min(depth, self.get("max_depth"))
-        return _boosted(self.get("n_estimators"), self.get("learning_rate"), _depth(depth))

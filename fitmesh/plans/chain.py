@@ -16,7 +16,8 @@ from fitmesh.models.linear import OLS, ElasticNet, Lasso, Ridge
 from fitmesh.models.mlp import MLP
 from fitmesh.models.neighbours import KNN
 from fitmesh.models.svr import SVR
-from fitmesh.models.trees import DecisionTree, GradientBoosting, LightGBM, RandomForest, XGBoost
+from fitmesh.models.boosting import LightGBM, XGBoost
+from fitmesh.models.trees import DecisionTree, GradientBoosting, RandomForest
 from fitmesh.operators.outliers import IsolationForest, KMeansOutlier, LocalOutlierFactor, OutlierEstimator
 from fitmesh.operators.reduce import PCA
 from fitmesh.operators.scale import QuantileTransform, RobustScale, StandardScale

@@ -12,7 +12,8 @@ from fitmesh.models.linear import OLS, ElasticNet, Lasso, Ridge
 from fitmesh.models.mlp import MLP
 from fitmesh.models.neighbours import KNN
 from fitmesh.models.svr import SVR
-from fitmesh.models.trees import DecisionTree, GradientBoosting, LightGBM, RandomForest, XGBoost
+from fitmesh.models.boosting import LightGBM, XGBoost
+from fitmesh.models.trees import DecisionTree, GradientBoosting, RandomForest
 from fitmesh.operators.splits import holdout_split, repeated_kfold
 from fitmesh.plans.chain import Chain
 from fitmesh.plans.crossval import cross_validate, cross_validate_keep_best, cross_validate_summary
@@ -246,8 +247,8 @@ def _stump(name, estimator):
 
 
 _stump("random_forest_stump", lambda: RandomForest(n_estimators=1, max_depth=1, bootstrap=False))
-_stump("xgboost_stump", lambda: XGBoost(n_estimators=1, max_depth=1))
-_stump("lightgbm_stump", lambda: LightGBM(n_estimators=1, num_leaves=2))
+_stump("xgboost_stump", lambda: XGBoost(n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=0.0))
+_stump("lightgbm_stump", lambda: LightGBM(n_estimators=1, num_leaves=2, learning_rate=1.0))
 _stump("adaboost_stump", lambda: AdaBoost(n_estimators=1, max_depth=1))
 
 
@@ -262,6 +263,45 @@ def gradient_boosting_two_rounds(spark, sf_dir):
     return m.transform(v).select("id", F.round("prediction", 2).alias("prediction"))
 
 
+def _best_split_sql(name: str, source: str, penalty: float, least: int = 1, group: str = "") -> str:
+    """Best split (column, cut, gain, leaf values) of the residuals ``r`` of a relation, for each value of ``group``."""
+    by = f"{group}, " if group else ""
+    part = f"PARTITION BY {group}" if group else ""
+    sides = " UNION ALL ".join(f"SELECT {by}'{c}' AS col, {c} AS cut, count(*) AS n, sum(r) AS s FROM {source} GROUP BY {by}{c}" for c in ("disc", "tax"))
+    score = f"sl * sl / (nl + {penalty}) + (s - sl) * (s - sl) / (n - nl + {penalty}) - s * s / (n + {penalty})"
+    return f"""{name} AS (SELECT {by}col, cut, {score} AS gain, sl / (nl + {penalty}) AS lo, (s - sl) / (n - nl + {penalty}) AS hi
+  FROM (SELECT {by}col, cut, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER v AS n, sum(s) OVER v AS s FROM ({sides}) t
+    WINDOW w AS (PARTITION BY {by}col ORDER BY cut), v AS (PARTITION BY {by}col)) t
+  WHERE nl >= {least} AND n - nl >= {least} QUALIFY row_number() OVER ({part} ORDER BY gain DESC) = 1)"""
+
+
+def _goes(b: str, value_low: str, value_high: str) -> str:
+    return f"CASE WHEN CASE {b}.col WHEN 'disc' THEN disc ELSE tax END <= {b}.cut THEN {value_low} ELSE {value_high} END"
+
+
+@query("xgboost_two_rounds", f"""
+WITH {LI}, r0 AS (SELECT id, disc, tax, label, avg(label) OVER () AS m, label - avg(label) OVER () AS r FROM li), {_best_split_sql("b1", "r0", 1.0)},
+r1 AS (SELECT id, disc, tax, label, m + 0.3 * {_goes("b1", "b1.lo", "b1.hi")} AS m, label - (m + 0.3 * {_goes("b1", "b1.lo", "b1.hi")}) AS r FROM r0, b1), {_best_split_sql("b2", "r1", 1.0)}
+SELECT id, round(m + 0.3 * {_goes("b2", "b2.lo", "b2.hi")}, 2) AS prediction FROM r1, b2""")
+def xgboost_two_rounds(spark, sf_dir):
+    """Two stumps at the default rate and penalty."""
+    v = with_features(lines(spark, sf_dir), ["disc", "tax"], "id")
+    m = XGBoost(n_estimators=2, max_depth=1).fit(v)
+    return m.transform(v).select("id", F.round("prediction", 2).alias("prediction"))
+
+
+@query("lightgbm_three_leaves", f"""
+WITH {LI}, r0 AS (SELECT id, disc, tax, label, avg(label) OVER () AS m, label - avg(label) OVER () AS r FROM li), {_best_split_sql("b1", "r0", 0.0, 20)},
+r1 AS (SELECT r0.*, {_goes("b1", "0", "1")} AS side FROM r0, b1), {_best_split_sql("b2", "r1", 0.0, 20, "side")},
+o AS (SELECT * FROM b2 ORDER BY gain DESC LIMIT 1)
+SELECT id, round(m + CASE WHEN r1.side = o.side THEN {_goes("o", "o.lo", "o.hi")} ELSE CASE r1.side WHEN 0 THEN b1.lo ELSE b1.hi END END, 2) AS prediction FROM r1, b1, o""")
+def lightgbm_three_leaves(spark, sf_dir):
+    """One leaf-wise tree: only the side with the larger gain is split again."""
+    v = with_features(lines(spark, sf_dir), ["disc", "tax"], "id")
+    m = LightGBM(n_estimators=1, num_leaves=3, learning_rate=1.0).fit(v)
+    return m.transform(v).select("id", F.round("prediction", 2).alias("prediction"))
+
+
 @query("extra_trees_two_values", f"""
 WITH {LI} SELECT id, round(avg(label) OVER (PARTITION BY l_returnflag = 'R'), 2) AS prediction FROM li""")
 def extra_trees_two_values(spark, sf_dir):

@@ -8,7 +8,8 @@ from fitmesh.models.grouped import fit_by_group, predict_by_group
 from fitmesh.models.linear import OLS, ElasticNet, Lasso, LinearModel, Ridge
 from fitmesh.models.mlp import MLP, MLPModel
 from fitmesh.models.svr import SVR, SVRModel
-from fitmesh.models.trees import DecisionTree, GradientBoosting, LightGBM, NativeTreeModel, RandomForest, XGBoost
+from fitmesh.models.boosting import BoostedModel, LightGBM, XGBoost
+from fitmesh.models.trees import DecisionTree, GradientBoosting, NativeTreeModel, RandomForest
 from fitmesh.models.user import UserModel, UserRegressor
 from fitmesh.queries.outputs import mean_finish, mean_partial, mean_predict
 
@@ -64,7 +65,7 @@ def test_one_row_and_empty_input(spark):
 FAMILIES = [
     (DecisionTree(max_depth=8), NativeTreeModel, 0.9), (RandomForest(n_estimators=10, max_depth=8), NativeTreeModel, 0.9),
     (GradientBoosting(n_estimators=15, learning_rate=0.5), NativeTreeModel, 0.9),
-    (XGBoost(n_estimators=8, max_depth=5), NativeTreeModel, 0.9), (LightGBM(n_estimators=8, num_leaves=32, learning_rate=0.5), NativeTreeModel, 0.9),
+    (XGBoost(n_estimators=8, max_depth=5), BoostedModel, 0.9), (LightGBM(n_estimators=8, num_leaves=32, learning_rate=0.5), BoostedModel, 0.9),
     (AdaBoost(n_estimators=6, max_depth=5), AdaBoostModel, 0.8), (ExtraTrees(n_estimators=15, max_depth=9), ExtraTreesModel, 0.9),
     (SVR(C=10.0, n_components=100, max_iter=10), SVRModel, 0.95), (MLP(hidden_layer_sizes=[20], solver="lbfgs", max_iter=25), MLPModel, 0.85),
     (MLP(hidden_layer_sizes=[20], max_iter=30), MLPModel, 0.6),
@@ -83,6 +84,63 @@ def test_family_reaches_its_floor_and_reloads(spark, tmp_path, estimator, cls, f
     assert np.allclose(predictions(cls.load(str(tmp_path / "m")), test), p)
 
 
+def plain_boosting(x, y, rounds, rate, penalty, least, leaves, depth):
+    """Boosting with exact splits, in plain Python."""
+    p = np.full(len(y), y.mean())
+    for _ in range(rounds):
+        r = y - p
+
+        def best(rows):
+            out = None
+            for f in range(x.shape[1]):
+                for cut in np.unique(x[rows, f])[:-1]:
+                    go = x[rows, f] <= cut
+                    if go.sum() >= least and (~go).sum() >= least:
+                        score = lambda v: v.sum() ** 2 / (len(v) + penalty)
+                        gain = score(r[rows][go]) + score(r[rows][~go]) - score(r[rows])
+                        if gain > 1e-9 and (out is None or gain > out[0] + 1e-9):
+                            out = (gain, rows[go], rows[~go])
+            return out
+
+        final, queue = [], [(np.arange(len(y)), 0)]
+        done = [(best(rows), rows, d) for rows, d in queue]
+        while True:
+            able = [n for n in done if n[0] is not None and (depth <= 0 or n[2] < depth)]
+            if not able or (leaves is not None and len(done) >= leaves):
+                break
+            node = max(able, key=lambda n: n[0][0])
+            done = [n for n in done if n is not node] + [(best(rows), rows, node[2] + 1) for rows in node[0][1:]]
+        for _, rows, _ in done:
+            p[rows] += rate * r[rows].sum() / (len(rows) + penalty)
+    return p
+
+
+@pytest.mark.parametrize("estimator, leaves, depth, penalty, least", [
+    (XGBoost(n_estimators=10, max_depth=3, learning_rate=0.5), None, 3, 1.0, 1), (XGBoost(n_estimators=2, max_depth=0, reg_lambda=5.0, min_child_weight=6.0), None, 0, 5.0, 6),
+    (LightGBM(n_estimators=9, num_leaves=5, learning_rate=0.5, min_child_samples=3), 5, -1, 0.0, 3), (LightGBM(n_estimators=2, num_leaves=9, max_depth=2, reg_lambda=2.0), 9, 2, 2.0, 20)])
+def test_boosting_equals_plain_python(spark, monkeypatch, estimator, leaves, depth, penalty, least):
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, 9, 160), rng.normal(size=160), np.zeros(160)]).astype(float)
+    y = x[:, 0] ** 2 + 3 * np.sin(2 * x[:, 1]) + rng.normal(0, 0.1, 160)
+    rounds, rate = estimator.get("n_estimators"), estimator.get("learning_rate")
+    want = plain_boosting(x, y, rounds, rate, penalty, least, leaves, depth)
+    df = vectors(spark, x, y)
+    assert np.allclose(predictions(estimator.fit(df), df), want)
+    monkeypatch.setattr("fitmesh.models.boosting._STATE_BYTES", 1)  # one open node a pass
+    assert np.allclose(predictions(estimator.fit(df), df), want)
+
+
+def test_boosting_subsamples_rows_and_handles_constant_data(spark):
+    x, y = signal(800)
+    df = vectors(spark, x, y)
+    some, whole = (predictions(XGBoost(n_estimators=3, subsample=s).fit(df), df) for s in (0.5, 1.0))
+    assert not np.allclose(some, whole) and r2(y, some) > 0.4
+    flat = vectors(spark, np.ones((30, 2)), np.full(30, 4.0))
+    assert np.allclose(predictions(LightGBM(n_estimators=2).fit(flat), flat), 4.0)
+    with pytest.raises(ValueError):
+        XGBoost().fit(vectors(spark, np.zeros((0, 2))))
+
+
 def test_extra_trees_do_not_depend_on_partitioning(spark):
     x, y = signal(300)
     new = vectors(spark, x[:20])
