@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fitmesh.functions.vectors import as_vector, matrix
 from fitmesh.models.base import ColumnNames, Configurable, Regressor, param, score_model
-from fitmesh.models.trees import DecisionTree, NativeTreeModel
+from fitmesh.models.trees import BinnedTree, NativeTreeModel
 from fitmesh.session import durable, held
 
 _CUT_LINEAGE_EVERY = 5
@@ -117,7 +117,7 @@ class AdaBoost(Regressor, HasSeed):
         trees, votes = [], []
         try:
             for i in range(self.get("n_estimators")):
-                tree = DecisionTree(max_depth=self.get("max_depth"), seed=self.getSeed() + i).weighted("_w").fit(data)
+                tree = BinnedTree(max_depth=self.get("max_depth"), seed=self.getSeed() + i).weighted("_w").fit(data)
                 scored = tree.transform(data)
                 top, loss = loss_summary(scored, label, "prediction", "_w")
                 if loss <= 0.0:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import regression as ml
 from pyspark.ml.base import Model
 from pyspark.ml.param import TypeConverters
@@ -9,8 +11,9 @@ from pyspark.ml.param.shared import HasSeed
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 
-from fitmesh.functions.vectors import as_vector
+from fitmesh.functions.vectors import as_vector, width
 from fitmesh.models.base import ColumnNames, Configurable, Regressor, param, score_model
+from fitmesh.models.cart import TreesModel, grow_trees
 from fitmesh.session import held
 
 DEEPEST = 30  # Spark ML's limit; stands for an unlimited depth
@@ -109,34 +112,56 @@ def _boosted(rounds: int, rate: float, depth: int, subsample: float = 1.0) -> ml
     return ml.GBTRegressor(maxIter=rounds, stepSize=rate / 2.0, maxDepth=depth, subsamplingRate=subsample, lossType="squared")
 
 
-def _leaf_size(min_samples_split: int) -> int:
-    """Spark bounds the children, not the parent: both children of a splittable node hold at least half."""
-    return max(1, int(min_samples_split) // 2)
+class DecisionTree(Regressor, HasSeed):
+    """Exact splits, grown until leaves are pure or nodes have fewer than ``min_samples_split`` rows."""
+
+    max_depth = param("max_depth", "None: no limit")
+    min_samples_split = param("min_samples_split", "rows a node needs to be split", TypeConverters.toInt)
+    DEFAULTS = {"max_depth": None, "min_samples_split": 2, "seed": 42}
+
+    def _fit(self, df: DataFrame) -> TreesModel:
+        depth = self.get("max_depth")
+        return self._hand_over(TreesModel(grow_trees(df, self.getFeaturesCol(), self.getLabelCol(), 1, None if depth is None else int(depth),
+                                                     self.get("min_samples_split"), None, False, self.getSeed())))
+
 
+class BinnedTree(TreeRegressor):
+    """Spark's tree on binned thresholds; takes row weights."""
 
-class DecisionTree(TreeRegressor):
     max_depth = param("max_depth", "None: as deep as Spark allows")
-    min_samples_split = param("min_samples_split", "rows a node needs to be split", TypeConverters.toInt)
-    DEFAULTS = {"max_depth": None, "min_samples_split": 2}
+    DEFAULTS = {"max_depth": None}
 
     def native(self):
-        return ml.DecisionTreeRegressor(maxDepth=_depth(self.get("max_depth")),
-                                        minInstancesPerNode=_leaf_size(self.get("min_samples_split")))
+        return ml.DecisionTreeRegressor(maxDepth=_depth(self.get("max_depth")))
 
 
 class RandomForest(TreeRegressor):
+    """Spark's forest where it can honour the settings; exact trees for ``min_samples_split`` above 2 or depths above Spark's limit."""
+
     n_estimators = param("n_estimators", "trees", TypeConverters.toInt)
-    max_depth = param("max_depth", "None: as deep as Spark allows")
+    max_depth = param("max_depth", "None: no limit")
     min_samples_split = param("min_samples_split", "rows a node needs to be split", TypeConverters.toInt)
     max_features = param("max_features", "sqrt, log2, None (all) or a share")
     bootstrap = param("bootstrap", "resample rows per tree", TypeConverters.toBoolean)
     DEFAULTS = {"n_estimators": 100, "max_depth": None, "min_samples_split": 2, "max_features": None, "bootstrap": True}
 
+    def _fit(self, df: DataFrame):
+        depth = self.get("max_depth")
+        if depth is not None and int(depth) <= DEEPEST and self.get("min_samples_split") <= 2:
+            return super()._fit(df)
+        p = width(df, self.getFeaturesCol())
+        wanted = self.get("max_features")
+        count = {"sqrt": int(math.sqrt(p)), "log2": int(math.log2(p))}.get(str(wanted)) if isinstance(wanted, str) and not wanted.replace(".", "").isdigit() else None
+        if wanted is not None and count is None:
+            count = int(float(wanted) * p)
+        return self._hand_over(TreesModel(grow_trees(
+            df, self.getFeaturesCol(), self.getLabelCol(), self.get("n_estimators"), None if depth is None else int(depth), self.get("min_samples_split"),
+            None if count is None else max(1, min(p, count)), self.get("bootstrap"), self.getSeed())))
+
     def native(self):
         wanted = self.get("max_features")
         strategy = "all" if wanted in (None, 1.0) else str(wanted)
         return ml.RandomForestRegressor(numTrees=self.get("n_estimators"), maxDepth=_depth(self.get("max_depth")),
-                                        minInstancesPerNode=_leaf_size(self.get("min_samples_split")),
                                         featureSubsetStrategy=strategy, bootstrap=self.get("bootstrap"))
 
 

@@ -302,6 +302,15 @@ def lightgbm_three_leaves(spark, sf_dir):
     return m.transform(v).select("id", F.round("prediction", 2).alias("prediction"))
 
 
+@query("decision_tree_two_levels", f"""
+WITH {LI}, r0 AS (SELECT id, disc, tax, label AS r, avg(label) OVER () AS m FROM li), {_best_split_sql("b1", "r0", 0.0)},
+r1 AS (SELECT r0.*, {_goes("b1", "0", "1")} AS side FROM r0, b1), {_best_split_sql("b2", "r1", 0.0, 1, "side")}
+SELECT id, round({_goes("b2", "b2.lo", "b2.hi")}, 2) AS prediction FROM r1 JOIN b2 USING (side)""")
+def decision_tree_two_levels(spark, sf_dir):
+    v = with_features(lines(spark, sf_dir), ["disc", "tax"], "id")
+    return DecisionTree(max_depth=2).fit(v).transform(v).select("id", F.round("prediction", 2).alias("prediction"))
+
+
 @query("extra_trees_two_values", f"""
 WITH {LI} SELECT id, round(avg(label) OVER (PARTITION BY l_returnflag = 'R'), 2) AS prediction FROM li""")
 def extra_trees_two_values(spark, sf_dir):

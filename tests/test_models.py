@@ -8,6 +8,8 @@ from fitmesh.models.grouped import fit_by_group, predict_by_group
 from fitmesh.models.linear import OLS, ElasticNet, Lasso, LinearModel, Ridge
 from fitmesh.models.mlp import MLP, MLPModel
 from fitmesh.models.svr import SVR, SVRModel
+from fitmesh.models import cart
+from fitmesh.models.cart import TreesModel
 from fitmesh.models.boosting import BoostedModel, LightGBM, XGBoost
 from fitmesh.models.trees import DecisionTree, GradientBoosting, NativeTreeModel, RandomForest
 from fitmesh.models.user import UserModel, UserRegressor
@@ -63,7 +65,7 @@ def test_one_row_and_empty_input(spark):
 
 
 FAMILIES = [
-    (DecisionTree(max_depth=8), NativeTreeModel, 0.9), (RandomForest(n_estimators=10, max_depth=8), NativeTreeModel, 0.9),
+    (DecisionTree(max_depth=8), TreesModel, 0.9), (RandomForest(n_estimators=10, min_samples_split=4), TreesModel, 0.9), (RandomForest(n_estimators=10, max_depth=8), NativeTreeModel, 0.9),
     (GradientBoosting(n_estimators=15, learning_rate=0.5), NativeTreeModel, 0.9),
     (XGBoost(n_estimators=8, max_depth=5), BoostedModel, 0.9), (LightGBM(n_estimators=8, num_leaves=32, learning_rate=0.5), BoostedModel, 0.9),
     (AdaBoost(n_estimators=6, max_depth=5), AdaBoostModel, 0.8), (ExtraTrees(n_estimators=15, max_depth=9), ExtraTreesModel, 0.9),
@@ -130,6 +132,59 @@ def test_boosting_equals_plain_python(spark, monkeypatch, estimator, leaves, dep
     assert np.allclose(predictions(estimator.fit(df), df), want)
 
 
+def plain_tree(x, y, depth, least):
+    p = np.zeros(len(y))
+
+    def grow(rows, level):
+        p[rows] = y[rows].mean()
+        best = None
+        if len(rows) >= max(least, 2) and (depth is None or level < depth):
+            for f in range(x.shape[1]):
+                for cut in np.unique(x[rows, f])[:-1]:
+                    go = x[rows, f] <= cut
+                    lost = y[rows][go].var() * go.sum() + y[rows][~go].var() * (~go).sum()
+                    if best is None or lost < best[0] - 1e-9:
+                        best = (lost, rows[go], rows[~go])
+        if best is not None and best[0] < y[rows].var() * len(rows) - 1e-12:
+            grow(best[1], level + 1)
+            grow(best[2], level + 1)
+
+    grow(np.arange(len(y)), 0)
+    return p
+
+
+@pytest.mark.parametrize("depth, least, hand_over", [(None, 2, 20_000), (None, 10, 20_000), (3, 2, 20_000), (None, 7, 40), (4, 2, 25)])
+def test_tree_equals_plain_python(spark, monkeypatch, depth, least, hand_over):
+    monkeypatch.setattr(cart, "HAND_OVER", hand_over)
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 30, 150), rng.normal(size=150), np.ones(150)]).astype(float)
+    y = x[:, 0] * 2 + np.sin(3 * x[:, 1]) + rng.normal(0, 0.1, 150)
+    df = vectors(spark, x, y)
+    assert np.allclose(predictions(DecisionTree(max_depth=depth, min_samples_split=least).fit(df), df), plain_tree(x, y, depth, least))
+
+
+def test_a_node_of_ten_is_cut_one_to_nine(spark):
+    y = np.array([0.0] * 9 + [100.0])
+    df = vectors(spark, np.arange(10.0)[:, None], y)
+    assert np.allclose(predictions(DecisionTree(min_samples_split=10).fit(df), df), y)
+    assert np.allclose(predictions(DecisionTree(min_samples_split=11).fit(df), df), 10.0)
+
+
+def test_deep_trees_and_bootstrap(spark, monkeypatch):
+    n = 60
+    y = np.where(np.arange(n) % 2, 1.0, -1.0) * 2.0 ** np.arange(n)  # each cut takes off the last value: depth n - 1
+    df = vectors(spark, np.arange(float(n))[:, None], y)
+    assert np.allclose(predictions(DecisionTree().fit(df), df), y)
+    w = cart.bootstrap_weights(np.random.default_rng(1).integers(0, 2**63, 100_000).astype(np.uint64), 3)
+    assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.03 and abs((w == 0).mean() - np.exp(-1)) < 0.01
+    x, y = signal(400)
+    df = vectors(spark, x, y)
+    a = predictions(RandomForest(n_estimators=3, bootstrap=False).fit(df), df)
+    monkeypatch.setattr(cart, "HAND_OVER", 50)
+    b = predictions(RandomForest(n_estimators=8, max_features="sqrt").fit(df), df)
+    assert np.allclose(a, y) and r2(y, b) > 0.7
+
+
 def test_boosting_subsamples_rows_and_handles_constant_data(spark):
     x, y = signal(800)
     df = vectors(spark, x, y)
