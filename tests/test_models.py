@@ -217,6 +217,26 @@ def test_extra_trees_without_depth_grow_until_leaves_are_pure(spark, monkeypatch
     assert np.allclose(predictions(parts, new), predictions(same, new))
 
 
+def test_extra_trees_hand_small_nodes_over(spark, monkeypatch):
+    monkeypatch.setattr("fitmesh.models.extratrees.HAND_OVER", 60)
+    x, y = signal(500)
+    new = vectors(spark, x[:50])
+    a, b = (ExtraTrees(n_estimators=3).fit(vectors(spark, x, y, partitions=k)) for k in (2, 7))
+    assert np.allclose(predictions(a, new), predictions(b, new)) and np.allclose(predictions(a, vectors(spark, x)), y)
+    shallow = ExtraTrees(n_estimators=2, max_depth=9).fit(vectors(spark, x, y))
+    depth = np.zeros(len(shallow.state["tree"]), int)
+    roots = np.flatnonzero(np.r_[True, np.diff(shallow.state["tree"]) > 0])
+    for root, end in zip(roots, [*roots[1:], len(depth)]):
+        stack = [root]
+        while stack:
+            k = stack.pop()
+            for child in (shallow.state["left"][k], shallow.state["right"][k]):
+                if child >= 0:
+                    depth[root + int(child)] = depth[k] + 1
+                    stack.append(root + int(child))
+    assert depth.max() == 9
+
+
 def test_svr_ignores_a_gross_outlier(spark):
     x = np.linspace(-1, 1, 101)[:, None]
     y = 2 * x[:, 0] + 1
