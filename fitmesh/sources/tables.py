@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -79,17 +80,24 @@ def load_pair(spark: SparkSession, predictors: str, target: str, key: Sequence[s
 
 
 def dataset_sweep(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], parallelism: int = 1) -> DataFrame:
-    """``(dataset, status, error)`` plus the columns of each job's one-row result; a failing dataset does not stop the rest."""
+    """``(dataset, status, error)`` plus the columns of each job's one-row result, with their types; a failing dataset, a second row or
+    columns unlike those of the first dataset that ended are that dataset's failure and do not stop the rest."""
     from fitmesh.plans.parallel import run_limited
 
     names = list(jobs)
-    outcomes = run_limited(spark, [lambda n=n: jobs[n]().take(2) for n in names], parallelism)
-    fields = next((o.value[0].__fields__ for o in outcomes if o.status == "ok" and o.value), [])
-    rows = []
+    outcomes = run_limited(spark, [lambda n=n: jobs[n]().limit(2).toArrow() for n in names], parallelism)
+    done = {n: o.value for n, o in zip(names, outcomes) if o.status == "ok"}
+    fields = next(([f.with_nullable(True) for f in t.schema] for t in done.values()), [])
+    rows: list[dict] = []
     for n, o in zip(names, outcomes):
-        if o.status == "ok" and len(o.value) > 1:
-            raise ValueError(f"the job of {n!r} returns more than one row")
-        values = [float(v) if v is not None else None for v in o.value[0]] if o.status == "ok" and o.value else [None] * len(fields)
-        rows.append((n, o.status, o.error, *values))
-    schema = ", ".join(["dataset string, status string, error string", *[f"`{f}` double" for f in fields]])
-    return spark.createDataFrame(rows, schema)
+        status, error, values = o.status, o.error, {}
+        if n in done:
+            if len(done[n]) > 1:
+                status, error = "failed", "the job returns more than one row"
+            elif [f.with_nullable(True) for f in done[n].schema] != fields:
+                status, error = "failed", f"the job returns other columns: {', '.join(f'{f.name} {f.type}' for f in done[n].schema)}"
+            elif len(done[n]):
+                values = done[n].to_pylist()[0]
+        rows.append({"dataset": n, "status": status, "error": error, **values})
+    schema = pa.schema([("dataset", pa.string()), ("status", pa.string()), ("error", pa.string()), *fields])
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))

@@ -127,3 +127,14 @@ def test_profile_counts_missing(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, None), (float("nan"), "b")], "v double, s string")
     rows = {r["column"]: r for r in dataset_profile(df, "v").collect()}
     assert (rows["v"]["n_null"], rows["v"]["n_nan"], rows["s"]["n_null"], rows["s"]["kind"]) == (1, 1, 1, "categorical")
+
+
+def test_a_sweep_keeps_types_and_survives_odd_results(spark):
+    from fitmesh.sources.tables import dataset_sweep
+
+    one = spark.range(1).select(F.lit(7).cast("long").alias("n"), F.lit("text").alias("t"))
+    found = dataset_sweep(spark, {"good": lambda: one, "two": lambda: one.unionAll(one), "other": lambda: one.select("n"), "none": lambda: one.limit(0),
+                                  "broken": lambda: spark.read.parquet("/no/such/path")}, 2)
+    rows = {r["dataset"]: r for r in found.collect()}
+    assert dict(found.dtypes)["n"] == "bigint" and (rows["good"]["n"], rows["good"]["t"], rows["good"]["status"]) == (7, "text", "ok")
+    assert {d: r["status"] for d, r in rows.items()} == {"good": "ok", "two": "failed", "other": "failed", "none": "ok", "broken": "failed"}
