@@ -30,11 +30,14 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     backward windows to its last. Every step is a sum or a join per fingerprint: no list of a fingerprint's places is made.
 
     Null texts stay null (no lines), empty ones stay empty. Rows that repeat id and text are one document and keep the
-    same result. Very long documents are one sort group each; only hashes are sorted.
+    same result. Very long documents are one sort group each; only hashes are sorted. Columns of any name keep their
+    values; only ``n_lines`` and ``n_removed`` are replaced.
     """
-    clash = {"n_lines", "n_removed"} & set(docs.columns)
-    source = docs.drop(*clash).withColumn("_th", F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))))
-    bare = source.select(F.col(id_column).alias("d"), "_th", F.posexplode(_lines(F.col(text_column))).alias("pos", "line"))
+    columns = [c for c in docs.columns if c not in {"n_lines", "n_removed"}]
+    text = F.col(f"`{text_column}`")
+    source = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.col(f"`{id_column}`").alias("id"), text.alias("text"),
+                         F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"))
+    bare = source.select(F.col("id").alias("d"), F.col("th").alias("_th"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
     bare = bare.withColumn("line", F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")).where("line <> ''")
     bare = bare.select("d", "_th", "pos", F.xxhash64("line").alias("h"), F.hash("line").alias("g"), F.size(F.split("line", _SPACE)).cast("long").alias("words"))
     once = Window.partitionBy("d", "_th", "pos").orderBy("h")
@@ -53,21 +56,22 @@ def line_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         "d", "_th", F.col("w")[0]["pos"].alias("lo"), F.element_at("w", -1)["pos"].alias("hi"), least.alias("m"),
         F.xxhash64("w.h").alias("k0"), F.hash("w.g").alias("k1"))
     spans = stored(spans.select("d", "_th", "lo", "hi", F.col("m")["h"].alias("print"), F.col("m")["pos"].alias("at"), "k0", "k1"), "windows")
-    place = F.xxhash64("d", "_th", "at")
-    prints = spans.groupBy("print").agg(F.min(place).alias("p0"), F.max(place).alias("p1")).where("p0 <> p1").select("print")
-    open_spans = spans.join(prints, "print", "left_semi").drop("print", "at")
-    key = ["k0", "k1"]
-    firsts = open_spans.groupBy(*key).agg(F.min(F.struct("d", "_th", "lo")).alias("first"))
-    later = open_spans.join(firsts, key).where(F.struct("d", "_th", "lo") != F.col("first"))
+    # both anti joins are keyed by place, so a print or window that stands everywhere is spread over all tasks
+    spans = spans.withColumn("place", F.xxhash64("d", "_th", "at"))
+    alone = spans.groupBy("print").agg(F.min("place").alias("place"), F.max("place").alias("p1")).where("place = p1").select("print", "place")
+    open_spans = spans.join(alone, ["print", "place"], "left_anti").select("d", "_th", "lo", "hi", "k0", "k1")
+    firsts = open_spans.groupBy("k0", "k1").agg(F.min(F.struct("d", "_th", "lo")).alias("f"))
+    firsts = firsts.select("k0", "k1", F.col("f")["d"].alias("fd"), F.col("f")["_th"].alias("fth"), F.col("f")["lo"].alias("flo"))
+    is_first = (open_spans["k0"] == firsts["k0"]) & (open_spans["k1"] == firsts["k1"]) & F.col("d").eqNullSafe(F.col("fd")) & (F.col("_th") == F.col("fth")) & (F.col("lo") == F.col("flo"))
+    later = open_spans.join(firsts, is_first, "left_anti")
     gone = later.groupBy("d", "_th").agg(F.collect_set(F.struct("lo", "hi")).alias("gone"))
-    out = source.join(gone, source[id_column].eqNullSafe(gone["d"]) & (source["_th"] == gone["_th"]), "left").drop(gone["d"]).drop(gone["_th"])
-    out = out.withColumn("_parts", _lines(F.col(text_column)))
+    out = source.join(gone, F.col("id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("_th")), "left").withColumn("parts", _lines(F.col("text")))
     real = lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]"))
     places = F.array_distinct(F.flatten(F.transform("gone", lambda r: F.sequence(r["lo"], r["hi"]))))
-    out = out.withColumn("_dead", F.filter(places, lambda i: real(F.col("_parts")[i])))
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_dead"), lambda i: F.col("_parts")[i])
-    out = out.withColumn("n_lines", F.coalesce(F.size(F.filter("_parts", real)), F.lit(0)).cast("long"))
-    out = out.withColumn("n_removed", F.coalesce(F.size("_dead"), F.lit(0)).cast("long"))
+    out = out.withColumn("dead", F.filter(places, lambda i: real(F.col("parts")[i])))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "dead"), lambda i: F.col("parts")[i])
+    out = out.withColumn("n_lines", F.coalesce(F.size(F.filter("parts", real)), F.lit(0)).cast("long"))
+    out = out.withColumn("n_removed", F.coalesce(F.size("dead"), F.lit(0)).cast("long"))
     rest = F.when(F.col("n_removed") == F.col("n_lines"), F.lit("")).otherwise(F.array_join(left, "\n"))
-    out = out.withColumn(text_column, F.when(F.col("n_removed") == 0, F.col(text_column)).otherwise(rest))
-    return out.drop("_th", "gone", "_dead", "_parts")
+    rest = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(rest)
+    return out.select(*[(rest if c == text_column else F.col(f"c{k}")).alias(c) for k, c in enumerate(columns)], "n_lines", "n_removed")
