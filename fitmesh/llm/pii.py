@@ -9,7 +9,9 @@ looks, so spans the pattern lost (two numbers run together, a sign stuck to them
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -107,10 +109,23 @@ def features(text: str, start: int, end: int, kind: str) -> list[str]:
     return out
 
 
+class Taken:
+    """Spans that are taken; they may overlap."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [s for s, _ in spans]
+        self.reach = list(accumulate((e for _, e in spans), max))  # the furthest end up to each span
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
+
+
 class Zone:
     """A stretch of text cut into groups, and its candidate segments (first group, group after the last, kind, span)."""
 
-    def __init__(self, text: str, start: int, end: int, taken: list[tuple[int, int]]):
+    def __init__(self, text: str, start: int, end: int, taken: Taken):
         self.start, self.end = start, end
         if "@" in text[start:end]:
             low, high = start, end
@@ -138,7 +153,7 @@ class Zone:
                         if text[lead] == "(" and lead > start and text[lead - 1] == "+":
                             lead -= 1
                         found.append((i, j + 1, 3, lead, e))
-        self.segments = [x for x in found if not any(x[3] < e and s < x[4] for s, e in taken)]
+        self.segments = [x for x in found if not taken.meets(x[3], x[4])]
 
 
 def zones(text: str) -> Iterator[tuple[int, int]]:
@@ -208,7 +223,7 @@ def fit(examples: list[tuple[str, list[tuple[int, int, int]]]], rounds: int = 8,
     step_size = np.full_like(model.step, 1e-8)
     ready = []
     for text, start, end, gold in examples:
-        zone = Zone(text, start, end, [])
+        zone = Zone(text, start, end, Taken([]))
         known = {(k, s, e) for k, s, e in gold}
         segs = [(i, j, k, features(text, s, e, KINDS[k]), (k, s, e) in known) for i, j, k, s, e in zone.segments]
         if segs and sum(x[4] for x in segs) == len(known):
@@ -284,12 +299,12 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, text_column: str = "text", sample_docs: int = 20_000, sample_zones: int = 1500) -> Model:
-    """Weights from at most ``sample_zones`` zones of about ``sample_docs`` documents, both chosen by hash."""
+    """Weights from at most ``sample_zones`` different zones of about ``sample_docs`` documents, both chosen by hash."""
     count = docs.count()
     text = F.col(text_column)
     some = docs.select(text.alias("t")).where(F.shiftrightunsigned(F.xxhash64("t"), 33) / F.lit(float(1 << 31)) <= sample_docs / max(count, 1))
     found = some.mapInArrow(_examples, "t string, s long, e long, gold string")
-    rows = found.orderBy(F.xxhash64("t", "s"), "t", "s").limit(sample_zones).collect()
+    rows = found.distinct().orderBy(F.xxhash64("t", "s"), "t", "s").limit(sample_zones).collect()
     split = lambda g: [tuple(map(int, x.split(":"))) for x in g.split(";") if x]
     return fit([(r["t"], r["s"], r["e"], split(r["gold"])) for r in rows])
 
@@ -302,13 +317,9 @@ def detect(text: str, model: Model) -> tuple[dict[str, list[tuple[int, int]]], d
     """Base spans, and base and added spans."""
     base = base_spans(text)
     every = {k: list(v) for k, v in base.items()}
-    taken = sorted(x for v in base.values() for x in v)
-    starts = [s for s, _ in taken]
-    widest = max((e - s for s, e in taken), default=0)
+    taken = Taken([x for v in base.values() for x in v])
     for start, end in zones(text):
-        lo, hi = np.searchsorted(starts, [start - widest, end])
-        near = [x for x in taken[int(lo) : int(hi)] if x[1] > start]
-        zone = Zone(text, start, end, near)
+        zone = Zone(text, start, end, taken)
         for k, s, e in model.best(text, zone) if zone.segments else ():
             every[KINDS[k]].append((s, e))
     return base, every
