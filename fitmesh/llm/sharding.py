@@ -44,9 +44,15 @@ def _one_each(rows: DataFrame) -> DataFrame:
     return each.withColumn("u", F.xxhash64(*rows.columns, "_r")).drop("_n", "_k", "_r")
 
 
-def _asked(linked: DataFrame, quota: int, shards: int, turn: int) -> DataFrame:
+def _room(linked: DataFrame, quota: int, shards: int, giants: int) -> DataFrame:
+    """Bytes that grouped documents may still take in each shard; none where a giant stands."""
+    load = _loads(linked.sparkSession, linked, shards, "shard")
+    return load.select("shard", F.when(F.col("shard") < giants, F.lit(-1)).otherwise(F.lit(quota) - F.col("load")).alias("room"))
+
+
+def _asked(linked: DataFrame, quota: int, shards: int, giants: int, turn: int) -> DataFrame:
     """``linked`` with the shard its group wants (``want``) and whether the whole group has room there (``fits``)."""
-    room = _loads(linked.sparkSession, linked, shards, "shard").select("shard", (F.lit(quota) - F.col("load")).alias("room"))
+    room = _room(linked, quota, shards, giants)
     held = linked.groupBy("g", "shard").agg(F.sum("size").alias("w"))
     totals = held.groupBy("g").agg(F.sum("w").alias("all"))
     other = totals.select("g", F.pmod(F.xxhash64("g", F.lit(turn)), F.lit(shards)).cast("int").alias("shard"), F.lit(0).cast("long").alias("w"))
@@ -56,15 +62,15 @@ def _asked(linked: DataFrame, quota: int, shards: int, turn: int) -> DataFrame:
     return linked.join(best.select("g", F.col("m")["shard"].alias("want"), F.col("m")["fits"].alias("fits")), "g")
 
 
-def _propagate(linked: DataFrame, quota: int, shards: int, turn: int) -> DataFrame:
+def _propagate(linked: DataFrame, quota: int, shards: int, giants: int, turn: int) -> DataFrame:
     """One round: members outside the wanted shard move while it is below ``quota``, whole groups first."""
-    asked = _asked(linked, quota, shards, turn)
+    asked = _asked(linked, quota, shards, giants, turn)
     # groups with room go one after the other, members of the others singly and behind them
     place = F.when(F.col("fits"), F.shiftrightunsigned(F.xxhash64("g", F.lit(turn)), 33)).otherwise(F.shiftright("h", 1) + F.lit(_RANGE // 2))
     asked = asked.withColumn("_b", _bucket(place, _BUCKETS))
     wanted = asked.where("shard <> want").groupBy("want", "_b").agg(F.sum("size").alias("s"))
     upto = Window.partitionBy("want").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    room = _loads(linked.sparkSession, linked, shards, "shard").select(F.col("shard").alias("want"), (F.lit(quota) - F.col("load")).alias("room"))
+    room = _room(linked, quota, shards, giants).withColumnRenamed("shard", "want")
     cut = wanted.withColumn("s", F.sum("s").over(upto)).join(room, "want").where("s <= room").groupBy("want").agg(F.max("_b").alias("cut"))
     moved = asked.join(F.broadcast(cut), "want", "left")  # one row per shard
     goes = F.coalesce(F.col("_b") <= F.col("cut"), F.lit(False)) & (F.col("shard") != F.col("want"))
@@ -97,6 +103,20 @@ def _even_out(every: DataFrame, mean: float, shards: int, buckets: int, most: in
     return stored(placed.where("not leaves").select(every.columns).unionByName(moved.select(every.columns)), "shard-even")
 
 
+def _giants(rows: DataFrame, total: int, shards: int) -> tuple[list[int], float]:
+    """``u`` of the documents that alone exceed what the shards without them hold on average, and that average.
+
+    There are fewer than ``shards`` of them; the driver sees the ``shards`` largest sizes.
+    """
+    found: list[int] = []
+    for r in rows.orderBy(F.desc("size"), "u").limit(shards).select("u", "size").collect():
+        if r["size"] * (shards - len(found)) <= total or len(found) == shards - 1:
+            break
+        found.append(r["u"])
+        total -= r["size"]
+    return found, total / (shards - len(found))
+
+
 def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4, slack: float = 0.25, id_column: str = "doc_id",
                   text_column: str = "text", group_column: str | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row. Law: bytes.
@@ -106,9 +126,9 @@ def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4, slack: flo
     the rest (ties by hash); a shard drawn by hash stands by, so a refused group asks elsewhere in the next round. Members
     are let in while the grouped bytes of the shard are below its quota: the mean of all documents, or of the grouped ones
     plus ``slack`` where that is more. At the end shards above the mean give documents, ungrouped ones first, to shards
-    below it, along one line of bytes; this is repeated with documents of at most an eighth and a 64th of the largest, so
-    shards end within about such a document of the mean where they hold enough of them. A group larger than the free room
-    is split. ``size`` is UTF-8 bytes plus 16 (null: 16). ``slot`` counts from 0 within a shard. ``grown_shard`` is null
+    below it, along one line of bytes; this is repeated with documents of at most the average size and an eighth of it, so
+    shards end within about such a document of the mean where they hold enough of them. A document that alone exceeds the
+    mean gets a shard of its own, and the mean is that of the other shards. A group larger than the free room is split. ``size`` is UTF-8 bytes plus 16 (null: 16). ``slot`` counts from 0 within a shard. ``grown_shard`` is null
     under this law.
 
     The result depends on the rows only, not on their partitions or order. Null ids and repeated rows are rows like any
@@ -123,21 +143,24 @@ def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4, slack: flo
         F.crc32(text.cast("binary")).alias("text_crc32"), group.alias("g"))
     rows = _one_each(rows)
     rows = stored(rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("u", F.lit(1)), 32)), "shard-rows")
-    total, n, largest = rows.agg(F.sum("size"), F.count(F.lit(1)), F.max("size")).first()
-    mean = (total or 0) / shards
-    state = rows.withColumn("shard", F.pmod(F.xxhash64("u", F.lit(2)), F.lit(shards)).cast("int"))
+    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    giants, mean = _giants(rows, total, shards)
+    shard = F.pmod(F.xxhash64("u", F.lit(2)), F.lit(shards)).cast("int")
+    for k, u in enumerate(giants):
+        shard = F.when(F.col("u") == u, k).otherwise(shard)
+    state = rows.withColumn("shard", shard)
     grouped = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
     linked = stored(state.join(grouped, "g", "left_semi"), "shard-linked")
     tied = linked.agg(F.sum("size")).first()[0] or 0
     quota = int(max(mean, tied / shards * (1 + slack))) + 1
     for turn in range(rounds):
-        linked = stored(_propagate(linked, quota, shards, turn), "shard-linked")
+        linked = stored(_propagate(linked, quota, shards, len(giants), turn), "shard-linked")
     free = state.join(grouped, "g", "left_anti").withColumn("tied", F.lit(0))
     every = stored(free.unionByName(linked.withColumn("tied", F.lit(1))), "shard-state")
     buckets = 1
     while buckets * 50_000 * shards < n and buckets < 1 << 20:
         buckets *= 2
-    for share in (1, 8, 64):
-        every = _even_out(every, mean, shards, buckets, (largest or 0) // share)
+    for most in (mean, total / max(n, 1), total / max(n, 1) / 8):
+        every = _even_out(every, mean, shards, buckets, int(most))
     out = running(every, "shard", F.lit(1), buckets, "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

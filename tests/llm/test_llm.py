@@ -533,9 +533,11 @@ def test_shards_are_even_gapless_and_keep_groups_together(spark):
     plain = lambda t: Counter(t.drop(columns="grown_shard").fillna(-1).itertuples(index=False, name=None))
     assert plain(got) == plain(again)
     load = got.groupby("shard")["size"].sum()
-    assert len(load) == 10 and load.max() - load.min() <= 2 * got["size"].max()
+    giant = got["size"].idxmax()
+    assert load[got.shard[giant]] == got["size"].max() > load.sum() / 10
+    load = load.drop(got.shard[giant])
     assert all(sorted(g) == list(range(len(g))) for _, g in got.groupby("shard").slot)
-    assert load.max() - load.min() <= 2 * got["size"].max() / 8
+    assert len(load) == 9 and load.max() - load.min() <= 2 * got["size"].mean()
     pieces = got[(got.doc_id >= 5000) & (got.doc_id < 9000)].groupby("text_crc32").shard.nunique()
     assert (pieces == 1).mean() > 0.95
     assert sharding.assign_shards(frame(spark, [])).count() == 0
