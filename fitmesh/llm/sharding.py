@@ -44,98 +44,22 @@ def _one_each(rows: DataFrame) -> DataFrame:
     return each.withColumn("u", F.xxhash64(*rows.columns, "_r")).drop("_n", "_k", "_r")
 
 
-def _room(linked: DataFrame, quota: int, shards: int, giants: int) -> DataFrame:
-    """Bytes that grouped documents may still take in each shard; none where a giant stands."""
-    load = _loads(linked.sparkSession, linked, shards, "shard")
-    return load.select("shard", F.when(F.col("shard") < giants, F.lit(-1)).otherwise(F.lit(quota) - F.col("load")).alias("room"))
-
-
-def _asked(linked: DataFrame, quota: int, shards: int, giants: int, turn: int) -> DataFrame:
-    """``linked`` with the shard its group wants (``want``) and whether the whole group has room there (``fits``)."""
-    room = _room(linked, quota, shards, giants)
-    held = linked.groupBy("g", "shard").agg(F.sum("size").alias("w"))
-    totals = held.groupBy("g").agg(F.sum("w").alias("all"))
-    other = totals.select("g", F.pmod(F.xxhash64("g", F.lit(turn)), F.lit(shards)).cast("int").alias("shard"), F.lit(0).cast("long").alias("w"))
-    choices = held.unionByName(other).join(totals, "g").join(F.broadcast(room), "shard")  # one row per shard
-    fits = F.col("room") >= F.col("all") - F.col("w")
-    best = choices.groupBy("g").agg(F.max(F.struct(fits.alias("fits"), "w", F.xxhash64("g", "shard").alias("t"), "shard")).alias("m"))
-    return linked.join(best.select("g", F.col("m")["shard"].alias("want"), F.col("m")["fits"].alias("fits")), "g")
-
-
-def _propagate(linked: DataFrame, quota: int, shards: int, giants: int, turn: int) -> DataFrame:
-    """One round: members outside the wanted shard move while it is below ``quota``, whole groups first."""
-    asked = _asked(linked, quota, shards, giants, turn)
-    # groups with room go one after the other, members of the others singly and behind them
-    place = F.when(F.col("fits"), F.shiftrightunsigned(F.xxhash64("g", F.lit(turn)), 33)).otherwise(F.shiftright("h", 1) + F.lit(_RANGE // 2))
-    asked = asked.withColumn("_b", _bucket(place, _BUCKETS))
-    wanted = asked.where("shard <> want").groupBy("want", "_b").agg(F.sum("size").alias("s"))
-    upto = Window.partitionBy("want").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    room = _room(linked, quota, shards, giants).withColumnRenamed("shard", "want")
-    cut = wanted.withColumn("s", F.sum("s").over(upto)).join(room, "want").where("s <= room").groupBy("want").agg(F.max("_b").alias("cut"))
-    moved = asked.join(F.broadcast(cut), "want", "left")  # one row per shard
-    goes = F.coalesce(F.col("_b") <= F.col("cut"), F.lit(False)) & (F.col("shard") != F.col("want"))
-    return moved.withColumn("shard", F.when(goes, F.col("want")).otherwise(F.col("shard"))).select(*linked.columns)
-
-
-def _even_out(every: DataFrame, mean: float, shards: int, buckets: int, most: int) -> DataFrame:
-    """Shards above the mean give documents of at most ``most`` bytes, ungrouped ones first, to shards below it.
-
-    What leaves is laid end to end, in the order of ``h``, along the holes of the other shards.
-    """
-    small = (F.col("size") <= most).cast("int")
-    order = F.shiftright("h", 2) + (1 - F.col("tied")) * F.lit(_RANGE // 4) + small * F.lit(_RANGE // 2)
-    placed = running(every.withColumns({"own": F.col("h"), "h": order}), "shard", F.col("size"), 4 * buckets, "below")
-    # a document whose middle passes the mean leaves, as that brings the shard nearer to it
-    leaves = (F.col("size") <= most) & (F.col("below") + F.col("size") / 2 > F.lit(mean))
-    placed = stored(placed.withColumn("leaves", leaves).drop("h").withColumnRenamed("own", "h"), "shard-placed")
-    stay = _loads(every.sparkSession, placed.where("not leaves"), shards, "shard")
-    gone = placed.where("leaves").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("gone"))
-    whole = Window.partitionBy(F.lit(0))
-    holes = stay.withColumn("hole", F.greatest(F.lit(mean) - F.col("load"), F.lit(0.0))).crossJoin(F.broadcast(gone))  # one row
-    holes = holes.withColumn("hole", F.coalesce(F.try_divide(F.col("hole") * F.col("gone"), F.sum("hole").over(whole)), F.lit(0.0)))
-    before = whole.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    holes = holes.withColumn("from", F.coalesce(F.sum("hole").over(before), F.lit(0.0))).select(F.col("shard").alias("to"), "from", (F.col("from") + F.col("hole")).alias("until"))
-    line = running(placed.where("leaves").withColumn("_all", F.lit(0)), "_all", F.col("size"), buckets, "at")
-    middle = F.col("at") + F.col("size") / 2
-    last = holes.where("until > from").agg(F.max("to").alias("last"))
-    moved = line.join(F.broadcast(holes), (middle >= F.col("from")) & (middle < F.col("until")), "left").join(F.broadcast(last), how="left")
-    moved = moved.withColumn("shard", F.coalesce("to", "last", "shard"))
-    return stored(placed.where("not leaves").select(every.columns).unionByName(moved.select(every.columns)), "shard-even")
-
-
-def _giants(rows: DataFrame, total: int, shards: int) -> tuple[list[int], float]:
-    """``u`` of the documents that alone exceed what the shards without them hold on average, and that average.
-
-    There are fewer than ``shards`` of them; the driver sees the ``shards`` largest sizes.
-    """
-    found: list[int] = []
-    for r in rows.orderBy(F.desc("size"), "u").limit(shards).select("u", "size").collect():
-        if r["size"] * (shards - len(found)) <= total or len(found) == shards - 1:
-            break
-        found.append(r["u"])
-        total -= r["size"]
-    return found, total / (shards - len(found))
-
-
 def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4, slack: float = 0.25, id_column: str = "doc_id",
                   text_column: str = "text", group_column: str | None = None) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row. Law: bytes.
 
     Documents start in a shard by hash. Each round, every group of linked documents (equal texts, or equal values of
-    ``group_column``) looks at the bytes it has in each shard and asks for the shard with most of them that has room for
-    the rest (ties by hash); a shard drawn by hash stands by, so a refused group asks elsewhere in the next round. Members
-    are let in while the grouped bytes of the shard are below its quota: the mean of all documents, or of the grouped ones
-    plus ``slack`` where that is more. At the end shards above the mean give documents, ungrouped ones first, to shards
-    below it, along one line of bytes; this is repeated with documents of at most the average size and an eighth of it, so
-    shards end within about such a document of the mean where they hold enough of them. A document that alone exceeds the
-    mean gets a shard of its own, and the mean is that of the other shards. A group larger than the free room is split. ``size`` is UTF-8 bytes plus 16 (null: 16). ``slot`` counts from 0 within a shard. ``grown_shard`` is null
-    under this law.
-
-    The result depends on the rows only, not on their partitions or order. Null ids and repeated rows are rows like any
-    others and get slots of their own. An empty table gives no rows.
+    ``group_column``) looks at the bytes it has in each shard; members elsewhere ask for the shard with most of them (ties by hash), and
+    are let in by hash order while the shard is below its quota (the mean plus ``slack``: wide, as the last step evens out). At the end shards above the
+    mean give documents, ungrouped ones first, to shards below it, along one line of bytes: every shard ends within about
+    one document of the mean. A group larger than the free room is split. ``size`` is UTF-8 bytes plus 16 (null: 16).
+    ``slot`` counts from 0 within a shard. ``grown_shard`` is null under this law.
+
+    The result depends on the rows only, not on their partitions or order. Null ids and repeated rows are rows like any others and get slots of their own. An empty table gives no rows.
     """
     if group_column is not None and docs.schema[group_column].dataType.simpleString() != "string":
         docs = docs.withColumn(group_column, F.col(group_column).cast("string"))
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_column), F.lit(""))
     group = F.xxhash64(text) if group_column is None else F.xxhash64(group_column)
     rows = docs.select(
@@ -143,24 +67,47 @@ def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4, slack: flo
         F.crc32(text.cast("binary")).alias("text_crc32"), group.alias("g"))
     rows = _one_each(rows)
     rows = stored(rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("u", F.lit(1)), 32)), "shard-rows")
-    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    giants, mean = _giants(rows, total, shards)
-    shard = F.pmod(F.xxhash64("u", F.lit(2)), F.lit(shards)).cast("int")
-    for k, u in enumerate(giants):
-        shard = F.when(F.col("u") == u, k).otherwise(shard)
-    state = rows.withColumn("shard", shard)
+    total, n, largest = rows.agg(F.sum("size"), F.count(F.lit(1)), F.max("size")).first()
+    total = total or 0
+    state = rows.withColumn("shard", F.pmod(F.xxhash64("u", F.lit(2)), F.lit(shards)).cast("int"))
     grouped = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
     linked = stored(state.join(grouped, "g", "left_semi"), "shard-linked")
-    tied = linked.agg(F.sum("size")).first()[0] or 0
-    quota = int(max(mean, tied / shards * (1 + slack))) + 1
-    for turn in range(rounds):
-        linked = stored(_propagate(linked, quota, shards, len(giants), turn), "shard-linked")
+    single = _loads(spark, state.join(grouped, "g", "left_anti"), shards, "shard").withColumnRenamed("load", "fixed")
+    single = stored(single, "shard-single")
+    quota = int(total / shards * (1 + slack)) + 1
+    for _ in range(rounds):
+        held = linked.groupBy("g", "shard").agg(F.sum("size").alias("w"))
+        best = held.groupBy("g").agg(F.max(F.struct("w", F.xxhash64("g", "shard").alias("t"), "shard")).alias("m")).select("g", F.col("m")["shard"].alias("want"))
+        asked = linked.join(best, "g")
+        movers = asked.where("shard <> want").withColumn("_b", _bucket(F.col("h"), _BUCKETS))
+        wanted = movers.groupBy("want", "_b").agg(F.sum("size").alias("s"))
+        upto = Window.partitionBy("want").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        load = _loads(spark, linked, shards, "shard").join(single, "shard").select(F.col("shard").alias("want"), (F.lit(quota) - F.col("load") - F.col("fixed")).alias("room"))
+        cut = wanted.withColumn("s", F.sum("s").over(upto)).join(load, "want").where("s <= room").groupBy("want").agg(F.max("_b").alias("cut"))
+        moved = asked.join(F.broadcast(cut), "want", "left")  # one row per shard
+        goes = F.coalesce(_bucket(F.col("h"), _BUCKETS) <= F.col("cut"), F.lit(False)) & (F.col("shard") != F.col("want"))
+        linked = stored(moved.withColumn("shard", F.when(goes, F.col("want")).otherwise(F.col("shard"))).select(*linked.columns), "shard-linked")
     free = state.join(grouped, "g", "left_anti").withColumn("tied", F.lit(0))
     every = stored(free.unionByName(linked.withColumn("tied", F.lit(1))), "shard-state")
+    # even out: of each shard above the mean, the last documents in the order (tied, h) beyond the mean leave
+    mean = total / shards
     buckets = 1
     while buckets * 50_000 * shards < n and buckets < 1 << 20:
         buckets *= 2
-    for most in (mean, total / max(n, 1), total / max(n, 1) / 8):
-        every = _even_out(every, mean, shards, buckets, int(most))
-    out = running(every, "shard", F.lit(1), buckets, "slot")
+    every = every.withColumn("h", F.col("h").bitwiseAND(F.lit(_RANGE // 2 - 1)) + (1 - F.col("tied")) * F.lit(_RANGE // 2))
+    placed = running(every, "shard", F.col("size"), buckets, "below")
+    # a document whose end passes the mean leaves if that brings the shard nearer to it
+    placed = stored(placed.withColumn("leaves", F.col("below") + F.col("size") / 2 > F.lit(mean)), "shard-placed")
+    stay = _loads(spark, placed.where("not leaves"), shards, "shard")
+    order = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    holes = stay.withColumn("hole", F.greatest(F.lit(mean) - F.col("load"), F.lit(0.0)))
+    holes = holes.withColumn("from", F.coalesce(F.sum("hole").over(order), F.lit(0.0))).select(F.col("shard").alias("to"), "from", (F.col("from") + F.col("hole")).alias("until"))
+    line = running(placed.where("leaves").withColumn("_all", F.lit(0)), "_all", F.col("size"), buckets, "at")
+    middle = F.col("at") + F.col("size") / 2
+    last = holes.where("until > from").agg(F.max("to").alias("last"))
+    moved = line.join(F.broadcast(holes), (middle >= F.col("from")) & (middle < F.col("until")), "left").join(F.broadcast(last), how="left")
+    moved = moved.withColumn("shard", F.coalesce("to", "last", "shard"))
+    columns = ["doc_id", "size", "text_crc32", "u", "h", "shard"]
+    final = stored(placed.where("not leaves").select(columns).unionByName(moved.select(columns)), "shard-final")
+    out = running(final.withColumn("h", F.shiftrightunsigned(F.xxhash64("u", F.lit(1)), 32)), "shard", F.lit(1), buckets, "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
