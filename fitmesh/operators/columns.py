@@ -100,10 +100,39 @@ def align_xy(x: DataFrame, y: DataFrame, key: Sequence[str] | None = None, check
     return left.join(right, "_position", "inner").drop("_position")
 
 
-def dataset_profile(df: DataFrame, target: str) -> DataFrame:
-    """One row per column: row and feature counts, nulls, NaNs, distinct values, min, max; one pass.
+_LONG_VALUE = 64  # longer values are told apart by their SHA-256
 
-    Distinct counts are estimates (HyperLogLog++): exact ones would shuffle every column.
+
+def _identity(name: str, dtype: T.DataType):
+    """A short string that differs for different values: -0.0 is 0.0, NaN is one value, maps in another order differ."""
+    c = F.col(f"`{name}`")
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = (c + F.lit(0.0).cast(dtype)).cast("string")
+    elif isinstance(dtype, T.BinaryType):
+        text = F.hex(c)
+    elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(F.struct(c.alias("v")), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"})
+    else:
+        text = c.cast("string")
+    short = F.when(F.length(text) <= _LONG_VALUE, F.concat(F.lit("="), text)).otherwise(F.sha2(text, 256))
+    return F.when(c.isNotNull(), short)
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """``(position, n_distinct)`` of every column that has a value: exact, all columns in one shuffle.
+
+    (position, value) pairs collapse inside the tasks first, so a hot value travels once a task; the second count
+    adds one number a task and column.
+    """
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), _identity(f.name, f.dataType).alias("value")) for i, f in enumerate(df.schema.fields)])))
+    return pairs.filter("value IS NOT NULL").distinct().groupBy("position").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
+def dataset_profile(df: DataFrame, target: str, exact: bool = True) -> DataFrame:
+    """One row per column: row and feature counts, nulls, NaNs, distinct values (nulls aside), min, max.
+
+    ``exact=False`` leaves out the shuffle of ``distinct_counts`` and estimates (HyperLogLog++) in the one pass of the rest.
     """
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("n")]
@@ -114,18 +143,22 @@ def dataset_profile(df: DataFrame, target: str) -> DataFrame:
         aggs += [
             F.count_if(c.isNull()).alias(f"nulls{i}"),
             (F.count_if(F.isnan(c)) if floating else F.lit(0).cast("bigint")).alias(f"nans{i}"),
-            F.approx_count_distinct(c).alias(f"distinct{i}"),
+            (F.lit(0).cast("bigint") if exact else F.approx_count_distinct(c)).alias(f"distinct{i}"),
             (F.min(c).cast("double") if numeric else F.lit(None).cast("double")).alias(f"min{i}"),
             (F.max(c).cast("double") if numeric else F.lit(None).cast("double")).alias(f"max{i}"),
         ]
     one = df.agg(*aggs)
     entries = [
-        F.struct(F.lit(f.name).alias("column"), F.lit(kind_of(f.dataType)).alias("kind"),
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"), F.lit(kind_of(f.dataType)).alias("kind"),
                  F.col(f"nulls{i}").alias("n_null"), F.col(f"nans{i}").alias("n_nan"),
-                 F.col(f"distinct{i}").alias("n_distinct_approx"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))
+                 F.col(f"distinct{i}").alias("n_distinct"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))
         for i, f in enumerate(fields)
     ]
-    return one.select(
+    table = one.select(
         F.col("n").alias("n_rows"), F.lit(len(fields) - 1).alias("n_features"), F.lit(target).alias("target"),
         F.inline(F.array(*entries)),
     )
+    if exact:
+        table = table.drop("n_distinct").join(distinct_counts(df), "position", "left")
+    return table.select("n_rows", "n_features", "target", "column", "kind", "n_null", "n_nan",
+                        F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "min", "max")

@@ -66,17 +66,18 @@ class TargetEncodeModel(Configurable, Model, MLReadable, MLWritable):
 
     def sizes(self) -> dict[int, tuple[int, int]]:
         if self._sizes is None:
-            rows = self.means.groupBy("column_no").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("total")).collect()
-            self._sizes = {r["column_no"]: (r["n"], r["total"]) for r in rows}
+            rows = self.means.groupBy("column_no").agg(
+                F.sum(32 + F.coalesce(F.octet_length("category"), F.lit(0))).alias("bytes"), F.sum("rows").alias("total")).collect()
+            self._sizes = {r["column_no"]: (r["bytes"], r["total"]) for r in rows}
         return self._sizes
 
     def _transform(self, df: DataFrame) -> DataFrame:
         order = df.columns
         for i, c in enumerate(self.get("columns")):
-            n, total = self.sizes().get(i, (0, 0))
+            size, total = self.sizes().get(i, (0, 0))
             table = self.means.filter(F.col("column_no") == i).select(
                 F.col("category").alias(c), F.col("mean").alias("_mean"), F.col("rows").alias("_rows"))
-            df = keyed_lookup(df, table, c, "_rows", n, total)
+            df = keyed_lookup(df, table, c, "_rows", size, total)
             df = df.withColumn(c, F.coalesce("_mean", F.lit(self.global_mean))).drop("_mean")
         return df.select(*[F.col(f"`{c}`") for c in order])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,21 +42,32 @@ def ordered_rank(df: DataFrame, order: Sequence[str | Column], out: str = "rank"
     )
 
 
+def from_files(df: DataFrame) -> bool:
+    """True for a file scan, whose rows can be named by file and offset."""
+    try:
+        df.select("_metadata.file_path", "_metadata.file_block_start").schema
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+    return True
+
+
 def row_positions(df: DataFrame, out: str = "position") -> DataFrame:
     """0-based position of each row in file order (path, then offset in the file), without a shuffle of rows.
 
-    For tables that do not come from files the partition order is used.
+    Other tables have no lasting order: theirs is the one of the partitions when they are first read. It is written to the
+    checkpoint folder with the rows, so that later reads, retries and lost executors see the same positions.
     """
-    try:
+    if from_files(df):
         base = df.withColumns({
             "_file": F.col("_metadata.file_path"),
             "_start": F.col("_metadata.file_block_start"),
             "_slot": F.monotonically_increasing_id(),
         })
-        base.schema
-    except Exception:  # not a file scan: no metadata column
-        base = df.withColumns({"_file": F.lit(""), "_start": F.spark_partition_id().cast("long"),
-                               "_slot": F.monotonically_increasing_id()})
+    else:
+        base = durable(df.withColumn("_slot", F.monotonically_increasing_id())).withColumns({
+            "_file": F.lit(""), "_start": F.shiftright("_slot", _ROW_BITS)})
     blocks = sorted(
         base.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("n"), F.min("_slot").alias("first")).collect(),
         key=lambda r: (r["_file"], r["_start"]),

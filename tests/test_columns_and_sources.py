@@ -138,3 +138,39 @@ def test_a_sweep_keeps_types_and_survives_odd_results(spark):
     rows = {r["dataset"]: r for r in found.collect()}
     assert dict(found.dtypes)["n"] == "bigint" and (rows["good"]["n"], rows["good"]["t"], rows["good"]["status"]) == (7, "text", "ok")
     assert {d: r["status"] for d, r in rows.items()} == {"good": "ok", "two": "failed", "other": "failed", "none": "ok", "broken": "failed"}
+
+
+def test_distinct_counts_are_exact_for_every_type(spark):
+    from decimal import Decimal
+
+    n = 3000
+    rows = [(i % 7, float(i % 5) if i % 11 else None, "x" * 100 + str(i % 500), bytes([i % 4]), [i % 2, i % 3], Decimal(i % 9), (i % 6, "q"), None)
+            for i in range(n)]
+    rows += [(0, -0.0, "=x", b"", [], Decimal("0.0"), None, None), (0, float("nan"), None, None, None, None, None, None),
+             (0, float("nan"), "", None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b double, s string, `b.in` binary, l array<int>, d decimal(10,2), t struct<x:int,y:string>, z string")
+    got = {r["column"]: r["n_distinct"] for r in dataset_profile(df, "a").collect()}
+    assert got == {"a": 7, "b": 6, "s": 502, "b.in": 5, "l": 7, "d": 9, "t": 6, "z": 0}
+    estimate = {r["column"]: r["n_distinct"] for r in dataset_profile(df, "a", exact=False).collect()}
+    assert estimate["a"] == 7 and abs(estimate["s"] - 502) < 60
+    empty = dataset_profile(df.limit(0), "a").collect()
+    assert len(empty) == 8 and all(r["n_distinct"] == 0 and r["n_rows"] == 0 for r in empty)
+
+
+def test_positions_of_a_computed_table_do_not_move(spark):
+    """Another read of a shuffled table may deal its rows differently; the pairing is fixed by the first."""
+    x = spark.range(500).select(F.col("id").alias("a")).repartition(5)
+    y = spark.range(500).select((F.col("id") * 2).alias("b")).orderBy("b")
+    paired = align_xy(x.withColumn("noise", F.rand()), y)
+    first, again = ({tuple(r) for r in paired.collect()} for _ in range(2))
+    assert first == again and len(first) == 500
+    assert sorted(r[2] for r in first) == [2 * i for i in range(500)]
+
+
+def test_a_wrong_column_is_reported_and_not_taken_for_a_table_without_files(spark, tmp_path):
+    from fitmesh.operators.rank import from_files
+
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    assert from_files(scan) and from_files(scan.select("id").filter("id > 0"))
+    assert not from_files(spark.range(3)) and not from_files(scan.groupBy("id").count())

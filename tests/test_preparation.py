@@ -3,7 +3,8 @@ import pytest
 from frames import vectors
 from pyspark.sql import functions as F
 
-from fitmesh.operators import lookup, orderstats
+from fitmesh.functions.vectors import matrix
+from fitmesh.operators import lookup, orderstats, partials, reduce
 from fitmesh.operators.encode import TargetEncode, TargetEncodeModel
 from fitmesh.operators.orderstats import order_statistics, quantiles
 from fitmesh.operators.reduce import PCA, PCAModel
@@ -122,6 +123,63 @@ def test_pca_matches_svd(spark, shape):
     assert k == np.searchsorted(np.cumsum(full), 0.9, side="right") + 1
 
 
+@pytest.mark.parametrize("shape", [(300, 40), (60, 50)])
+def test_wide_pca_without_the_full_matrix_matches_svd(spark, monkeypatch, shape):
+    monkeypatch.setattr(reduce, "MAX_WIDTH", 16)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=shape) @ np.diag(3.0 * 0.8 ** np.arange(shape[1])) + 1000
+    df = vectors(spark, x)
+    _, s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    full = s ** 2 / (s ** 2).sum()
+    model = PCA(n_components=4).fit(df)
+    w = np.atleast_2d(model.state["components"])
+    assert np.allclose(np.abs(w), np.abs(vt[:4]), atol=1e-4)
+    assert np.allclose(w @ w.T, np.eye(4), atol=1e-8)
+    assert np.allclose(model.state["ratio"], full[:4], atol=1e-7) and np.allclose(model.state["mean"], x.mean(0))
+    monkeypatch.setattr(reduce, "FIRST_AXES", 2)
+    k = len(np.atleast_2d(PCA(variance=0.97).fit(df).state["components"]))
+    assert k == np.searchsorted(np.cumsum(full), 0.97, side="right") + 1
+
+
+def test_wide_pca_of_constant_rows(spark, monkeypatch):
+    monkeypatch.setattr(reduce, "MAX_WIDTH", 2)
+    model = PCA(n_components=2).fit(vectors(spark, [[1.0, 2.0, 3.0]] * 5))
+    assert list(model.state["ratio"]) == [0.0, 0.0]
+    with pytest.raises(ValueError):
+        PCA(variance=1.5).fit(vectors(spark, np.eye(3)))
+
+
+@pytest.mark.parametrize("op", ["sum", "min"])
+def test_arrays_are_merged_block_by_block_over_several_stages(spark, monkeypatch, op):
+    monkeypatch.setattr(partials, "BLOCK", 7)
+    monkeypatch.setattr(partials, "FAN", 2)  # four cores: two slots, so two merge stages
+    x = np.random.default_rng(2).integers(-50, 50, (90, 23)).astype(float)
+
+    def fold(batches):
+        rows = [matrix(b.column("features")) for b in batches if b.num_rows]
+        rows = np.concatenate(rows) if rows else np.zeros((0, 23))
+        return {"wide": rows.sum(axis=0) if op == "sum" else rows.min(axis=0, initial=0.0), "none": np.zeros(0), "one": np.array([float(len(rows))])}
+
+    got = partials.reduce_arrays(vectors(spark, x, partitions=9).select("features"), fold, op)
+    assert np.array_equal(got["wide"], x.sum(axis=0) if op == "sum" else np.minimum(x.min(axis=0), 0.0))
+    assert got["none"].size == 0 and (op == "min" or got["one"][0] == 90)
+
+
+def test_lookup_measures_the_bytes_of_its_rows(spark, monkeypatch):
+    """A few long rows are not broadcast, however few they are."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 10_000)
+    rows = spark.createDataFrame([(i % 3, i) for i in range(30)], "k int, id int")
+    short = spark.createDataFrame([(i, "v", [1.0], i + 1) for i in range(3)], "k int, v string, a array<double>, n int")
+    long = spark.createDataFrame([(i, "v" * 5000, [1.0], i + 1) for i in range(3)], "k int, v string, a array<double>, n int")
+    wide = spark.createDataFrame([(i, "v", [1.0] * 2000, i + 1) for i in range(3)], "k int, v string, a array<double>, n int")
+    for table, broadcast in ((short, True), (long, False), (wide, False)):
+        out = lookup.keyed_lookup(rows, table, "k", "n")
+        assert {(r["id"], len(r["v"]), len(r["a"])) for r in out.collect()} == {
+            (i, *table.select(F.length("v"), F.size("a")).first()) for i in range(30)}
+        plan = out._jdf.queryExecution().analyzed().toString()
+        assert ("_spread" not in plan) == broadcast
+
+
 def test_pca_rejects_too_many_components(spark):
     with pytest.raises(ValueError):
         PCA(n_components=5).fit(vectors(spark, np.eye(3)))
