@@ -1,8 +1,9 @@
-"""AdaBoost.R2 (linear loss) over weighted depth-3 trees."""
+"""AdaBoost.R2 (linear loss) over depth-3 trees of rows drawn by weight."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from fitmesh.functions.vectors import as_vector, matrix
 from fitmesh.models.base import ColumnNames, Configurable, Regressor, param, score_model
 from fitmesh.models.trees import BinnedTree, NativeTreeModel
-from fitmesh.session import durable, held
+from fitmesh.session import durable, spread
 
 _CUT_LINEAGE_EVERY = 5
 
@@ -99,25 +100,76 @@ class AdaBoostModel(Configurable, ColumnNames, Model, MLReadable, MLWritable):
         return _Reader()
 
 
+def drawn(weight: str, partition: str, totals: dict[int, float], draws: dict[int, int], seed: list[int]):
+    """How often each row is drawn: ``draws[p]`` draws with replacement from partition ``p``, by ``weight``.
+
+    Batches split the draws of their partition by their share of its weight, so the counts add up exactly. They depend on the
+    rows' order in their partition: the table must be a checkpoint.
+    """
+
+    @F.arrow_udf("int")
+    def counts(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        rng, left, weight_left = None, 0, 0.0
+        held_back = next((b for b in parts if len(b[0])), None)
+        while held_back is not None:
+            w, at = held_back[0].to_numpy(zero_copy_only=False), held_back[1][0].as_py()
+            held_back = next((b for b in parts if len(b[0])), None)
+            if rng is None:
+                rng, left, weight_left = np.random.default_rng([*seed, at]), draws.get(at, 0), totals.get(at, 0.0)
+            here = w.sum()
+            share = 1.0 if held_back is None else min(1.0, here / weight_left) if weight_left > 0 else 0.0
+            k = int(rng.binomial(left, share))
+            left, weight_left = left - k, max(0.0, weight_left - here)
+            yield pa.array(rng.multinomial(k, w / here if here > 0 else np.full(len(w), 1.0 / len(w))), pa.int32())
+
+    return counts.asNondeterministic()(F.col(weight), F.col(partition))
+
+
+def draw_rows(df: DataFrame, weight: str, partition: str, totals: dict[int, float], n: int, seed: list[int]) -> DataFrame:
+    """The rows of ``n`` draws with replacement by ``weight``, each once with its ``_drawn`` count.
+
+    The driver deals the draws to partitions by their summed weights (one number a partition), tasks deal theirs to rows.
+    """
+    order = sorted(totals)
+    shares = np.array([totals[p] for p in order])
+    draws = dict(zip(order, np.random.default_rng(seed).multinomial(n, shares / shares.sum()).tolist()))
+    return df.withColumn("_drawn", drawn(weight, partition, totals, draws, seed)).filter("_drawn > 0")
+
+
 class AdaBoost(Regressor, HasSeed):
-    """Rows are weighted in the tree fit instead of being resampled by weight."""
+    """Each tree is fitted to as many rows as the table has, drawn with replacement by weight.
+
+    ``resample=False`` fits to all rows with their weights. A round costs two jobs beside the tree's: the loss, and the
+    next weights, which are kept and summed by partition for the next draw.
+    """
 
     n_estimators = param("n_estimators", "boosting rounds", TypeConverters.toInt)
     learning_rate = param("learning_rate", "shrinkage of the weights", TypeConverters.toFloat)
     max_depth = param("max_depth", "depth of the trees", TypeConverters.toInt)
-    DEFAULTS = {"n_estimators": 50, "learning_rate": 1.0, "max_depth": 3, "seed": 42}
+    resample = param("resample", "draw rows by weight instead of weighting them", TypeConverters.toBoolean)
+    DEFAULTS = {"n_estimators": 50, "learning_rate": 1.0, "max_depth": 3, "seed": 42, "resample": True}
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
-        rate = self.get("learning_rate")
+        rate, drawing = self.get("learning_rate"), self.get("resample")
         label = "label"
-        data = df.select(as_vector(df, self.getFeaturesCol()).alias("features"),
-                         F.col(self.getLabelCol()).cast("double").alias(label), F.lit(1.0).alias("_w"))
-        data = held(data)
+        data = df.select(as_vector(df, self.getFeaturesCol()).alias("features"), F.col(self.getLabelCol()).cast("double").alias(label))
+        # written once: draws follow the order of the rows
+        data = durable(spread(data)).withColumns({"_w": F.lit(1.0), "_p": F.spark_partition_id()}).persist(StorageLevel.MEMORY_AND_DISK)
         kept = [data]
         trees, votes = [], []
         try:
+            totals = {r["_p"]: r["t"] for r in data.groupBy("_p").agg(F.sum("_w").alias("t")).collect()}
+            n = round(sum(totals.values()))
             for i in range(self.get("n_estimators")):
-                tree = BinnedTree(max_depth=self.get("max_depth"), seed=self.getSeed() + i).weighted("_w").fit(data)
+                tree = BinnedTree(max_depth=self.get("max_depth"), seed=self.getSeed() + i)
+                if drawing:
+                    sample = draw_rows(data, "_w", "_p", totals, n, [self.getSeed(), i]).persist(StorageLevel.MEMORY_AND_DISK)
+                    try:
+                        tree = tree.weighted("_drawn").fit(sample)
+                    finally:
+                        sample.unpersist()
+                else:
+                    tree = tree.weighted("_w").fit(data)
                 scored = tree.transform(data)
                 top, loss = loss_summary(scored, label, "prediction", "_w")
                 if loss <= 0.0:
@@ -131,12 +183,14 @@ class AdaBoost(Regressor, HasSeed):
                     break
                 trees.append(tree)
                 votes.append(rate * math.log((1.0 - loss) / loss))
-                data = scored.withColumn("_w", reweighted(label, "prediction", "_w", top, loss, rate)).drop("prediction")
-                # keep weights around 1 whatever the number of rounds
-                mean_next = data.agg(F.avg("_w")).first()[0]
-                data = data.withColumn("_w", F.col("_w") / F.lit(float(mean_next or 1.0)))
+                if i + 1 == self.get("n_estimators"):
+                    break
+                # weights stay around 1 whatever the number of rounds: the mean of the last ones divides the next
+                mean = sum(totals.values()) / n
+                data = scored.withColumn("_w", reweighted(label, "prediction", "_w", top, loss, rate) / F.lit(mean)).drop("prediction")
                 data = durable(data) if (i + 1) % _CUT_LINEAGE_EVERY == 0 else data.persist(StorageLevel.MEMORY_AND_DISK)
                 kept.append(data)
+                totals = {r["_p"]: r["t"] for r in data.groupBy("_p").agg(F.sum("_w").alias("t")).collect()}
                 if len(kept) > 2:
                     kept.pop(0).unpersist()
         finally:

@@ -1,7 +1,9 @@
 """Multi-layer perceptron trained by synchronous data-parallel gradient steps.
 
-Every step is one pass: tasks sum gradients over their rows, the driver updates
-the (small) weights. Inputs and label are standardised inside the model.
+Mini-batches: an epoch is one pass. Every task starts from the shared weights, updates its copy after each mini-batch
+of its rows, and the copies (with the optimiser's state) are averaged by rows at the end. Full batches (``batch_size=0``
+and lbfgs): tasks sum gradients over their rows, the driver takes one step a pass. Inputs and label are standardised
+inside the model.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from fitmesh.functions.vectors import as_array, map_rows, matrix
 from fitmesh.models.base import RegressionModel, Regressor, param
 from fitmesh.operators.partials import reduce_arrays
 from fitmesh.operators.scale import mean_and_std
-from fitmesh.session import held
+from fitmesh.session import durable, held
 
 _ACT = {
     "relu": (lambda z: np.maximum(z, 0.0), lambda a: (a > 0).astype(float)),
@@ -76,17 +78,27 @@ class MLPModel(RegressionModel):
         return df.withColumn(self.getPredictionCol(), map_rows(predict, as_array(df, self.getFeaturesCol())))
 
 
+_TASK_BATCHES = 50  # mini-batches an epoch that make another task worth its averaging
+
+
 class MLP(Regressor, HasSeed):
+    """Rows are dealt to tasks and ordered by a hash once; each epoch shuffles them again within an Arrow batch.
+
+    A task gets at least 50 mini-batches, so a small table is trained in sequence in one task.
+    """
+
     hidden_layer_sizes = param("hidden_layer_sizes", "units per hidden layer", TypeConverters.toListInt)
     activation = param("activation", "relu, tanh, logistic or identity", TypeConverters.toString)
     solver = param("solver", "adam, sgd or lbfgs", TypeConverters.toString)
     alpha = param("alpha", "L2 penalty", TypeConverters.toFloat)
     learning_rate = param("learning_rate", "constant, invscaling or adaptive", TypeConverters.toString)
     learning_rate_init = param("learning_rate_init", "step size", TypeConverters.toFloat)
-    max_iter = param("max_iter", "full-batch steps", TypeConverters.toInt)
+    max_iter = param("max_iter", "epochs, or steps where batches are full", TypeConverters.toInt)
+    batch_size = param("batch_size", "rows of a mini-batch; 0: all rows (lbfgs always takes all)", TypeConverters.toInt)
     tol = param("tol", "relative gain that counts as progress", TypeConverters.toFloat)
     DEFAULTS = {"hidden_layer_sizes": [100], "activation": "relu", "solver": "adam", "alpha": 1e-4,
-                "learning_rate": "constant", "learning_rate_init": 0.02, "max_iter": 100, "tol": 1e-5, "seed": 42}
+                "learning_rate": "constant", "learning_rate_init": 0.02, "max_iter": 100, "tol": 1e-5, "seed": 42,
+                "batch_size": 200}
 
     def _fit(self, df: DataFrame) -> MLPModel:
         kind, solver, schedule = self.get("activation"), self.get("solver"), self.get("learning_rate")
@@ -104,6 +116,13 @@ class MLP(Regressor, HasSeed):
                                for a, b in _shapes(sizes)])
         mask = np.concatenate([np.concatenate([np.ones(a * b), np.zeros(b)]) for a, b in _shapes(sizes)])
         data = df.select(as_array(df, self.getFeaturesCol()).alias("x"), label.alias("y"))
+        size, seed = self.get("batch_size"), self.getSeed()
+        if solver != "lbfgs" and size > 0:
+            flat, losses = _epochs(shuffled(data, n, size, seed), lambda x, y: ((x - mean) / scale, (y - y_mean) / y_scale), flat, mask,
+                                   sizes, kind, solver, schedule, self.get("learning_rate_init"), self.get("alpha"), size,
+                                   self.get("max_iter"), self.get("tol"), seed)
+            return self._hand_over(MLPModel({"flat": flat, "sizes": sizes, "mean": mean, "scale": scale, "y_mean": y_mean,
+                                             "y_scale": y_scale, "losses": losses}, activation=kind))
         data = held(data)
 
         def evaluate(weights):
@@ -134,6 +153,64 @@ class MLP(Regressor, HasSeed):
                                          "y_scale": y_scale, "losses": losses}, activation=kind))
 
 
+def shuffled(data: DataFrame, n: float, size: int, seed: int) -> DataFrame:
+    """Rows spread evenly over the training tasks, in the order of a seeded hash; written once, so that every epoch sees the same."""
+    spark = data.sparkSession
+    parts = max(data.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    parts = int(max(1, min(parts, n // (size * _TASK_BATCHES))))
+    return durable(data.repartition(parts).sortWithinPartitions(F.xxhash64(F.lit(seed), "x", "y"), "x", "y"))
+
+
+def update(w, m, v, t, g, solver, rate):
+    """One step from gradient ``g``: the weights and both moving averages after update number ``t``."""
+    if solver == "adam":
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        return w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8), m, v
+    m = 0.9 * m - rate * g
+    return w + 0.9 * m - rate * g, m, v
+
+
+def _epochs(data, standardise, w, mask, sizes, kind, solver, schedule, rate, alpha, size, max_iter, tol, seed):
+    k = len(w)
+    m, v, t, losses, best, stale = np.zeros(k), np.zeros(k), 0, [], np.inf, 0
+
+    for epoch in range(max_iter):
+        def run(batches, start=(w, m, v, t), epoch=epoch, rate=rate):
+            from pyspark import TaskContext
+
+            ctx = TaskContext.get()
+            rng = np.random.default_rng([seed, epoch, ctx.partitionId() if ctx else 0])
+            w, m, v, t = start
+            rows, loss = 0, 0.0
+            for b in batches:
+                x = matrix(b.column("x"))
+                if not len(x):
+                    continue
+                x, y = standardise(x, b.column("y").to_numpy(zero_copy_only=False))
+                order = rng.permutation(len(x))
+                for at in range(0, len(x), size):
+                    some = order[at:at + size]
+                    part, g = gradient(x[some], y[some], w, sizes, kind)
+                    loss += part + 0.5 * alpha * float((mask * w * w).sum())
+                    t += 1
+                    w, m, v = update(w, m, v, t, (g + alpha * mask * w) / len(some), solver,
+                                     rate / np.sqrt(t) if schedule == "invscaling" else rate)
+                rows += len(x)
+            return {"s": np.concatenate([[rows, loss, rows * t], rows * w, rows * m, rows * v])}
+
+        s = reduce_arrays(data, run)["s"]
+        s = s / s[0]
+        w, m, v, t = s[3:3 + k], s[3 + k:3 + 2 * k], s[3 + 2 * k:], int(round(s[2]))
+        losses.append(float(s[1]))
+        stale = 0 if losses[-1] < best * (1.0 - tol) else stale + 1
+        best = min(best, losses[-1])
+        if stale >= 10:
+            if schedule != "adaptive" or rate < 1e-6:
+                break
+            rate, stale = rate / 5.0, 0
+    return w, losses
+
+
 def _first_order(evaluate, w, solver, schedule, rate, max_iter, tol):
     m, v, losses, best, stale = np.zeros_like(w), np.zeros_like(w), [], np.inf, 0
     for t in range(1, max_iter + 1):
@@ -147,12 +224,7 @@ def _first_order(evaluate, w, solver, schedule, rate, max_iter, tol):
                 break
             rate, stale = rate / 5.0, 0
         step = rate / np.sqrt(t) if schedule == "invscaling" else rate
-        if solver == "adam":
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w = w - step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-        else:
-            m = 0.9 * m - step * g
-            w = w + 0.9 * m - step * g
+        w, m, v = update(w, m, v, t, g, solver, step)
     return kept, losses
 
 

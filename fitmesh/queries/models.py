@@ -249,7 +249,7 @@ def _stump(name, estimator):
 _stump("random_forest_stump", lambda: RandomForest(n_estimators=1, max_depth=1, bootstrap=False))
 _stump("xgboost_stump", lambda: XGBoost(n_estimators=1, max_depth=1, learning_rate=1.0, reg_lambda=0.0))
 _stump("lightgbm_stump", lambda: LightGBM(n_estimators=1, num_leaves=2, learning_rate=1.0))
-_stump("adaboost_stump", lambda: AdaBoost(n_estimators=1, max_depth=1))
+_stump("adaboost_stump", lambda: AdaBoost(n_estimators=1, max_depth=1, resample=False))
 
 
 @query("gradient_boosting_two_rounds", f"""

@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
 from frames import r2, signal, vectors
+from pyspark.sql import functions as F
 
-from fitmesh.models.adaboost import AdaBoost, AdaBoostModel
+from fitmesh.models.adaboost import AdaBoost, AdaBoostModel, draw_rows
 from fitmesh.models.extratrees import ExtraTrees, ExtraTreesModel
 from fitmesh.models.grouped import fit_by_group, predict_by_group
 from fitmesh.models.linear import OLS, ElasticNet, Lasso, LinearModel, Ridge
@@ -13,6 +14,7 @@ from fitmesh.models.cart import TreesModel
 from fitmesh.models.boosting import BoostedModel, LightGBM, XGBoost
 from fitmesh.models.trees import DecisionTree, GradientBoosting, NativeTreeModel, RandomForest
 from fitmesh.models.user import UserModel, UserRegressor
+from fitmesh.session import durable
 from fitmesh.queries.outputs import mean_finish, mean_partial, mean_predict
 
 
@@ -247,6 +249,78 @@ def test_svr_ignores_a_gross_outlier(spark):
         SVR(kernel="poly").fit(vectors(spark, x, y))
 
 
+def test_draws_follow_the_weights_and_add_up(spark):
+    rng = np.random.default_rng(4)
+    w = np.where(np.arange(600) % 3 == 0, 5.0, rng.uniform(0.0, 1.0, 600))
+    df = durable(spark.createDataFrame([(i, float(v)) for i, v in enumerate(w)], "id int, w double").repartition(7)).withColumn("p", F.spark_partition_id())
+    totals = {r["p"]: r["t"] for r in df.groupBy("p").agg(F.sum("w").alias("t")).collect()}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")  # partitions of several batches
+    try:
+        n = 60_000
+        drawn = draw_rows(df, "w", "p", totals, n, [1, 2])
+        first, again = ({r["id"]: r["_drawn"] for r in drawn.collect()} for _ in range(2))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    got = np.array([first.get(i, 0) for i in range(600)])
+    assert first == again and got.sum() == n
+    expect = n * w / w.sum()
+    assert ((got - expect) ** 2 / expect).sum() < 600 + 5 * np.sqrt(2 * 600)  # chi-squared, 599 degrees of freedom
+
+
+def test_adaboost_resamples_and_falls_back_to_weights(spark):
+    x, y = signal(900)
+    df = vectors(spark, x, y)
+    drawn, weighted = (AdaBoost(n_estimators=4, resample=r).fit(df) for r in (True, False))
+    assert drawn.votes != weighted.votes and min(drawn.score(df), weighted.score(df)) > 0.6
+
+
+@pytest.mark.parametrize("solver,schedule", [("adam", "constant"), ("sgd", "invscaling")])
+def test_mini_batches_equal_numpy_in_the_same_order(spark, solver, schedule):
+    x, y = signal(230)
+    df = vectors(spark, x, y)
+    model = MLP(hidden_layer_sizes=[5], activation="tanh", solver=solver, learning_rate=schedule, learning_rate_init=0.01, batch_size=50,
+                max_iter=3, alpha=0.1, seed=9).fit(df)
+    rows = df.select("features", "label").orderBy(F.xxhash64(F.lit(9), "features", "label")).collect()
+    a, b = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    a, b = (a - a.mean(0)) / a.std(0), (b - b.mean()) / b.std()
+    rng = np.random.default_rng(9)
+    w1, w2 = rng.uniform(-1, 1, (3, 5)) * np.sqrt(6 / 8), rng.uniform(-1, 1, (5, 1)) * np.sqrt(6 / 6)
+    params = [w1, np.zeros(5), w2, np.zeros(1)]
+    first, second = ([np.zeros_like(p) for p in params] for _ in range(2))
+    t = 0
+    for epoch in range(3):
+        order = np.random.default_rng([9, epoch, 0]).permutation(230)
+        for at in range(0, 230, 50):
+            i = order[at:at + 50]
+            t += 1
+            h = np.tanh(a[i] @ params[0] + params[1])
+            e = (h @ params[2] + params[3])[:, 0] - b[i]
+            back = e[:, None] * params[2][:, 0] * (1 - h ** 2)
+            grads = [(a[i].T @ back + 0.1 * params[0]) / len(i), back.sum(0) / len(i),
+                     (h.T @ e[:, None] + 0.1 * params[2]) / len(i), e.sum(keepdims=True) / len(i)]
+            step = 0.01 / np.sqrt(t) if schedule == "invscaling" else 0.01
+            for p, g, m, v in zip(params, grads, first, second):
+                if solver == "adam":
+                    m[:], v[:] = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+                    p -= step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+                else:
+                    m[:] = 0.9 * m - step * g
+                    p += 0.9 * m - step * g
+    assert np.allclose(model.state["flat"], np.concatenate([p.ravel() for p in params]), atol=1e-8)
+
+
+def test_mini_batches_on_several_tasks_are_averaged(spark, monkeypatch):
+    from fitmesh.models import mlp
+
+    monkeypatch.setattr(mlp, "_TASK_BATCHES", 4)
+    x, y = signal(1600)
+    df = vectors(spark, x, y)
+    assert mlp.shuffled(df.select(F.col("features").alias("x"), F.col("label").alias("y")), 1600, 50, 1).rdd.getNumPartitions() == 4
+    one, two = (MLP(hidden_layer_sizes=[20], batch_size=50, max_iter=15).fit(df) for _ in range(2))
+    assert one.score(df) > 0.85 and abs(one.score(df) - two.score(df)) < 0.1
+
+
 def test_mlp_loss_falls(spark):
     x, y = signal(300)
     losses = MLP(hidden_layer_sizes=[8], max_iter=15, solver="sgd").fit(vectors(spark, x, y)).state["losses"]
@@ -254,7 +328,6 @@ def test_mlp_loss_falls(spark):
 
 
 def test_weighted_score(spark):
-    from pyspark.sql import functions as F
 
     x, y = signal(200)
     df = vectors(spark, x, y).withColumn("w", F.col("id") % 5 + 1.0)
