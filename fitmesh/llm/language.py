@@ -179,6 +179,12 @@ def fit(texts: list[str], labels: list[str], rounds: int = 25, rate: float = 0.5
     return model
 
 
+def marginals(model: Model, w: Words) -> np.ndarray:
+    """Probability of each language for each word of a slice."""
+    d = Distinct(w)
+    return forward_backward(model.scores(d)[d.inverse], model.step, sentences(w))
+
+
 def _labelled(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN], dtype=object)
@@ -190,9 +196,7 @@ def _labelled(model: Model):
                 lettered = np.array([t is not None and _LETTER.search(t) is not None for t in own], bool)
                 total = np.zeros((w.rows, max(k, 1)))
                 if k and len(w.start):
-                    d = Distinct(w)
-                    post = forward_backward(model.scores(d)[d.inverse], model.step, sentences(w))
-                    doc = w.doc()
+                    post, doc = marginals(model, w), w.doc()
                     for c in range(k):
                         total[:, c] = np.bincount(doc, post[:, c], minlength=w.rows)
                 share = total / np.maximum(total.sum(1, keepdims=True), 1e-300)
@@ -203,28 +207,79 @@ def _labelled(model: Model):
     return run
 
 
+def _runs(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array(model.languages, dtype=object)
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1)
+            for w in words(pc.utf8_lower(texts)):
+                if not len(w.start) or not len(names):
+                    continue
+                post, doc = marginals(model, w), w.doc()
+                best = post.argmax(1)
+                new = np.ones(len(best), bool)
+                new[1:] = (best[1:] != best[:-1]) | (doc[1:] != doc[:-1])
+                head = np.flatnonzero(new)
+                tail = np.append(head[1:], len(best)) - 1
+                sure = np.add.reduceat(post[np.arange(len(best)), best], head) / (tail - head + 1)
+                points = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])  # code points before each byte
+                base = points[w.bounds[doc[head]]]
+                for at in range(0, len(head), 10_000):
+                    some = slice(at, at + 10_000)
+                    runs = [pa.array(points[w.start[head[some]]] - base[some]), pa.array(points[w.end[tail[some]]] - base[some]),
+                            pa.array(names[best[head[some]]], pa.string()), pa.array(np.clip(sure[some], 0, 1))]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(w.row + doc[head[some]])), *runs], names=["id", "start", "end", "lang", "probability"])
+
+    return run
+
+
 def training_sample(labelled: DataFrame, per_language: int, longest: int) -> DataFrame:
-    """At most ``per_language`` rows a language with texts of at most ``longest`` characters, by hash of the id and text."""
-    able = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.char_length("text") <= longest))
-    counts = able.groupBy("lang").agg(F.count(F.lit(1)).alias("c"))
+    """At most ``per_language`` rows a language with texts of at most ``longest`` characters, by hash of the id and text.
+
+    A language that has longer texts only is learned from a part of ``longest`` characters of each, at a place given by the hash.
+    """
+    able = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("short", F.char_length("text") <= longest)
+    counts = able.groupBy("lang").agg(F.count_if("short").alias("n_short"), F.count(F.lit(1)).alias("n_all"))
+    counts = counts.select("lang", (F.col("n_short") > 0).alias("has_short"), F.when(F.col("n_short") > 0, F.col("n_short")).otherwise(F.col("n_all")).alias("c"))
     able = able.withColumn("h", F.xxhash64("id", "text"))
     share = (F.shiftrightunsigned("h", 33) / F.lit(float(1 << 31)))
-    some = able.join(F.broadcast(counts), "lang").where(share * F.col("c") <= 2.0 * per_language)  # one row a language
+    some = able.join(F.broadcast(counts), "lang").where((F.col("short") | ~F.col("has_short")) & (share * F.col("c") <= 2.0 * per_language))  # one row a language
+    place = (F.pmod("h", F.greatest(F.char_length("text") - longest, F.lit(0)) + 1) + 1).cast("int")
+    some = some.withColumn("text", F.when(F.col("short"), F.col("text")).otherwise(F.substring(F.col("text"), place, F.lit(longest))))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     return some.withColumn("r", rank).where(F.col("r") <= per_language).select("text", "lang", "h")
 
 
+def learn(labelled: DataFrame, per_language: int, longest: int) -> Model:
+    rows = sorted(training_sample(labelled, per_language, longest).collect(), key=lambda r: (r["lang"], r["h"]))  # the bounded sample
+    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+
+
 def identify(docs: DataFrame, labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", per_language: int = 150,
              longest: int = 20_000) -> DataFrame:
     """``id_column, lang_pred, score`` of every whole text of ``docs``.
 
     The model is fitted on ``labelled`` (id, text, lang): at most ``per_language`` rows a language with at most ``longest`` characters, chosen by
-    hash. Predictions use the text alone. ``score`` is the mean probability of the predicted language over the words.
+    hash (parts of longer texts where a language has no others). Predictions use the text alone. ``score`` is the mean probability of the predicted language over the words.
     Null texts and texts without a letter are ``und`` with score 0, and so is everything when nothing is labelled.
     Rows are independent: repeated rows get equal results, null ids stay null, other columns are ignored.
     """
-    rows = sorted(training_sample(labelled, per_language, longest).collect(), key=lambda r: (r["lang"], r["h"]))  # the bounded sample
-    model = fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    model = learn(labelled, per_language, longest)
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(_labelled(model), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_column)
+
+
+def label_words(docs: DataFrame, labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", per_language: int = 150,
+                longest: int = 20_000) -> DataFrame:
+    """``id_column, start, end, lang, probability``: the runs of words of one language in every whole text, as in code-switched texts.
+
+    A run holds neighbouring words whose most probable language by forward-backward is the same; ``start`` and ``end``
+    (exclusive) count code points, ``probability`` is the mean over its words. The model is that of ``identify``, which sums
+    up the same word probabilities. Texts without words (null, empty, white space) have no runs, and none has any when
+    nothing is labelled. Rows are independent: repeated rows have their runs each, null ids stay null, other columns are ignored.
+    """
+    model = learn(labelled, per_language, longest)
+    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(_runs(model), f"id {kind}, start long, end long, lang string, probability double").withColumnRenamed("id", id_column)

@@ -211,6 +211,39 @@ def test_language_of_awkward_rows_and_mixed_texts(spark):
     assert language.identify(frame(spark, []), labelled).count() == 0
 
 
+def test_language_runs_of_code_switched_texts(spark):
+    train = [(i, "der die das und nicht. ein haus ist gross.", "de") for i in range(20)] + [(50 + i, "the and of with that. a house is big.", "en") for i in range(20)]
+    labelled = spark.createDataFrame(train, "id long, text string, lang string")
+    mixed = "der die das und ist gross the and of with that is big. İ DER die Das nicht"
+    long = "der die das und nicht ein haus " * 20_000
+    rows = [*AWKWARD, (9, mixed, ""), (9, mixed, ""), (10, "é " + mixed, ""), (11, long, ""), (12, "123 456", "")]
+    found = language.label_words(frame(spark, rows).withColumn("start", F.lit("x")), labelled).collect()
+    assert not [r for r in found if r["doc_id"] in (1, 2, 3)] and all(0 <= r["probability"] <= 1 for r in found)
+    texts = {9: mixed, 10: "é " + mixed, 11: long}
+    for doc, copies in ((9, 2), (10, 1)):
+        runs = sorted((r["start"], r["end"], r["lang"]) for r in found if r["doc_id"] == doc)
+        assert len(runs) == len(set(runs)) * copies
+        runs = sorted(set(runs))
+        words = [(lang, x) for a, b, lang in runs for x in texts[doc][a:b].split()]
+        assert [x for _, x in words] == texts[doc].split() and all(a[2] != b[2] for a, b in zip(runs, runs[1:]))
+        wrong = [x for lang, x in words if len(x) > 1 and lang != ("en" if x in "the and of with that is big.".split() else "de")]
+        assert not wrong
+    assert {(r["start"], r["end"], r["lang"]) for r in found if r["doc_id"] == 11} == {(0, len(long) - 1, "de")}
+    assert language.label_words(frame(spark), labelled.where("false")).count() == 0
+    assert language.label_words(frame(spark, []), labelled).count() == 0
+
+
+def test_a_language_with_long_texts_only_is_learned(spark):
+    train = [(i, "der die das und nicht ein haus ist gross. " * 30, "de") for i in range(6)] + [(50 + i, "the and of with that a house is big.", "en") for i in range(20)]
+    labelled = spark.createDataFrame(train, "id long, text string, lang string")
+    sample = language.training_sample(labelled, 150, 200).collect()
+    assert {r["lang"] for r in sample} == {"de", "en"} and max(len(r["text"]) for r in sample) == 200
+    both = spark.createDataFrame([*train, (99, "der die das", "de")], "id long, text string, lang string")
+    assert [r["text"] for r in language.training_sample(both, 150, 200).collect() if r["lang"] == "de"] == ["der die das"]
+    got = language.identify(frame(spark, [(1, "das haus ist gross", ""), (2, "the house is big", "")]), labelled, longest=200).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "de", 2: "en"}
+
+
 # ------------------------------------------------------------------ 3
 
 
