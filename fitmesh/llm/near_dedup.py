@@ -112,13 +112,36 @@ def _verified(percent: int):
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id, shingle`` of packed sets."""
+    """``id, shingle`` of packed sets, and the integers that follow them."""
     for batch in batches:
         data, offsets = text_buffers(batch.column(1))
+        more = batch.schema.names[2:]
         for i, j in slices(offsets):
             part = data[offsets[i] : offsets[j]]
-            ids = np.repeat(batch.column(0).slice(i, j - i).to_numpy(), np.diff(offsets[i : j + 1]) // 8)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.frombuffer(part.tobytes(), np.int64))], names=["id", "shingle"])
+            times = np.diff(offsets[i : j + 1]) // 8
+            ids, *rest = (pa.array(np.repeat(batch.column(c).slice(i, j - i).to_numpy(), times)) for c in ("id", *more))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.frombuffer(part.tobytes(), np.int64)), *rest], names=["id", "shingle", *more])
+
+
+def _undecided(sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: all pairs of sets of different components ``c`` that may have ``percent`` % of their union in common.
+
+    Shingles that only one component has are common to no pair. Of the others, rarest first, two linked sets share one among
+    the first ``m - need + 1`` of either: ``m`` is their number and ``need`` the least that a link must have in common.
+    """
+    need = F.floor((F.lit(percent) * F.col("n") + 99) / 100)
+    long = stored(sets.select("id", "shingles", "c", "n").mapInArrow(_shingles, "id long, shingle long, c long, n long"), "rest")
+    common = long.groupBy("shingle").agg(F.count(F.lit(1)).alias("x"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1")
+    own = long.join(common.select("shingle", "x"), "shingle").groupBy("id").agg(
+        F.first("c").alias("c"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("x", "shingle"))).alias("s"))
+    own = own.withColumn("m", F.size("s")).where(F.col("m") >= need)
+    own = own.select("id", "c", "n", "m", F.posexplode(F.slice("s", F.lit(1), (F.col("m") - need + 1).cast("int"))).alias("at", "e"))
+    own = stored(own.select("id", "c", "n", (F.col("m") - F.col("at")).alias("left"), F.col("e.shingle").alias("shingle")), "prefixes")
+    other = own.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("id", "c", "n", "left")])
+    size = lambda both: 100 * both >= percent * (F.col("n") + F.col("o_n") - both)
+    # at the first shingle that two sets share, no more than the shingles from there on can be common
+    return own.join(other, "shingle").where((F.col("id") < F.col("o_id")) & (F.col("c") != F.col("o_c")) & size(F.least("left", "o_left"))).select(
+        F.col("id").alias("a"), F.col("o_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, percent: int = 80,
@@ -136,9 +159,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     documents are one component. A round has at most as many pairs as keys have documents. The first leaders are the
     smallest ids, the second those with the smallest share of shingles that no other open document has (the least edited:
     in a group of edited copies whatever can link to any copy links to it), then those of the smallest components.
-    Rounds go on while they join components, and for ``rounds`` rounds at least, so keys of up to ``rounds`` + 1 documents are
-    always decided. ``exact`` goes on until every key is closed or decided, which takes as many rounds as the largest
-    key has documents that link to nothing. Pairs are set aside before verification by size and by the number of shingles
+    Rounds go on while they join components, and for ``rounds`` rounds at least. Documents of the keys that are open then are
+    joined exactly, by the rarest of their shingles: each of their pairs is decided. ``exact`` goes on with rounds instead until
+    every key is closed or decided, as many as the largest key has documents that link to nothing. Pairs of the rounds are set aside before verification by size and by the number of shingles
     that no other open document has (exact bounds), and by one-bit sketches (probabilistic, as the banding is).
     """
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
@@ -176,6 +199,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         # about two sketch bits in ten differ where minhashes agree in `percent` % of cases; twice as many plus 8 is beyond chance
         return size & (bits <= 8 + 2 * _BITS * (100 - percent) // 100)
 
+    def merged(got: DataFrame, labels: DataFrame) -> DataFrame:
+        ends = got.join(labels.select(F.col("id").alias("a"), F.col("c").alias("x")), "a").join(labels.select(F.col("id").alias("b"), F.col("c").alias("y")), "b")
+        comp = components(ends, "x", "y").withColumnsRenamed({"node": "c", "component": "new"})
+        labels = labels.join(comp, "c", "left").select("id", F.coalesce("new", "c").alias("c"))
+        return stored(labels.join(labels.groupBy("c").agg(F.count(F.lit(1)).alias("k")), "c").select("id", "c", "k"), "labels")
+
     labels = able.select("id", F.col("id").alias("c"), F.lit(1).cast("long").alias("k"))
     now, done = members.withColumn("m", F.col("n")), 0
     while True:
@@ -191,10 +220,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         got = stored(verify(pairs), "links")
         joined = not got.isEmpty()
         if joined:
-            ends = got.join(labels.select(F.col("id").alias("a"), F.col("c").alias("x")), "a").join(labels.select(F.col("id").alias("b"), F.col("c").alias("y")), "b")
-            comp = components(ends, "x", "y").withColumnsRenamed({"node": "c", "component": "new"})
-            labels = labels.join(comp, "c", "left").select("id", F.coalesce("new", "c").alias("c"))
-            labels = stored(labels.join(labels.groupBy("c").agg(F.count(F.lit(1)).alias("k")), "c").select("id", "c", "k"), "labels")
+            labels = merged(got, labels)
         done += 1
         now = now.drop(*[f"l_{c}" for c in carry])
         if done == 1:
@@ -203,7 +229,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             alone = sets.join(still, "id", "left_semi").mapInArrow(_shingles, "id long, shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("x"), F.min("id").alias("id"))
             alone = alone.where("x = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
             now = now.drop("m").join(alone, "id", "left").withColumn("m", F.col("n") - F.coalesce("u", F.lit(0))).where(100 * F.col("m") >= percent * F.col("n")).drop("u")
-        elif now.isEmpty() or (done >= rounds and not joined and not exact):
+        elif now.isEmpty():
+            break
+        elif done >= rounds and not joined and not exact:
+            rest = now.select("id", "n").distinct().join(labels.select("id", "c"), "id").join(sets, "id")
+            got = stored(verify(_undecided(rest, percent)), "links")
+            labels = labels if got.isEmpty() else merged(got, labels)
             break
     rep = lambda side: classes.select(F.col("pid").alias(side), F.col("rep").alias(f"rep_{side}"))
     edges = labels.where("id <> c").join(rep("id"), "id").join(rep("c"), "c").select(F.col("rep_id").alias("a"), F.col("rep_c").alias("b"))

@@ -161,6 +161,24 @@ def test_links_in_a_crowd_that_does_not_link(spark):
     assert found[True] == 1.0
 
 
+def test_every_link_of_a_large_crowd_is_found(spark):
+    """Texts of shared variants, three places apart at least, none of which link, with a few linked pairs: keys hold many more texts than rounds."""
+    rng, codes = random.Random(11), []
+    while len(codes) < 330:
+        c = [rng.randrange(5) for _ in range(7)]
+        if all(sum(x != y for x, y in zip(c, d)) > 2 for d in codes):
+            codes.append(c)
+    places = range(8, 124, 17)
+    text = lambda c: " ".join(f"v{places.index(i)}x{c[places.index(i)]}" if i in places else f"w{i}" for i in range(124))
+    rows = [text(c) for c in codes] + [text([9 if k == j % 7 else x for k, x in enumerate(codes[j])]) for j in (50, 150, 250)]
+    ids = rng.sample(range(10_000), len(rows))
+    rows = list(zip(ids, rows))
+    want = jaccard_components(rows, 5, 80)
+    assert sum(i != c for i, c in want.items()) == 3
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), bands=1, rows=1, rounds=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = near_dedup.near_duplicates(frame(spark)).collect()
     assert len(got) == len(AWKWARD)
