@@ -172,6 +172,39 @@ def test_a_node_of_ten_is_cut_one_to_nine(spark):
     assert np.allclose(predictions(DecisionTree(min_samples_split=11).fit(df), df), 10.0)
 
 
+def test_large_leaves_are_not_moved_to_one_task(spark, monkeypatch):
+    """Leaves at the depth limit take their value from sums; a node of one label is a leaf however large; bins follow a crowded node."""
+    moved, finish = [], cart._finish
+    monkeypatch.setattr(cart, "_finish", lambda data, part, *rest: moved.extend(len(t.handed) for t in part) or finish(data, part, *rest))
+    monkeypatch.setattr(cart, "HAND_OVER", 30)
+    x = np.repeat([0.0, 1.0, 2.0, 3.0], 60)[:, None]
+    y = np.repeat([1.0, 5.0, 20.0, 30.0], 60)
+    df = vectors(spark, x, y)
+    assert np.allclose(predictions(DecisionTree(max_depth=1).fit(df), df), np.repeat([3.0, 25.0], 120))
+    assert np.allclose(predictions(DecisionTree().fit(df), df), y)
+    assert not sum(moved)
+    monkeypatch.setattr(cart, "_BINS", 8)
+    x = np.concatenate([np.linspace(0, 1e-3, 200), [5.0]])[:, None]
+    y = np.where(np.arange(201) % 2, 1.0, -1.0) * np.where(np.arange(201) < 100, 1, 4)
+    df = vectors(spark, x, y)
+    assert np.allclose(predictions(DecisionTree().fit(df), df), y)
+
+
+def test_subtrees_of_a_large_tree_stay_a_table(spark, monkeypatch, tmp_path):
+    x, y = signal(400)
+    df = vectors(spark, x, y)
+    monkeypatch.setattr(cart, "HAND_OVER", 60)
+    whole = DecisionTree(min_samples_split=5).fit(df)
+    monkeypatch.setattr(cart, "MAX_NODES", 10)
+    model = DecisionTree(min_samples_split=5).fit(df)
+    assert model.subtrees is not None and len(model.state["value"]) < 60
+    model.write().save(str(tmp_path / "m"))
+    again = TreesModel.load(str(tmp_path / "m"))
+    assert model.transform(df).columns == whole.transform(df).columns
+    for m in (model, again):
+        assert np.allclose(predictions(m, df), predictions(whole, df))
+
+
 def test_deep_trees_and_bootstrap(spark, monkeypatch):
     n = 60
     y = np.where(np.arange(n) % 2, 1.0, -1.0) * 2.0 ** np.arange(n)  # each cut takes off the last value: depth n - 1
