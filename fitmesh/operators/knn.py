@@ -6,9 +6,11 @@
    the nearest points of each cell give an upper bound on every cell's k-th
    neighbour distance; a base point is only sent to cells it can matter for
    (triangle inequality), so nothing is lost.
-3. Cells are cut into blocks of bounded size. A task meets one query block and
-   one base block and keeps k candidates per query; candidates are merged by a
-   ranked window, which Spark also limits before the shuffle.
+3. Cells are cut into blocks, as large as memory allows or as small as the cores
+   need to be busy. A task meets one query block and one base block and keeps k
+   candidates per query under the query's number; candidates are merged by a
+   ranked window, which Spark also limits before the shuffle. Shuffled bytes are
+   rows x blocks, whatever the vectors' width on the side of the candidates.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from fitmesh.functions.vectors import as_array, list_column, matrix
 from fitmesh.operators.lookup import keyed_lookup
 from fitmesh.session import durable
 
-BLOCK_ROWS = 4096         # rows of one side in one task
+BLOCK_ROWS = 32_768       # rows of one side in one task
+_BLOCK_BYTES = 16 << 20   # of their vectors
+_LEAST_BLOCK = 2048       # smaller blocks are not worth their shuffle
 POINTS_PER_PIVOT = 20_000
 MAX_PIVOTS = 4096
 _PIVOT_BYTES = 64 << 20   # pivots are shipped with the tasks
@@ -95,46 +99,87 @@ def _bounds(queries: DataFrame, base: DataFrame, pivots: np.ndarray, k: int) ->
 def _replicate(base: DataFrame, pivots: np.ndarray, limit: np.ndarray) -> DataFrame:
     """Each base point once per query cell it can matter for."""
     id_type = base.schema["ids"].dataType.simpleString()
+    step = max(1, _BLOCK_BYTES // (8 * pivots.size))  # as if every point went to every cell
 
     def send(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            row, cell = np.nonzero(_distances(matrix(b.column("vec")), pivots) <= limit[None, :])
-            take = b.select(["vec", "ids"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), take.column(0), take.column(1)],
-                                             names=["cell", "vec", "ids"])
+        for batch in batches:
+            for first in range(0, batch.num_rows, step):
+                b = batch.slice(first, step)
+                row, cell = np.nonzero(_distances(matrix(b.column("vec")), pivots) <= limit[None, :])
+                take = b.select(["vec", "ids"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), take.column(0), take.column(1)],
+                                                 names=["cell", "vec", "ids"])
 
     return base.select("vec", "ids").mapInArrow(send, f"cell int, vec array<double>, ids {id_type}")
 
 
+def _received(base: DataFrame, pivots: np.ndarray, limit: np.ndarray) -> dict[int, int]:
+    """How many points :func:`_replicate` sends to each cell."""
+
+    def count(batches):
+        total = np.zeros(len(pivots), np.int64)
+        for b in batches:
+            if b.num_rows:
+                total += (_distances(matrix(b.column("vec")), pivots) <= limit[None, :]).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total)), pa.int32()), pa.array(total)], names=["cell", "n"])
+
+    rows = base.select("vec").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    return {r["cell"]: r["n"] for r in rows if r["n"]}
+
+
+def _nearest_columns(q: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of all pairs that may be among the ``k`` nearest of a row, near ties included."""
+    qq, bb = (q * q).sum(axis=1), (b * b).sum(axis=1)
+    slack = 1e-11 * (qq + bb.max()) + 1e-300
+    best = np.full((len(q), k), np.inf)  # squared distances less that of the row
+    rows, cols, values = [], [], []
+    for at in range(0, len(b), _COLUMNS):
+        sq = bb[None, at:at + _COLUMNS] - 2.0 * (q @ b[at:at + _COLUMNS].T)
+        if not at:
+            best[:, :min(k, sq.shape[1])] = np.partition(sq, min(k, sq.shape[1]) - 1, axis=1)[:, :k]
+        row, col = np.nonzero(sq <= (best.max(axis=1) + slack)[:, None])
+        value = sq[row, col]
+        if at and len(row):  # the k smallest of the best so far and the new ones
+            times = np.bincount(row, minlength=len(q))
+            new = np.full((len(q), times.max()), np.inf)
+            new[row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)] = value
+            best = np.partition(np.column_stack([best, new]), k - 1, axis=1)[:, :k]
+        rows.append(row)
+        cols.append(at + col)
+        values.append(value)
+    row, col, value = map(np.concatenate, (rows, cols, values))
+    keep = value <= (best.max(axis=1) + slack)[row]
+    row, col = row[keep], col[keep]
+    order = np.argsort(row, kind="stable")
+    return row[order], col[order]
+
+
+_COLUMNS = 8192
+_PAIRS = 1 << 16  # pairs whose differences are held at once
+
+
 def _meet(k: int, id_kind):
     """Candidates of one query block against one base block."""
 
     def run(left, right):
-        empty = {"vec": pa.array([], pa.list_(pa.float64())), "distance": pa.array([], pa.float64()), "id": pa.array([], id_kind)}
         if not left.num_rows or not right.num_rows:
-            return pa.table(empty)
-        q, b = matrix(left.column("query")), matrix(right.column("vec"))
+            return pa.table({"qid": pa.array([], pa.int64()), "distance": pa.array([], pa.float64()), "id": pa.array([], id_kind)})
+        q, b, qid = matrix(left.column("query")), matrix(right.column("vec")), left.column("qid").to_numpy()
         ids = right.column("ids").combine_chunks()
         size = np.diff(ids.offsets.to_numpy())
         flat = ids.flatten()
         starts = np.concatenate([[0], np.cumsum(size)[:-1]])
         origin = b.mean(axis=0)
-        qc, bc = q - origin, b - origin
-        bb = (bc * bc).sum(axis=1)
+        bc = b - origin
         out_q, out_d, out_i = [], [], []
         step = max(1, (1 << 22) // max(1, len(b)))
         for at in range(0, len(q), step):
-            part = qc[at:at + step]
-            qq = (part * part).sum(axis=1)
-            sq = qq[:, None] + bb[None, :] - 2.0 * (part @ bc.T)
-            kth = np.partition(sq, min(k, sq.shape[1]) - 1, axis=1)[:, min(k, sq.shape[1]) - 1]
-            slack = 1e-11 * (qq + bb.max()) + 1e-300
-            row, col = np.nonzero(sq <= (kth + slack)[:, None])
-            # near ties are settled by exact differences
-            diff = q[at:at + step][row] - b[col]
-            dist = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+            some = q[at:at + step]
+            row, col = _nearest_columns(some - origin, bc, min(k, len(b)))
+            dist = np.empty(len(row))
+            for i in range(0, len(row), _PAIRS):  # near ties are settled by exact differences
+                diff = some[row[i:i + _PAIRS]] - b[col[i:i + _PAIRS]]
+                dist[i:i + _PAIRS] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
             times = size[col]
             row, dist = np.repeat(row, times), np.repeat(dist, times)
             offset = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
@@ -143,12 +188,11 @@ def _meet(k: int, id_kind):
             order = pd.DataFrame({"r": row, "d": dist, "i": who.to_pandas()}).sort_values(["r", "d", "i"]).index.to_numpy()
             row = row[order]
             first = np.searchsorted(row, row, side="left")
-            keep = order[np.arange(len(row)) - first < k]
-            out_q.append(at + np.sort(row)[np.arange(len(row)) - first < k])
-            out_d.append(dist[keep])
-            out_i.append(who.take(pa.array(keep)))
-        at = np.concatenate(out_q)
-        return pa.table({"vec": list_column(q[at]) if len(at) else empty["vec"], "distance": pa.array(np.concatenate(out_d)),
+            keep = np.arange(len(row)) - first < k
+            out_q.append(qid[at + row[keep]])
+            out_d.append(dist[order[keep]])
+            out_i.append(who.take(pa.array(order[keep])))
+        return pa.table({"qid": pa.array(np.concatenate(out_q)), "distance": pa.array(np.concatenate(out_d)),
                          "id": pa.chunked_array(out_i, type=id_kind).combine_chunks()})
 
     return run
@@ -167,28 +211,32 @@ def nearest_points(queries: DataFrame, base: DataFrame, k: int, pivots: int | No
     centres = choose_pivots(base, n_base, pivots)
     id_kind = to_arrow_type(base.schema["ids"].dataType.elementType)
     id_type = base.schema["ids"].dataType.elementType.simpleString()
-    placed = durable(_assign(queries.select("vec"), centres))
-    if len(centres) == 1:
-        sent = base.select(F.lit(0).alias("cell"), "vec", "ids")
-    else:
-        sent = durable(_replicate(base, centres, _bounds(placed, _assign(base, centres), centres, k)))
+    placed = durable(_assign(queries.select("vec"), centres).withColumn("qid", F.monotonically_increasing_id()))
     # block counts per cell: at most one row per pivot
     left_n = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
-    right_n = {r["cell"]: r["count"] for r in sent.groupBy("cell").count().collect()}
-    plan = [(c, -(-left_n[c] // block_rows), -(-right_n[c] // block_rows)) for c in left_n if c in right_n]
+    if len(centres) == 1:
+        sent, right_n = base.select(F.lit(0).alias("cell"), "vec", "ids"), {0: n_base}
+    else:
+        limit = _bounds(placed, _assign(base, centres), centres, k)
+        sent, right_n = _replicate(base, centres, limit), _received(base, centres, limit)
+    pairs = sum(left_n[c] * right_n[c] for c in left_n if c in right_n)
+    busy = int((pairs / (4 * spark.sparkContext.defaultParallelism)) ** 0.5)  # blocks of this size keep all cores at work
+    rows = max(1, min(block_rows, _BLOCK_BYTES // (8 * max(1, centres.shape[1])), max(_LEAST_BLOCK, busy)))
+    plan = [(c, -(-left_n[c] // rows), -(-right_n[c] // rows)) for c in left_n if c in right_n]
     blocks = F.broadcast(spark.createDataFrame(plan, "cell int, lb int, rb int"))
     h = F.xxhash64("vec")
     left = placed.join(blocks, "cell").select(
         F.col("cell").alias("cell"), F.pmod(h, F.col("lb")).cast("int").alias("l"),
-        F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"), F.col("vec").alias("query"))
+        F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"), "qid", F.col("vec").alias("query"))
     right = sent.join(blocks, "cell").select(
         F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("l"),
         F.pmod(h, F.col("rb")).cast("int").alias("r"), "vec", "ids")
     found = left.groupBy("cell", "l", "r").cogroup(right.groupBy("cell", "l", "r")).applyInArrow(
-        _meet(k, id_kind), f"vec array<double>, distance double, id {id_type}")
-    window = Window.partitionBy("vec").orderBy("distance", "id")
+        _meet(k, id_kind), f"qid long, distance double, id {id_type}")
+    window = Window.partitionBy("qid").orderBy("distance", "id")
     best = found.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= k)
-    return best.groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("neighbors"))
+    lists = best.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("neighbors"))
+    return placed.select("qid", "vec").join(lists, "qid").select("vec", "neighbors")
 
 
 def knn_join(queries: DataFrame, base: DataFrame | None, k: int, query_id: str = "id", base_id: str | None = None,

@@ -195,3 +195,26 @@ def test_hashed_neighbours_in_regression_and_density(spark):
     assert np.mean(np.isclose(exact, hashed)) > 0.8
     out = LocalOutlierFactor(algorithm="lsh").mask(df).where("not is_inlier").select("id").toPandas()["id"]
     assert set(range(5)) <= set(out)
+
+
+def test_candidates_travel_without_their_vectors(monkeypatch):
+    """A block's candidates carry the query's number, and columns met piece by piece give the same neighbours."""
+    import pyarrow as pa
+
+    from fitmesh.functions.vectors import list_column
+    from fitmesh.operators import knn
+
+    rng = np.random.default_rng(4)
+    q, b = rng.integers(0, 4, (40, 3)).astype(float), np.unique(rng.integers(0, 9, (300, 3)), axis=0).astype(float)  # with ties
+    left = pa.table({"qid": pa.array(np.arange(40) + 7), "query": list_column(q)})
+    right = pa.table({"vec": list_column(b), "ids": pa.array([[i] for i in range(len(b))], pa.list_(pa.int64()))})
+    for columns in (8192, 11):
+        monkeypatch.setattr(knn, "_COLUMNS", columns, raising=False)
+        found = knn._meet(5, pa.int64())(left, right)
+        assert found.column_names == ["qid", "distance", "id"]
+        got = {}
+        for i, d, who in zip(*(found.column(c).to_pylist() for c in found.column_names)):
+            got.setdefault(i - 7, []).append((d, who))
+        for i, v in enumerate(q):
+            want = sorted(zip(np.sqrt(((b - v) ** 2).sum(axis=1)), range(len(b))))[:5]
+            assert [w for _, w in sorted(got[i])] == [w for _, w in want]
