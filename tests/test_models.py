@@ -134,6 +134,18 @@ def test_boosting_equals_plain_python(spark, monkeypatch, estimator, leaves, dep
     assert np.allclose(predictions(estimator.fit(df), df), want)
 
 
+def test_binned_rows_travel_in_blocks(spark):
+    from fitmesh.operators.packed import blocks, pack
+
+    x = np.random.default_rng(2).normal(size=(500, 2))
+    cuts = [np.linspace(-1, 1, 9), np.linspace(-2, 2, 300)]  # the second needs two bytes a bin
+    for c in (cuts, cuts[:1] * 2):
+        packed = pack(vectors(spark, x, x[:, 0]).selectExpr("features as x", "label as y"), c, ["y"], {"m": 3.0}).toArrow()
+        assert packed.num_rows == 4
+        found = [(y, m, *b) for bins, y, m in map(list, blocks(2, {"y": np.float64, "m": np.float64})(packed.to_batches())) for b, y, m in zip(bins, y, m)]
+        assert sorted(found) == sorted((v[0], 3.0, *(np.searchsorted(k, a, "left") for k, a in zip(c, v))) for v in x)
+
+
 def plain_tree(x, y, depth, least):
     p = np.zeros(len(y))
 
