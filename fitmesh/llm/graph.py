@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fitmesh.session import durable
+from fitmesh.llm.storage import cut, once
 
 
 def _mark(e: DataFrame):
-    return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
+    with once(e.sparkSession):
+        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -22,16 +23,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     lone = edges.where("a = b").select(F.col("a").alias("node"))
-    e = durable(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
+    e = cut(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
     mark = _mark(e)
     while mark[0]:
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionAll(e.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
-        large = durable(large)
+        large = cut(large)
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         down = large.join(least, "hi").where("lo > m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
-        e = durable(down.unionAll(least.select(F.col("m").alias("lo"), "hi")).distinct())
+        e = cut(down.unionAll(least.select(F.col("m").alias("lo"), "hi")).distinct())
         before, mark = mark, _mark(e)
         if before == mark:
             break

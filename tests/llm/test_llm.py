@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from fitmesh.llm import bpe, decontaminate, language, line_dedup, near_dedup, pii, quality, sharding, url_filter, warc
 from fitmesh.llm.graph import components
 from fitmesh.llm.queries import QUERIES, SQL
+from fitmesh.llm.storage import cut, stored
 from fitmesh.llm.words import words
 
 P = pytest.importorskip("public_tokenizers")
@@ -179,6 +180,22 @@ def test_every_link_of_a_large_crowd_is_found(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_tables_set_aside_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    there = lambda: {x for x in disk.getAllFiles().mkString("|").split("|") if "/shuffle_" in x}
+    before = there()
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    for made in (stored(counts, "counts"), cut(counts)):
+        for _ in range(50):  # files are removed a moment later
+            if there() <= before:
+                break
+            time.sleep(0.1)
+        assert there() <= before
+        assert made.agg(F.sum("n")).first()[0] == 1000
+        before = there()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != "1000"
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = near_dedup.near_duplicates(frame(spark)).collect()
     assert len(got) == len(AWKWARD)
