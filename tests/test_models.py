@@ -412,3 +412,39 @@ def test_unknown_parameters_are_refused():
         Ridge(beta=1.0)
     with pytest.raises(TypeError):
         Ridge(alpha="strong")
+
+
+def test_exact_trees_split_small_nodes_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 9, 3000), rng.random(3000), np.where(rng.random(3000) < 0.1, np.nan, rng.integers(0, 3, 3000))]).astype(float)
+    y, w = rng.integers(0, 50, 3000).astype(float), rng.integers(1, 4, 3000).astype(float)
+    grow = lambda depth, least: cart.grow_exact(x, y, w, depth, least, 3, np.random.default_rng(1))
+    leaves = lambda t: cart.FlatForest(np.zeros(len(t["value"])), *[t[c] for c in cart._PARTS]).mean(np.vstack([x, x + 0.3]))
+    for depth, least in ((None, 2), (6, 10)):
+        monkeypatch.setattr(cart, "_SMALL", 64)
+        many = grow(depth, least)
+        monkeypatch.setattr(cart, "_SMALL", 0)
+        one = grow(depth, least)
+        assert len(many["value"]) == len(one["value"])
+        assert np.array_equal(leaves(many), leaves(one))
+
+
+def test_fourier_features_are_cosines():
+    from fitmesh.models import svr
+
+    rng = np.random.default_rng(5)
+    x, w, b = rng.normal(size=(1500, 3)) * 5, rng.normal(size=(3, 7)), rng.random(7) * 6
+    assert svr._ROWS < 1500
+    assert np.allclose(svr.fourier(x, w, b), np.sqrt(2 / 7) * np.cos(x @ w + b), rtol=0, atol=1e-13)
+    assert svr.fourier(x[:0], w, b).shape == (0, 7)
+
+
+def test_epochs_read_blocks_of_rows(spark):
+    from fitmesh.models import mlp
+
+    df = spark.range(0, 3000, numPartitions=3).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"), F.col("id").cast("double").alias("y"))
+    data = mlp.shuffled(df, 3000, 10, 1)
+    found = [(x.copy(), y.copy()) for x, y in mlp._unpacked(data.toArrow().to_batches())]
+    assert data.count() == len(found) < 100
+    assert sorted(np.concatenate([y for _, y in found])) == list(range(3000))
+    assert all(np.array_equal(x, np.column_stack([y, np.ones(len(y))])) for x, y in found)
