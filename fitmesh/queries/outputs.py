@@ -18,21 +18,26 @@ from fitmesh.plans.search import PortfolioSearch, RoundSearch, random_search
 from fitmesh.queries.data import exact_folds_sql
 from fitmesh.queries.models import FOLDS, HOLDOUT, SCORES, SUMMARY_SQL, SUMMARY, fold_scores_sql, oof_sql, scores_sql, split_rows
 from fitmesh.queries.registry import LI, hash_sql, lines, metrics_sql, query, rounded, table, with_features
+from fitmesh.session import held
 from fitmesh.sources import records
 
 
 def _record(spark, sf_dir):
     """A record from two cross-validated models and one hold-out score."""
     li = with_features(lines(spark, sf_dir), ["price"], "id")
-    folded = repeated_kfold(li, ["id"], 5, 3)
+    folded = held(repeated_kfold(li, ["id"], 5, 3).drop("id"))  # each row's hashes are computed once
     engines = {"least_squares": OLS(), "ridge": Ridge(alpha=1e13)}
     cv = {n: {**cross_validate_summary(e, folded, FOLDS).drop("model").first().asDict(), "duration_seconds": 0.0} for n, e in engines.items()}
-    train, test = split_rows(spark, sf_dir, ["price"])
+    folded.unpersist()
+    train, test = (held(part) for part in split_rows(spark, sf_dir, ["price"]))
     hold = M.evaluate(OLS().fit(train).transform(test)).first()
+    n_rows = train.count() + test.count()
+    for part in (train, test):
+        part.unpersist()
     return {
         "run_meta": {"timestamp_utc": "2025-01-01T00:00:00Z", "budget_seconds": 60, "metric": "r2", "engines_invoked": list(engines),
                      "ensemble_enabled": False, "total_duration_seconds": 1.0, "data_path": sf_dir, "target_path": sf_dir},
-        "dataset": {"data_path": sf_dir, "target_path": sf_dir, "n_rows": train.count() + test.count(), "n_features": 1, "target_name": "label"},
+        "dataset": {"data_path": sf_dir, "target_path": sf_dir, "n_rows": n_rows, "n_features": 1, "target_name": "label"},
         "champion_engine": "least_squares",
         "holdout_metrics": {m: hold[m] for m in ("r2", "rmse", "mae")},
         "per_engine_cv_metrics": cv,

@@ -251,3 +251,18 @@ def test_run_ignores_a_column_named_id_and_follows_the_metric(spark):
     out = run(df, ["k"], [portfolio, PortfolioSearch(name="other", families=["Ridge"])], label="y", columns=["a", "b"], metric="neg_mean_absolute_error", n_splits=2, n_repeats=1)
     assert out.holdout["r2"] > 0.99 and out.record["run_meta"]["metric"] == "neg_mean_absolute_error"
     assert portfolio.metric == "r2"  # the caller's object is left alone
+
+
+def test_record_holds_its_folds_and_parts(spark, tmp_path, monkeypatch):
+    """Every scan of the table hashes the keys again; models and scores read what is held."""
+    from fitmesh.queries import outputs
+
+    rows = [(i, 1, i % 7, i % 5, float(i % 50 + 1), 900.0 + 13 * (i * i % 101), (i % 11) / 100, (i % 9) / 100, "A", "F") for i in range(200)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
+                                "l_tax double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    held, kept = outputs.held, []
+    monkeypatch.setattr(outputs, "held", lambda df: kept.append(held(df)) or kept[-1])
+    record = outputs._record(spark, str(tmp_path))
+    assert record["dataset"]["n_rows"] == 200
+    assert len(kept) == 3 and all("id" not in df.columns or len(df.columns) > 2 for df in kept)
+    assert not any(df.storageLevel.useMemory for df in kept)
