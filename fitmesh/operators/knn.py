@@ -127,21 +127,37 @@ def _received(base: DataFrame, pivots: np.ndarray, limit: np.ndarray) -> dict[in
     return {r["cell"]: r["n"] for r in rows if r["n"]}
 
 
-def _nearest_columns(q: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of all pairs that may be among the ``k`` nearest of a row, near ties included."""
+def nearest_columns(q: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of all pairs that may be among the ``k`` nearest of a row, near ties included.
+
+    Single precision takes half the time; its slack covers every rounding. Where that lets too many pairs through, double precision does it again.
+    """
+    size = (q * q).sum(axis=1).max(initial=0.0) + (b * b).sum(axis=1).max(initial=0.0)
+    if 1e-20 < size < 1e30:
+        found = _near(q.astype(np.float32), b.astype(np.float32), k, (q.shape[1] + 8) * 2.0**-22, 4 * k * len(q) + 1024)
+        if found is not None:
+            return found
+    return _near(q, b, k, 1e-11, None)
+
+
+def _near(q: np.ndarray, b: np.ndarray, k: int, error: float, most: int | None) -> tuple[np.ndarray, np.ndarray] | None:
     qq, bb = (q * q).sum(axis=1), (b * b).sum(axis=1)
-    slack = 1e-11 * (qq + bb.max()) + 1e-300
-    best = np.full((len(q), k), np.inf)  # squared distances less that of the row
+    slack = error * (qq + bb.max()) + 1e-300
+    best = np.full((len(q), k), np.inf, q.dtype)  # squared distances less that of the row
     rows, cols, values = [], [], []
     for at in range(0, len(b), _COLUMNS):
-        sq = bb[None, at:at + _COLUMNS] - 2.0 * (q @ b[at:at + _COLUMNS].T)
+        sq = q @ b[at:at + _COLUMNS].T
+        sq *= -2.0
+        sq += bb[None, at:at + _COLUMNS]
         if not at:
             best[:, :min(k, sq.shape[1])] = np.partition(sq, min(k, sq.shape[1]) - 1, axis=1)[:, :k]
-        row, col = np.nonzero(sq <= (best.max(axis=1) + slack)[:, None])
+        row, col = np.nonzero(sq <= (best.max(axis=1) + slack).astype(q.dtype)[:, None])
+        if most is not None and len(row) > 4 * most:
+            return None
         value = sq[row, col]
         if at and len(row):  # the k smallest of the best so far and the new ones
             times = np.bincount(row, minlength=len(q))
-            new = np.full((len(q), times.max()), np.inf)
+            new = np.full((len(q), times.max()), np.inf, q.dtype)
             new[row, np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)] = value
             best = np.partition(np.column_stack([best, new]), k - 1, axis=1)[:, :k]
         rows.append(row)
@@ -150,6 +166,8 @@ def _nearest_columns(q: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray,
     row, col, value = map(np.concatenate, (rows, cols, values))
     keep = value <= (best.max(axis=1) + slack)[row]
     row, col = row[keep], col[keep]
+    if most is not None and len(row) > most:
+        return None
     order = np.argsort(row, kind="stable")
     return row[order], col[order]
 
@@ -172,10 +190,10 @@ def _meet(k: int, id_kind):
         origin = b.mean(axis=0)
         bc = b - origin
         out_q, out_d, out_i = [], [], []
-        step = max(1, (1 << 22) // max(1, len(b)))
+        step = max(1, (1 << 22) // max(1, min(len(b), _COLUMNS)))
         for at in range(0, len(q), step):
             some = q[at:at + step]
-            row, col = _nearest_columns(some - origin, bc, min(k, len(b)))
+            row, col = nearest_columns(some - origin, bc, min(k, len(b)))
             dist = np.empty(len(row))
             for i in range(0, len(row), _PAIRS):  # near ties are settled by exact differences
                 diff = some[row[i:i + _PAIRS]] - b[col[i:i + _PAIRS]]

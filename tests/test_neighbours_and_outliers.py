@@ -218,3 +218,46 @@ def test_candidates_travel_without_their_vectors(monkeypatch):
         for i, v in enumerate(q):
             want = sorted(zip(np.sqrt(((b - v) ** 2).sum(axis=1)), range(len(b))))[:5]
             assert [w for _, w in sorted(got[i])] == [w for _, w in want]
+
+
+def test_nearest_columns_in_either_precision():
+    """Single precision must lose no neighbour: far groups, copies and tiny values go on in double precision or let more pairs through."""
+    from fitmesh.operators import knn
+
+    rng = np.random.default_rng(5)
+    near = rng.standard_normal((400, 6))
+    for b in (near, np.concatenate([near, near + 1e6]), near * 1e-15, near * 1e20, rng.integers(0, 3, (400, 6)).astype(float), np.zeros((9, 6))):
+        q, k = b[::7], 5
+        row, col = knn.nearest_columns(q - b.mean(0), b - b.mean(0), k)
+        for i in range(len(q)):
+            d = np.sqrt(((q[i] - b) ** 2).sum(-1))
+            assert set(np.flatnonzero(d <= np.sort(d)[k - 1])) <= set(col[row == i])
+
+
+def test_probe_keys_of_leaves_only():
+    """Only keys of buckets in use leave the task: with 24 levels all others are 1920 rows a query."""
+    import pyarrow as pa
+
+    from fitmesh.operators import lsh
+
+    x = np.random.default_rng(3).standard_normal((50, 8))
+    t = lsh._Tables(x.mean(0), 2.8, 4, 2.0, 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(list(x))], names=["qid", "vec"])
+    cell, place = t.cells(x)
+    side, edge, want = np.where(place < 0.5, -1, 1), np.minimum(place, 1 - place), set()
+    for i in range(50):
+        for level in range(6):
+            for flip in [None, *np.ndindex(4)]:
+                for table in range(4):
+                    other = cell[i : i + 1].copy()
+                    if flip is not None:
+                        near = np.argsort(edge[i, table, : level + 1])[:2]
+                        if flip[0] >= len(near[:2]):
+                            continue
+                        other[0, table, near[flip[0]]] += side[i, table, near[flip[0]]]
+                    want.add((i, int(t.keys(other)[0, table, level])))
+    rows = lambda leaves: [p for b in lsh._probe_keys(t, 6, 2, leaves)([batch]) for p in zip(*(c.to_pylist() for c in b.columns))]
+    every = rows(None)
+    assert set(every) == want and len(every) == len(want)
+    leaves = np.sort(t.keys(cell)[:, :, 3].ravel())
+    assert set(rows(leaves)) == {p for p in want if p[1] in set(leaves.tolist())}
