@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from fitmesh.llm.storage import cut, once
 
 
-def _mark(e: DataFrame):
+def _open(e: DataFrame) -> bool:
+    """Whether some node has two smaller neighbours, or smaller and larger ones; else the edges are stars around their smallest nodes."""
+    ends = e.select(F.col("hi").alias("u"), F.lit(1).alias("up")).unionAll(e.select(F.col("lo").alias("u"), F.lit(0).alias("up")))
     with once(e.sparkSession):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
+        return not ends.groupBy("u").agg(F.sum("up").alias("up"), F.min("up").alias("is_hi")).where("up > 1 or up = 1 and is_hi = 0").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,8 +26,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     lone = edges.where("a = b").select(F.col("a").alias("node"))
     e = cut(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
-    mark = _mark(e)
-    while mark[0]:
+    while _open(e):
         both = e.select(F.col("lo").alias("u"), F.col("hi").alias("v")).unionAll(e.select(F.col("hi").alias("u"), F.col("lo").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
@@ -33,9 +34,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         down = large.join(least, "hi").where("lo > m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
         e = cut(down.unionAll(least.select(F.col("m").alias("lo"), "hi")).distinct())
-        before, mark = mark, _mark(e)
-        if before == mark:
-            break
     stars = e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     roots = e.select(F.col("lo").alias("node")).distinct().select("node", F.col("node").alias("component"))
     alone = lone.distinct().join(stars.select("node").unionAll(roots.select("node")), "node", "left_anti")

@@ -145,7 +145,7 @@ def _undecided(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, percent: int = 80,
-                    bands: int = 14, rows: int = 3, rounds: int = 6, exact: bool = False) -> DataFrame:
+                    bands: int = 14, rows: int = 3, rounds: int = 3, exact: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``.
 
     Texts are linked when their sets of ``shingle``-word shingles (A-Z lower-cased) have at least ``percent`` % of the
@@ -202,15 +202,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def merged(got: DataFrame, labels: DataFrame) -> DataFrame:
         ends = got.join(labels.select(F.col("id").alias("a"), F.col("c").alias("x")), "a").join(labels.select(F.col("id").alias("b"), F.col("c").alias("y")), "b")
         comp = components(ends, "x", "y").withColumnsRenamed({"node": "c", "component": "new"})
-        labels = labels.join(comp, "c", "left").select("id", F.coalesce("new", "c").alias("c"))
-        return stored(labels.join(labels.groupBy("c").agg(F.count(F.lit(1)).alias("k")), "c").select("id", "c", "k"), "labels")
+        return stored(labels.join(comp, "c", "left").select("id", F.coalesce("new", "c").alias("c")), "labels")
 
-    labels = able.select("id", F.col("id").alias("c"), F.lit(1).cast("long").alias("k"))
+    labels = able.select("id", F.col("id").alias("c"))
     now, done = members.withColumn("m", F.col("n")), 0
     while True:
-        now = now.drop("c", "k").join(labels, "id")
-        share = (F.col("n") - F.col("m")) / F.col("n")
-        order = [F.col("id"), share, F.col("k")][min(done, 2)]
+        sized = labels if done < 2 else labels.join(labels.groupBy("c").agg(F.count(F.lit(1)).alias("k")), "c")
+        now = now.drop("c", "k").join(sized, "id")
+        order = [F.col("id"), (F.col("n") - F.col("m")) / F.col("n"), F.col("k") if done > 1 else None][min(done, 2)]
         rank = F.struct(order.alias("o"), (F.xxhash64("id", F.lit(done)) if done else F.col("id")).alias("h"))
         carry = ["id", "n", "s0", "s1", "m", "c"]
         leads = now.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by(F.struct(*carry), rank).alias("l")).where("c0 < c1")
@@ -237,7 +236,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             labels = labels if got.isEmpty() else merged(got, labels)
             break
     rep = lambda side: classes.select(F.col("pid").alias(side), F.col("rep").alias(f"rep_{side}"))
-    edges = labels.where("id <> c").join(rep("id"), "id").join(rep("c"), "c").select(F.col("rep_id").alias("a"), F.col("rep_c").alias("b"))
+    linked = labels.join(labels.where("id <> c").select("c").distinct(), "c", "left_semi").join(rep("id"), "id")
+    least = linked.groupBy("c").agg(F.min("rep_id").alias("b"))
+    edges = linked.join(least, "c").where("rep_id <> b").select(F.col("rep_id").alias("a"), "b")  # stars around the smallest ids
     # every text of an id is an edge from the id to its class
     several = known.groupBy("id").agg(F.min(F.struct("n", "f0", "f1")).alias("x"), F.max(F.struct("n", "f0", "f1")).alias("y")).where("x <> y").select(F.col("id").alias("a"))
     own = known.join(classes, ["n", "f0", "f1"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))

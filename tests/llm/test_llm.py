@@ -658,3 +658,16 @@ def test_pipeline_stages_follow_their_operators(spark, data):
     e = tiktoken_encoding()
     for r in c.token_stage(spark, out, data).collect():
         assert list(r["ids"]) == e.encode_ordinary(kept[3][r["doc_id"]])
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """Edges that are stars around their smallest nodes are an answer already; each round would cost three shuffles."""
+    from fitmesh.llm import graph
+
+    cuts, cut = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: cuts.append(1) or cut(df))
+    found = lambda rows: {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert found([(1, 5), (5, 1), (1, 9), (2, 3), (7, 7), (None, 4)]) == {1: 1, 5: 1, 9: 1, 2: 2, 3: 2, 7: 7}
+    assert len(cuts) == 1
+    assert found([(1, 5), (5, 9), (9, 12), (12, 3), (20, 21), (22, 21)]) == {1: 1, 5: 1, 9: 1, 12: 1, 3: 1, 20: 20, 21: 20, 22: 20}
+    assert found([(2, 9), (1, 9)]) == {1: 1, 2: 1, 9: 1}
