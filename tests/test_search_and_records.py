@@ -266,3 +266,24 @@ def test_record_holds_its_folds_and_parts(spark, tmp_path, monkeypatch):
     assert record["dataset"]["n_rows"] == 200
     assert len(kept) == 3 and all("id" not in df.columns or len(df.columns) > 2 for df in kept)
     assert not any(df.storageLevel.useMemory for df in kept)
+
+
+def test_a_preparation_is_fitted_once_for_all_families(spark, monkeypatch):
+    """And when it fails, every candidate that has it fails, the others go on."""
+    from fitmesh.operators.scale import RobustScale, StandardScale
+
+    fits, fit = [], StandardScale._fit
+    monkeypatch.setattr(StandardScale, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+
+    def broken(self, df):
+        raise RuntimeError("no scale")
+
+    monkeypatch.setattr(RobustScale, "_fit", broken)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((80, 2))
+    df = spark.createDataFrame([(i, v.tolist(), float(v[0] + 2 * v[1])) for i, v in enumerate(x)], "id long, features array<double>, label double")
+    found = PortfolioSearch(families=["Ridge", "OLS"], preparations=[None, "StandardScaler", "RobustScaler"]).run(df, ["id"])
+    assert len(fits) == 1
+    status = {r["model"]: (r["status"], r["error"]) for r in found.table.collect()}
+    assert {m for m, (s, _) in status.items() if s == "ok"} == {"Ridge", "OLS", "StandardScaler+Ridge", "StandardScaler+OLS"}
+    assert all("no scale" in status[f"RobustScaler+{f}"][1] for f in ("Ridge", "OLS"))
