@@ -287,3 +287,24 @@ def test_a_preparation_is_fitted_once_for_all_families(spark, monkeypatch):
     status = {r["model"]: (r["status"], r["error"]) for r in found.table.collect()}
     assert {m for m, (s, _) in status.items() if s == "ok"} == {"Ridge", "OLS", "StandardScaler+Ridge", "StandardScaler+OLS"}
     assert all("no scale" in status[f"RobustScaler+{f}"][1] for f in ("Ridge", "OLS"))
+
+
+def test_cross_validation_leaves_a_held_table_held(spark):
+    """A search holds its table for all candidates; the first one's cross-validation must not let it go."""
+    from pyspark import StorageLevel
+
+    from fitmesh.plans.crossval import cross_validate_keep_best
+    from fitmesh.session import held
+
+    rows = [(i % 2, [float(i), float(i % 5)], float(3 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "fold int, features array<double>, label double")
+    data = held(df)
+    try:
+        cross_validate(DecisionTree(max_depth=2), data, ["fold"])
+        assert data.storageLevel != StorageLevel.NONE
+        cross_validate_keep_best(DecisionTree(max_depth=2), data, ["fold"])
+        assert data.storageLevel != StorageLevel.NONE
+    finally:
+        data.unpersist()
+    cross_validate(DecisionTree(max_depth=2), data, ["fold"])
+    assert data.storageLevel == StorageLevel.NONE
