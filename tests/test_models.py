@@ -146,6 +146,47 @@ def test_binned_rows_travel_in_blocks(spark):
         assert sorted(found) == sorted((v[0], 3.0, *(np.searchsorted(k, a, "left") for k, a in zip(c, v))) for v in x)
 
 
+def test_rows_travel_in_blocks_before_they_are_binned(spark, monkeypatch):
+    from fitmesh.operators import packed
+    from fitmesh.operators.orderstats import block_order_statistics
+
+    x = np.random.default_rng(4).normal(size=(500, 2))
+    x[3, 1] = np.nan
+    df = vectors(spark, x, x[:, 0]).selectExpr("features as x", "if(label > 1, null, label) as y", "cast(label * 1000 as bigint) as r")
+    for size in (4 << 20, 32 * 20):  # 20 rows a block
+        monkeypatch.setattr(packed, "_BLOCK_BYTES", size)
+        table = packed.pack_rows(df, 2, ["y", "r"]).cache()
+        assert table.agg({"n": "sum"}).first()[0] == 500 and table.count() <= (8 if size > 1000 else 40)
+        known = table.where("y is not null")
+        rows = [(*b, y, r) for v in packed.row_blocks(2, {"y": np.float64, "r": np.int64})(known.toArrow().to_batches()) for b, y, r in zip(*v)]
+        assert np.allclose(sorted(rows), sorted((*v, v[0], int(v[0] * 1000)) for v in x if v[0] <= 1), equal_nan=True)
+        n, mean = packed.count_and_mean(table, "y")
+        assert n == (x[:, 0] <= 1).sum() and np.isclose(mean, x[x[:, 0] <= 1, 0].mean())
+        totals, found = block_order_statistics(table, 2, [0, 1], lambda c, n: [0, n // 2])
+        for j in (0, 1):
+            values = np.sort(x[~np.isnan(x[:, j]), j])
+            assert totals[j] == len(values) and found[j] == {0: values[0], len(values) // 2: values[len(values) // 2]}
+        cuts = [np.linspace(-1, 1, 9), np.linspace(-2, 2, 300)]
+        binned = [sorted((y, *b) for bins, y in packed.blocks(2, {"y": np.float64})(t.toArrow().to_batches()) for b, y in zip(bins, y))
+                  for t in (packed.pack_blocks(known, cuts, ["y"]), packed.pack(df.where("y is not null"), cuts, ["y"]))]
+        assert binned[0] == binned[1]
+        table.unpersist()
+
+
+@pytest.mark.parametrize("fit", [DecisionTree(max_depth=3), RandomForest(n_estimators=2, max_depth=3, min_samples_split=3), XGBoost(n_estimators=1, max_depth=2)])
+def test_trees_write_and_read_blocks_of_rows(spark, monkeypatch, fit):
+    from fitmesh.models import boosting
+
+    written = []
+    for module in (cart, boosting):
+        monkeypatch.setattr(module, "durable", lambda df, real=module.durable: written.append(real(df)) or written[-1])
+    monkeypatch.setattr(cart, "HAND_OVER", 100)
+    x, y = signal(3000)
+    fit.fit(vectors(spark, x, y))
+    parts = 2 * spark.sparkContext.defaultParallelism
+    assert len(written) >= 2 and all(t.count() <= max(parts, 30) for t in written)
+
+
 def plain_tree(x, y, depth, least):
     p = np.zeros(len(y))
 

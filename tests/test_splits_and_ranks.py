@@ -37,6 +37,18 @@ def test_cuts_refine_through_several_histogram_passes(spark, monkeypatch):
     assert kfold(spark.range(3000), ["id"], 7).orderBy("id").collect() == whole
 
 
+def test_the_driver_gets_one_hash_a_cut(spark, monkeypatch):
+    df = spark.range(6000).select((F.col("id") % 3).alias("k"))  # cells of 2000 rows
+    kind, got = type(df), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: got.append(collect(self)) or got[-1])
+    out = kfold(df, ["k"], 5)
+    assert sum(map(len, got)) <= 3 + 4
+    monkeypatch.undo()
+    counts = {r["fold"]: r["count"] for r in out.groupBy("fold").count().collect()}
+    assert sum(counts.values()) == 6000 and all(v % 2000 == 0 for v in counts.values())
+
+
 def test_rows_with_one_key_stay_together(spark):
     df = spark.range(1000).select((F.col("id") % 50).alias("k"))
     assert kfold(df, ["k"], 5).groupBy("k").agg(F.count_distinct("fold").alias("n")).filter("n > 1").count() == 0
