@@ -59,6 +59,25 @@ def test_order_statistics_match_sorting(spark, monkeypatch, rows_per_bucket):
     assert np.allclose(q["a"], np.quantile(a, [0.0, 0.1, 0.5, 0.99, 1.0]))
 
 
+def test_last_shuffle_carries_a_small_part_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(orderstats, "_SENT", 10)
+    a = np.random.default_rng(6).normal(size=2000)
+    df = spark.createDataFrame([(float(v), float(v > 0)) for v in a], "a double, b double").repartition(3)
+    counted, children = [], orderstats._children
+
+    def count(data, names, cells, *rest):
+        counted.append([len(c) for c in cells.values()])
+        return children(data, names, cells, *rest)
+
+    monkeypatch.setattr(orderstats, "_children", count)
+    totals, found = order_statistics(df, ["a", "b"], lambda c, n: range(0, n, 10))
+    assert len(counted) >= 2 and counted[1][0] > 10  # cells far below _CELL_ROWS each
+    assert found == {"a": dict(zip(range(0, 2000, 10), np.sort(a)[::10])), "b": dict(zip(range(0, 2000, 10), np.sort(a > 0)[::10].astype(float)))}
+    monkeypatch.setattr(orderstats, "_COUNTERS", 0)  # too many parts to count: they are sent
+    counted.clear()
+    assert order_statistics(df, ["a", "b"], lambda c, n: range(0, n, 10)) == (totals, found) and len(counted) == 1
+
+
 def test_order_statistics_of_signs_zeros_infinities_and_one_hot_value(spark, monkeypatch):
     monkeypatch.setattr(orderstats, "_CELL_ROWS", 20)
     inf = float("inf")
