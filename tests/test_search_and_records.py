@@ -308,3 +308,22 @@ def test_cross_validation_leaves_a_held_table_held(spark):
         data.unpersist()
     cross_validate(DecisionTree(max_depth=2), data, ["fold"])
     assert data.storageLevel == StorageLevel.NONE
+
+
+def _lines(spark, path):
+    rows = [(i, 1, i % 7, i % 5, float(i % 50), 100.0 * i, i % 11 / 100, i % 9 / 100, "A", "F") for i in range(80)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string").write.parquet(str(path / "lineitem.parquet"))
+    return str(path)
+
+
+def test_portfolio_query_runs_families_at_their_defaults(spark, tmp_path, monkeypatch):
+    from fitmesh.plans import search
+    from fitmesh.queries import QUERIES
+
+    tried = []
+    monkeypatch.setattr(search, "evaluate_candidates", lambda cs, *rest: tried.extend(cs) or [(c, "ok", 0.5, "", 0.0) for c in cs])
+    assert QUERIES["portfolio_families"](spark, _lines(spark, tmp_path)).count() == len(tried) == 9
+    for c in tried:
+        regressor, defaults = c.estimator().regressor, MODELS[c.family].DEFAULTS
+        assert {k: regressor.get(k) for k in defaults} == defaults, c.name
