@@ -327,3 +327,13 @@ def test_portfolio_query_runs_families_at_their_defaults(spark, tmp_path, monkey
     for c in tried:
         regressor, defaults = c.estimator().regressor, MODELS[c.family].DEFAULTS
         assert {k: regressor.get(k) for k in defaults} == defaults, c.name
+
+
+def test_round_query_runs_until_patience_ends_it(spark, tmp_path, monkeypatch):
+    from fitmesh.plans import search
+    from fitmesh.queries import QUERIES
+
+    rounds = []
+    monkeypatch.setattr(search, "evaluate_candidates", lambda cs, *rest: rounds.append(cs) or [(c, "ok", 0.5, "", 0.0) for c in cs])
+    assert QUERIES["round_search"](spark, _lines(spark, tmp_path)).count() == sum(map(len, rounds)) == 2 * (5 + 4 * 3 + 5 * 3)  # every setting with and without a scaler
+    assert len(rounds[0]) > 50
