@@ -11,6 +11,9 @@
    candidates per query under the query's number; candidates are merged by a
    ranked window, which Spark also limits before the shuffle. Shuffled bytes are
    rows x blocks, whatever the vectors' width on the side of the candidates.
+4. Blocks meet in rounds of ``ROUND_BYTES`` or a few times the points. A round keeps
+   k candidates a query and its shuffle files go, so disk is a multiple of the input
+   however many blocks meet. Vectors of single precision travel as such.
 """
 
 from __future__ import annotations
@@ -22,15 +25,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from fitmesh.functions.vectors import as_array, list_column, matrix
+from fitmesh.functions.vectors import as_array, exact_in_single, matrix
 from fitmesh.operators.lookup import keyed_lookup
-from fitmesh.session import durable
+from fitmesh.session import durable, passing, released
 
 BLOCK_ROWS = 32_768       # rows of one side in one task
 _BLOCK_BYTES = 16 << 20   # of their vectors
 _LEAST_BLOCK = 2048       # smaller blocks are not worth their shuffle
 POINTS_PER_PIVOT = 20_000
 MAX_PIVOTS = 4096
+ROUND_BYTES = 1 << 30     # of vectors that are shuffled at once
+ROUND_TIMES = 4           # or so many times the points, if that is more
 _PIVOT_BYTES = 64 << 20   # pivots are shipped with the tasks
 
 
@@ -216,11 +221,27 @@ def _meet(k: int, id_kind):
     return run
 
 
+def _rounds(left_n: dict[int, int], right_n: dict[int, int], rows: int, row_bytes: int, most: int) -> list[list[tuple[int, int, int, int, int]]]:
+    """Rounds of ``(cell, query blocks, base blocks, first base block, last)`` that shuffle ``most`` bytes, or one base block."""
+    rounds, size = [[]], 0
+    for c in sorted(c for c in left_n if c in right_n):
+        lb, rb = -(-left_n[c] // rows), -(-right_n[c] // rows)
+        block, at = row_bytes * (left_n[c] + lb * right_n[c] // rb), 0  # all queries of the cell, and a base block for each of their blocks
+        while at < rb:
+            if size and size + block > most:
+                rounds.append([])
+                size = 0
+            take = min(rb - at, max(1, (most - size) // max(1, block)))
+            rounds[-1].append((c, lb, rb, at, at + take - 1))
+            at, size = at + take, size + take * block
+    return rounds
+
+
 def nearest_points(queries: DataFrame, base: DataFrame, k: int, pivots: int | None = None,
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS, narrow: bool = False) -> DataFrame:
     """``(vec, neighbors)``: the ``k`` nearest ids of every distinct query vector, as sorted structs.
 
-    ``queries`` holds ``vec``; ``base`` holds ``vec, ids`` with at most ``k`` ids per point.
+    ``queries`` holds ``vec``; ``base`` holds ``vec, ids`` with at most ``k`` ids per point. ``narrow``: both are exact in single precision.
     """
     spark = base.sparkSession
     n_base = base.count()
@@ -232,27 +253,39 @@ def nearest_points(queries: DataFrame, base: DataFrame, k: int, pivots: int | No
     placed = durable(_assign(queries.select("vec"), centres).withColumn("qid", F.monotonically_increasing_id()))
     # block counts per cell: at most one row per pivot
     left_n = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
+    limit = None
     if len(centres) == 1:
-        sent, right_n = base.select(F.lit(0).alias("cell"), "vec", "ids"), {0: n_base}
+        right_n = {0: n_base}
     else:
         limit = _bounds(placed, _assign(base, centres), centres, k)
-        sent, right_n = _replicate(base, centres, limit), _received(base, centres, limit)
+        right_n = _received(base, centres, limit)
     pairs = sum(left_n[c] * right_n[c] for c in left_n if c in right_n)
     busy = int((pairs / (4 * spark.sparkContext.defaultParallelism)) ** 0.5)  # blocks of this size keep all cores at work
     rows = max(1, min(block_rows, _BLOCK_BYTES // (8 * max(1, centres.shape[1])), max(_LEAST_BLOCK, busy)))
-    plan = [(c, -(-left_n[c] // rows), -(-right_n[c] // rows)) for c in left_n if c in right_n]
-    blocks = F.broadcast(spark.createDataFrame(plan, "cell int, lb int, rb int"))
-    h = F.xxhash64("vec")
-    left = placed.join(blocks, "cell").select(
-        F.col("cell").alias("cell"), F.pmod(h, F.col("lb")).cast("int").alias("l"),
-        F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"), "qid", F.col("vec").alias("query"))
-    right = sent.join(blocks, "cell").select(
-        F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("l"),
-        F.pmod(h, F.col("rb")).cast("int").alias("r"), "vec", "ids")
-    found = left.groupBy("cell", "l", "r").cogroup(right.groupBy("cell", "l", "r")).applyInArrow(
-        _meet(k, id_kind), f"qid long, distance double, id {id_type}")
+    row_bytes = (4 if narrow else 8) * centres.shape[1] + 48
+    h, sent_as = F.xxhash64("vec"), F.col("vec").cast("array<float>") if narrow else F.col("vec")
     window = Window.partitionBy("qid").orderBy("distance", "id")
-    best = found.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= k)
+    best = None
+    rounds = _rounds(left_n, right_n, rows, row_bytes, max(ROUND_BYTES, ROUND_TIMES * row_bytes * (n_base + sum(left_n.values()))))
+    for i, plan in enumerate(rounds):
+        if limit is None:
+            sent = base.select(F.lit(0).alias("cell"), "vec", "ids")
+        else:
+            sent = _replicate(base, centres, np.where(np.isin(np.arange(len(centres)), [c for c, *_ in plan]), limit, -np.inf))
+        blocks = F.broadcast(spark.createDataFrame(plan, "cell int, lb int, rb int, low int, high int"))
+        left = placed.join(blocks, "cell").select(
+            F.col("cell").alias("cell"), F.pmod(h, F.col("lb")).cast("int").alias("l"),
+            F.explode(F.sequence(F.col("low"), F.col("high"))).alias("r"), "qid", sent_as.alias("query"))
+        right = sent.join(blocks, "cell").select("*", F.pmod(h, F.col("rb")).cast("int").alias("r")).where("r between low and high").select(
+            F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("l"), "r", sent_as.alias("vec"), "ids")
+        found = left.groupBy("cell", "l", "r").cogroup(right.groupBy("cell", "l", "r")).applyInArrow(
+            _meet(k, id_kind), f"qid long, distance double, id {id_type}")
+        found = (found if best is None else found.unionAll(best)).withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= k).drop("_n")
+        if i < len(rounds) - 1:
+            found = durable(found)
+            if best is not None:
+                released(best)
+        best = found
     lists = best.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("neighbors"))
     return placed.select("qid", "vec").join(lists, "qid").select("vec", "neighbors")
 
@@ -269,15 +302,16 @@ def knn_join(queries: DataFrame, base: DataFrame | None, k: int, query_id: str =
         raise ValueError("k must be positive")
     itself = base is None
     want = k + 1 if itself else k
-    base_points = distinct_points(queries if itself else base, query_id if itself else (base_id or query_id),
-                                  vector if itself else (base_vector or vector), want)
-    base_points = durable(base_points)
-    if itself:
-        query_points = base_points.select("vec", "copies")
-    else:
-        query_points = durable(queries.select(as_array(queries, vector).alias("vec")).groupBy("vec").agg(
-            F.count(F.lit(1)).alias("copies")))
-    lists = durable(nearest_points(query_points, base_points, want, pivots, block_rows).join(query_points, "vec"))
+    source, source_vector = (queries, vector) if itself else (base, base_vector or vector)
+    narrow = exact_in_single(queries, vector) and exact_in_single(source, source_vector)
+    with passing(queries.sparkSession):
+        base_points = durable(distinct_points(source, query_id if itself else (base_id or query_id), source_vector, want))
+        if itself:
+            query_points = base_points.select("vec", "copies")
+        else:
+            query_points = durable(queries.select(as_array(queries, vector).alias("vec")).groupBy("vec").agg(
+                F.count(F.lit(1)).alias("copies")))
+        lists = durable(nearest_points(query_points, base_points, want, pivots, block_rows, narrow).join(query_points, "vec"))
     rows = queries.select(F.col(query_id).alias("query_id"), as_array(queries, vector).alias("vec"))
     sample = lists.select("vec").first()
     size = len(sample["vec"]) if sample else 0

@@ -37,9 +37,9 @@ def knn_join_lsh_query(spark, sf_dir):
     pair = ["query_id", "neighbor_id"]
     hashed = lsh_knn_join(e, None, 5, query_id="vec_id", vector="embedding").drop("rank")
     exact = knn_join(e, None, 5, query_id="vec_id", vector="embedding").select(*pair, F.lit(1).alias("hit"))
-    v = e.select(F.col("vec_id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    v = e.select("vec_id", "embedding")
     both = hashed.join(exact, pair, "left").join(v.toDF("query_id", "a"), "query_id").join(v.toDF("neighbor_id", "b"), "neighbor_id")
-    true = F.sqrt(F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    true = F.sqrt(F.aggregate(F.zip_with("a", "b", lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x))
     return both.agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.abs(F.col("distance") - true) < 1e-9).alias("n_exact_distances"),
                     (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_is_high"))
 

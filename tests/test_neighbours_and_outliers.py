@@ -261,3 +261,36 @@ def test_probe_keys_of_leaves_only():
     assert set(every) == want and len(every) == len(want)
     leaves = np.sort(t.keys(cell)[:, :, 3].ravel())
     assert set(rows(leaves)) == {p for p in want if p[1] in set(leaves.tolist())}
+
+
+def _shuffled(spark):
+    """Bytes of shuffle files on disk."""
+    import os
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(os.path.getsize(os.path.join(at, f)) for d in folders for at, _, files in os.walk(d) for f in files if f.startswith("shuffle_"))
+
+
+def test_blocks_and_buckets_meet_in_rounds(spark, monkeypatch):
+    """Rounds give the neighbours that one meeting gives; their shuffle files and all but the last of their results go."""
+    from fitmesh.operators import knn, lsh
+
+    x = np.concatenate([np.random.default_rng(7).normal(size=(400, 8)), np.zeros((30, 8))])
+    df = vectors(spark, x).withColumn("features", F.col("features").cast("array<float>")).cache()
+    x = np.array([r["features"] for r in df.orderBy("id").collect()])
+    joins = (lambda: knn_join(df, None, 4, pivots=3, block_rows=40), lambda: lsh_knn_join(df, None, 4, bucket_rows=64, tables=4))
+    want = brute(x, range(len(x)), x, range(len(x)), 4, True)
+    once = [collected(j()) for j in joins]
+    same(once[0], want)
+    gone = []
+    for module in (knn, lsh):
+        monkeypatch.setattr(module, "ROUND_BYTES", 250_000)
+        monkeypatch.setattr(module, "ROUND_TIMES", 0)
+        monkeypatch.setattr(module, "released", lambda t, real=module.released: gone.append(t) or real(t))
+    for join, before in zip(joins, once):
+        had = _shuffled(spark)
+        df_out = join()
+        assert _shuffled(spark) - had < 20_000 and len(gone) > 2
+        gone.clear()
+        same(collected(df_out), before)
+    df.unpersist()
