@@ -218,6 +218,19 @@ def test_tree_equals_plain_python(spark, monkeypatch, depth, least, hand_over):
     assert np.allclose(predictions(DecisionTree(max_depth=depth, min_samples_split=least).fit(df), df), plain_tree(x, y, depth, least))
 
 
+@pytest.mark.parametrize("fit", [dict(max_depth=4), dict(min_samples_split=20)])
+def test_tree_does_not_depend_on_what_is_handed_over(spark, monkeypatch, fit):
+    """Large nodes, cut with the help of a few bins, give the tree that one task grows from all rows, on new rows as well."""
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(size=1200), rng.integers(0, 9, 1200), rng.exponential(size=1200).round(1)])
+    y = np.where(x[:, 0] > 0.317, 3.0, 0.0) + np.where(x[:, 2] > 1.7, 1.0, 0.0) + rng.normal(0, 0.3, 1200)
+    df, new = vectors(spark, x, y), vectors(spark, np.column_stack([rng.normal(size=2000), rng.uniform(-1, 9, 2000), rng.exponential(size=2000)]))
+    whole = predictions(DecisionTree(**fit).fit(df), new)
+    monkeypatch.setattr(cart, "HAND_OVER", 150)
+    monkeypatch.setattr(cart, "_BINS", 6)
+    assert np.allclose(predictions(DecisionTree(**fit).fit(df), new), whole)
+
+
 def test_a_node_of_ten_is_cut_one_to_nine(spark):
     y = np.array([0.0] * 9 + [100.0])
     df = vectors(spark, np.arange(10.0)[:, None], y)
