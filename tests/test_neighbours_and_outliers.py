@@ -283,8 +283,8 @@ def test_blocks_and_buckets_meet_in_rounds(spark, monkeypatch):
     once = [collected(j()) for j in joins]
     same(once[0], want)
     gone = []
-    for module in (knn, lsh):
-        monkeypatch.setattr(module, "ROUND_BYTES", 250_000)
+    for module, size in ((knn, 80_000), (lsh, 250_000)):
+        monkeypatch.setattr(module, "ROUND_BYTES", size)
         monkeypatch.setattr(module, "ROUND_TIMES", 0)
         monkeypatch.setattr(module, "released", lambda t, real=module.released: gone.append(t) or real(t))
     for join, before in zip(joins, once):
